@@ -1,6 +1 @@
 """Combinatorial-library analytics on Spark DataFrames."""
-
-from molspark.functions.kernel import Kernel, text_kernel
-from molspark.plans.run import RunConfig, process_datasets
-
-__all__ = ["Kernel", "RunConfig", "process_datasets", "text_kernel"]

@@ -18,12 +18,21 @@ SMILES = "smiles"
 MOLECULE_ID = "molecule id"
 
 
+# Everything that counts as outer white space.
+WHITE_SPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def strip(text: Column) -> Column:
+    """Outer white space of any kind removed; null stays null."""
+    return F.btrim(text, F.lit(WHITE_SPACE))
+
+
 def smiles_cell(df: DataFrame) -> Column:
     """The first column called ``smiles``, ignoring case and outer blanks; trimmed, null as blank.
     A frame without such a column gives blanks."""
     for name in df.columns:
         if name.strip().lower() == SMILES:
-            return F.regexp_replace(F.coalesce(df[f"`{name}`"], F.lit("")), r"^\s+|\s+$", "")
+            return strip(F.coalesce(df[f"`{name}`"], F.lit("")))
     return F.lit("")
 
 
@@ -100,6 +109,12 @@ def greeting_text(name: str, craft: str, greeting: str) -> Column:
     )
 
 
+def melt(df: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """Wide columns to rows ``(keys, label, smiles)``."""
+    cells = [F.struct(F.lit(c).alias("label"), F.col(f"`{c}`").alias("smiles")) for c in columns]
+    return df.select(*keys, F.inline(F.array(*cells)))
+
+
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
     """All rows under the union of the columns in first-seen order; missing cells are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

@@ -1,18 +1,18 @@
 """Per-row chemistry as replaceable slots, and a built-in kernel that works on the text alone.
 
-Every slot maps columns to columns, so a slot can be a native expression or a ``pandas_udf`` around
-a chemistry toolkit. The text kernel below uses native expressions only. It checks spelling, not
+Slots map columns to columns (``descriptors`` adds columns to a frame), so a slot can be a native
+expression or a ``pandas_udf`` around a chemistry toolkit. The text kernel below uses native expressions only. It checks spelling, not
 valence, and its products are valid but not canonical.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,7 +29,8 @@ class Kernel:
     n_points: Callable[[Column], Column]
     prepare: Callable[[Column], Column]
     combine: Callable[[Column, Column], Column]
-    descriptors: Callable[[Column], dict[str, Column]]
+    descriptors: Callable[[DataFrame, str], DataFrame]
+    descriptor_names: tuple[str, ...]
     fingerprint: Callable[[Column], Column]
 
 
@@ -43,8 +44,9 @@ BRACKET = r"\[[^\[\]]*\]"
 CLOSURE = r"%[0-9]{2}|[0-9]"
 
 
-def _count_chars(text: Column, char_class: str) -> Column:
-    return F.length(F.regexp_replace(text, f"[^{char_class}]", ""))
+def _count_text(text: Column, part: str) -> Column:
+    """Occurrences of one character."""
+    return F.length(text) - F.length(F.replace(text, F.lit(part), F.lit("")))
 
 
 def _bare(text: Column) -> Column:
@@ -54,23 +56,24 @@ def _bare(text: Column) -> Column:
 
 def _n_closures(bare: Column) -> Column:
     """Ring-closure labels: each %nn counts once, each other digit once."""
-    return _count_chars(F.regexp_replace(bare, "%[0-9]{2}", "0"), "0-9")
+    single = F.when(bare.contains("%"), F.regexp_replace(bare, "%[0-9]{2}", "0")).otherwise(bare)
+    return F.length(F.regexp_replace(single, "[^0-9]", ""))
 
 
 def text_is_valid(text: Column) -> Column:
     """Spelled from legal tokens, with matching branches and paired ring closures. Null is false."""
-    bare = _bare(text)
-    return F.coalesce(
-        text.rlike(TOKENS)
-        & (_count_chars(bare, "(") == _count_chars(bare, ")"))
-        & (_n_closures(bare) % 2 == 0),
-        F.lit(False),
+    bare = F.regexp_replace(text, BRACKET + "|%(?=[0-9]{2})[0-9]", "")
+    balanced = F.length(F.replace(bare, F.lit("("), F.lit(""))) == F.length(
+        F.replace(bare, F.lit(")"), F.lit(""))
     )
+    # Both bracket atoms and the first digit of each %nn are gone, so one digit is one label.
+    paired = F.length(F.regexp_replace(bare, "[^0-9]", "")) % 2 == 0
+    return F.coalesce(text.rlike(TOKENS) & balanced & paired, F.lit(False))
 
 
 def text_n_points(text: Column) -> Column:
     """Wildcard atoms, mapped or not."""
-    return _count_chars(text, "*").cast("int")
+    return _count_text(text, "*").cast("int")
 
 
 # --- Text combination -----------------------------------------------------------------------
@@ -140,48 +143,51 @@ TEXT_DESCRIPTORS = (
 )
 
 
-def text_descriptors(text: Column) -> dict[str, Column]:
-    """Seven numbers read off the text. Their names are not those of the toolkit descriptors."""
-    bare = _bare(text)
-    # One character per atom outside brackets: L is chlorine, R is bromine.
-    atoms = F.regexp_replace(
-        F.replace(F.replace(bare, F.lit("Cl"), F.lit("L")), F.lit("Br"), F.lit("R")),
-        "[^BCNOPSFILRbcnops]",
-        "",
-    )
+def text_descriptors(df: DataFrame, text: str) -> DataFrame:
+    """Append seven numbers read off the text. Their names are not those of the toolkit's.
+
+    Shared intermediate texts are columns of their own, so each is worked out once per row.
+    """
+    # One capital letter per atom outside brackets: L is chlorine, R is bromine.
+    plain = F.replace(F.replace(F.col("_bare"), F.lit("Cl"), F.lit("L")), F.lit("Br"), F.lit("R"))
     symbols = F.when(
-        text.contains("["), F.regexp_extract_all(text, F.lit(BRACKET_SYMBOL), F.lit(1))
+        F.col(text).contains("["), F.regexp_extract_all(text, F.lit(BRACKET_SYMBOL), F.lit(1))
     ).otherwise(F.array().cast("array<string>"))
-
-    def bracket_count(*wanted: str) -> Column:
-        return F.size(F.filter(symbols, lambda s: s.isin(*wanted)))
-
-    weights = F.create_map(
-        *(F.lit(x) for pair in ATOMIC_WEIGHTS.items() for x in pair),
-        *(F.lit(x) for s in AROMATIC for x in (s, ATOMIC_WEIGHTS[s.upper()])),
-    )
-    single = {"B": "Bb", "C": "Cc", "N": "Nn", "O": "Oo", "P": "Pp", "S": "Ss",
-              "F": "F", "Cl": "L", "Br": "R", "I": "I"}
-    bare_weight = reduce(
-        add,
-        (_count_chars(atoms, chars) * F.lit(ATOMIC_WEIGHTS[s]) for s, chars in single.items()),
+    letters = {"B": "B", "C": "C", "N": "N", "O": "O", "P": "P", "S": "S", "F": "F", "Cl": "L",
+               "Br": "R", "I": "I"}
+    staged = (
+        df.withColumn("_bare", _bare(F.col(text)))
+        .withColumn("_atoms", F.regexp_replace(plain, "[^BCNOPSFILRbcnops]", ""))
+        .withColumns({"_upper": F.upper("_atoms"), "_symbols": symbols})
+        .withColumns(
+            {f"_n_{s}": _count_text(F.col("_upper"), letter) for s, letter in letters.items()}
+        )
     )
-    bracket_weight = F.aggregate(symbols, F.lit(0.0), lambda total, s: total + weights[s])
-    # A closure pair is a ring unless it welds two dot-separated parts together.
-    n_parts = _count_chars(bare, ".") + 1
-    n_heavy = F.length(atoms) + F.size(symbols)
-    n_carbon = _count_chars(atoms, "Cc") + bracket_count("C", "c")
+
+    def inside(wanted: Sequence[str]) -> Column:
+        return F.when(
+            F.size("_symbols") > 0, F.size(F.filter("_symbols", lambda s: s.isin(*wanted)))
+        ).otherwise(F.lit(0))
+
+    known = {**ATOMIC_WEIGHTS, **{s: ATOMIC_WEIGHTS[s.upper()] for s in AROMATIC}}
+    weights = F.expr("map(%s)" % ", ".join(f"'{s}', {w}D" for s, w in known.items()))
+    outside_weight = reduce(add, (F.col(f"_n_{s}") * F.lit(ATOMIC_WEIGHTS[s]) for s in letters))
+    inside_weight = F.when(
+        F.size("_symbols") > 0,
+        F.aggregate("_symbols", F.lit(0.0), lambda total, s: total + weights[s]),
+    ).otherwise(F.lit(0.0))
+    n_heavy = F.length("_atoms") + F.size("_symbols")
     values = {
         "n_heavy_atoms": n_heavy,
-        "n_hetero_atoms": n_heavy - n_carbon,
-        "n_halogens": _count_chars(atoms, "FLRI") + bracket_count(*HALOGENS),
-        "n_aromatic_atoms": _count_chars(atoms, "".join(AROMATIC)) + bracket_count(*AROMATIC),
-        "n_rings": _n_closures(bare) / 2 - (n_parts - 1),
-        "n_branches": _count_chars(bare, "("),
-        "heavy_atom_weight": bare_weight
-        + F.when(text.contains("["), bracket_weight).otherwise(F.lit(0.0)),
+        "n_hetero_atoms": n_heavy - F.col("_n_C") - inside(("C", "c")),
+        "n_halogens": reduce(add, (F.col(f"_n_{s}") for s in HALOGENS)) + inside(HALOGENS),
+        "n_aromatic_atoms": F.length(F.regexp_replace("_atoms", "[A-Z]", "")) + inside(AROMATIC),
+        # A closure pair is a ring unless it welds two dot-separated parts together.
+        "n_rings": F.shiftright(_n_closures(F.col("_bare")), 1) - _count_text(F.col("_bare"), "."),
+        "n_branches": _count_text(F.col("_bare"), "("),
+        "heavy_atom_weight": outside_weight + inside_weight,
     }
-    return {name: values[name].cast("double") for name in TEXT_DESCRIPTORS}
+    return staged.withColumns({name: values[name] for name in TEXT_DESCRIPTORS}).drop("_bare", "_atoms", "_upper", "_symbols", *(f"_n_{s}" for s in letters))
 
 
 # --- Text fingerprint -----------------------------------------------------------------------
@@ -227,5 +233,6 @@ def text_kernel(portable: bool = False) -> Kernel:
         prepare=text_prepare,
         combine=text_combine,
         descriptors=text_descriptors,
+        descriptor_names=TEXT_DESCRIPTORS,
         fingerprint=lambda text: text_fingerprint(text, hash_of=hash_of),
     )

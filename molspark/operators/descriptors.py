@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from molspark.functions.kernel import Kernel
+from molspark.functions.rounding import round_exact
 from molspark.operators.enumerate import trimmed
 
 # The toolkit descriptor names a chemistry kernel is expected to return, and the
@@ -25,10 +27,16 @@ DECIMALS = 4
 def with_descriptors(df: DataFrame, kernel: Kernel, smiles_column: str = "smiles") -> DataFrame:
     """Append the kernel's descriptors, replacing columns of the same name, and drop rows whose
     text is blank or invalid. One projection and one filter: no shuffle."""
-    text = trimmed(smiles_column)
-    values = kernel.descriptors(text)
-    return df.where((text != "") & kernel.is_valid(text)).withColumns(
-        {name: F.round(value.cast("double"), DECIMALS) for name, value in values.items()}
+    usable = df.withColumn("_text", trimmed(smiles_column)).where(
+        (F.col("_text") != "") & kernel.is_valid(F.col("_text"))
+    )
+    described = kernel.descriptors(usable, "_text").drop("_text")
+    whole = {c for c in kernel.descriptor_names if isinstance(described.schema[c].dataType, T.IntegralType)}
+    return described.withColumns(
+        {
+            c: F.col(c).cast("double") if c in whole else round_exact(F.col(c), DECIMALS)
+            for c in kernel.descriptor_names
+        }
     )
 
 

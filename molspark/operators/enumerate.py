@@ -13,8 +13,10 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from molspark.functions.columns import strip
 from molspark.functions.kernel import Kernel
 from molspark.functions.ordering import dense_index
+from molspark.session import shuffle_partitions
 
 # Fixed value: attempts per scaffold.
 MAX_PRODUCTS_PER_SCAFFOLD = 50_000
@@ -25,7 +27,7 @@ ATTEMPTS_PER_CHUNK = 4096
 def trimmed(cell: Column | str) -> Column:
     """Null becomes blank; all outer white space goes, not only spaces."""
     text = F.coalesce(F.col(cell) if isinstance(cell, str) else cell, F.lit(""))
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return strip(text)
 
 
 def load_r_groups(
@@ -37,7 +39,14 @@ def load_r_groups(
     """
     clean = wide.select(*keys, "pos", *(trimmed(c).alias(c) for c in labels))
     usable = reduce(and_, ((F.col(c) != "") & kernel.is_valid(F.col(c)) for c in labels))
-    return clean.where(usable).unpivot([*keys, "pos"], list(labels), "label", "smiles")
+    # The flag travels through the generated rows: a filter below would be merged with the
+    # trimming and repeat it for every use of a cell.
+    flagged = clean.withColumn("_usable", usable)
+    cells = [
+        F.struct(F.lit(c).alias("label"), F.col(c).alias("smiles"), F.col("_usable").alias("_ok"))
+        for c in labels
+    ]
+    return flagged.select(*keys, "pos", F.inline(F.array(*cells))).where("_ok").drop("_ok")
 
 
 def load_r_group_cells(cells: DataFrame, kernel: Kernel) -> DataFrame:
@@ -138,6 +147,12 @@ def _reachable(group: Column, stride: Column, first: Column, last: Column) -> Co
     )
 
 
+def _digit_value(digit: Column, attempt: Column) -> Column:
+    """The fragment that attempt number `attempt` takes for one label."""
+    step = F.floor(attempt / digit["stride"]) - digit["base"]
+    return F.get(digit["fragments"], (step % F.size(digit["fragments"])).cast("int"))
+
+
 def attempts(
     scaffolds: DataFrame,
     r_groups: DataFrame,
@@ -179,23 +194,26 @@ def attempts(
                 lambda g, s: _reachable(g, s, F.col("_first"), F.col("_last")),
             ).alias("_digits"),
         )
-        .repartition("dataset_id", "scaffold_id", "_first")
+        # A stated number of partitions: a chunk is small but its work is not, so the chunks must
+        # not be packed together by their size.
+        .repartition(shuffle_partitions(scaffolds.sparkSession), "dataset_id", "scaffold_id", "_first")
     )
-    decoded = chunks.withColumn("ord", F.explode(F.sequence("_first", "_last"))).select(
+    # Decoding happens before the rows are exploded, so no product row ever drags the chunk's
+    # fragment arrays along.
+    decoded = chunks.select(
         "dataset_id",
         "scaffold_id",
-        "ord",
         "_scaffold",
         F.col("_digits.label").alias("labels"),
-        F.transform(
-            "_digits",
-            lambda d: F.get(
-                d["fragments"],
-                (
-                    (F.floor(F.col("ord") / d["stride"]) - d["base"]) % F.size(d["fragments"])
-                ).cast("int"),
-            ),
-        ).alias("fragments"),
+        F.inline(
+            F.transform(
+                F.sequence("_first", "_last"),
+                lambda o: F.struct(
+                    o.alias("ord"),
+                    F.transform("_digits", lambda d: _digit_value(d, o)).alias("fragments"),
+                ),
+            )
+        ),
     )
     prepared_ok = F.col("_scaffold").isNotNull() & ~F.exists(
         "fragments", lambda f: f["prepared"].isNull()

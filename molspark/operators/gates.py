@@ -14,7 +14,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from molspark.functions.columns import melt, strip
 from molspark.functions.kernel import Kernel
+from molspark.functions.rounding import round_exact
 
 # Gate thresholds.
 MIN_VALID_RATIO = 0.8
@@ -35,7 +37,7 @@ class DataQualityError(RuntimeError):
 def cell_is_valid(cell: Column, kernel: Kernel) -> Column:
     """Validity as the ratio gate counts it: blank text is an empty structure, hence valid; a null
     (a cell the row was too short for) is invalid."""
-    text = F.regexp_replace(cell, r"^\s+|\s+$", "")
+    text = strip(cell)
     return F.coalesce((text == "") | kernel.is_valid(text), F.lit(False))
 
 
@@ -61,7 +63,7 @@ def validity_gate(
         "total",
         "valid",
         (F.col("total") - F.col("valid")).alias("invalid"),
-        F.round(ratio, 4).alias("valid_ratio"),
+        round_exact(ratio, 4).alias("valid_ratio"),
         ((F.col("total") > 0) & (ratio >= min_ratio)).alias("passed"),
     )
 
@@ -74,7 +76,7 @@ def cell_gate(
     datasets: DataFrame | None = None,
 ) -> DataFrame:
     """The validity gate over single cells of several columns, not over rows."""
-    cells = wide.unpivot(KEY, list(columns), "label", "smiles")
+    cells = melt(wide, [KEY], columns)
     return validity_gate(cells, cell_is_valid(F.col("smiles"), kernel), min_ratio, datasets)
 
 
@@ -88,7 +90,7 @@ def attachment_gate(
 
     `label_counts` is ``(dataset_id, n_labels)`` as given, before bad fragments are dropped.
     """
-    smiles = F.regexp_replace("smiles", r"^\s+|\s+$", "")
+    smiles = strip(F.col("smiles"))
     per_arity = (
         scaffolds.withColumn(
             "n_points",
@@ -155,7 +157,7 @@ def balance_gate(
     return totals.select(
         KEY,
         *figures,
-        F.round(ratio, 4).alias("largest_cluster_ratio"),
+        round_exact(ratio, 4).alias("largest_cluster_ratio"),
         (ratio <= max_dominant_ratio).alias("passed"),
     )
 

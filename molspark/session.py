@@ -23,6 +23,10 @@ def _shared_root(spark: SparkSession) -> str:
     return current
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a working table under the shared folder."""
     return f"{_shared_root(spark).rstrip('/')}/molspark-{uuid.uuid4().hex}/{name}"
