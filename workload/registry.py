@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import enumeration
+from workload import discovery, enumeration
 
-MODULES = [enumeration]
+MODULES = [discovery, enumeration]
 
 
 def queries():
