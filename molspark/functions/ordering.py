@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from molspark.session import checkpointed
+from molspark.session import materialised
 
 ROWS_PER_PIECE = 100_000
 
@@ -48,10 +48,10 @@ def dense_index(
 def sorted_position(df: DataFrame, order: Sequence[str | Column], name: str = "pos") -> DataFrame:
     """Add the 0-based position under a total `order` of any column types.
 
-    The range-partitioned sort is checkpointed once: partition numbers are then fixed, and the
+    The range-partitioned sort is written once: partition numbers are then fixed, and the
     offsets table has one row per partition, so its broadcast is bounded by the partition count.
     """
-    stamped = checkpointed(df.sort(*order).withColumn("_stamp", F.monotonically_increasing_id()))
+    stamped = materialised(df.sort(*order).withColumn("_stamp", F.monotonically_increasing_id()))
     stamped = stamped.withColumn("_part", F.shiftright("_stamp", 33)).withColumn(
         "_row", F.col("_stamp").bitwiseAND(F.lit((1 << 33) - 1))
     )

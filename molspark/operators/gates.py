@@ -233,33 +233,29 @@ def raise_on_failure(reports: DataFrame) -> None:
         )
 
 
-def run_summary(
-    discovered: DataFrame, passed: DataFrame, pipeline_id: str, run_id: str
-) -> DataFrame:
-    """One row for the run: how many datasets were discovered, how many passed, and the ids.
+def run_datasets(discovered: DataFrame, passed: DataFrame, run_id: str) -> DataFrame:
+    """The run's datasets, one row each, with whether they passed every gate."""
+    return discovered.select(KEY).distinct().join(
+        passed.select(KEY).distinct().withColumn("_passed", F.lit(True)), KEY, "left"
+    ).select(F.lit(run_id).alias("run_id"), KEY, F.col("_passed").isNotNull().alias("passed"))
+
 
-    The id list is the message a person reads, so it is text; figures come from counts.
+def run_summary(datasets: DataFrame, pipeline_id: str, run_id: str) -> DataFrame:
+    """One row for the run, from `run_datasets`: counts and a headline.
+
+    The ids stay rows of that table: a list of them all would be gathered in one task.
     """
-    ids = discovered.select(KEY).distinct().join(
-        passed.select(KEY).distinct().withColumn("_passed", F.lit(True)), KEY, "left"
-    )
-    summary = ids.agg(
-        F.count(F.lit(1)).alias("discovered"),
-        F.count("_passed").alias("passed"),
-        F.array_join(F.array_sort(F.collect_list(KEY)), ", ").alias("dataset_ids"),
-    )
-    message = F.when(
+    headline = F.when(
         F.col("discovered") == 0, F.lit("No new datasets found this run.")
-    ).otherwise(
-        F.format_string("Processed %d dataset(s): %s", F.col("discovered"), F.col("dataset_ids"))
-    )
-    return summary.select(
-        F.lit(pipeline_id).alias("pipeline_id"),
-        F.lit(run_id).alias("run_id"),
-        "discovered",
-        "passed",
-        "dataset_ids",
-        message.alias("message"),
+    ).otherwise(F.format_string("Processed %d dataset(s), %d passed", "discovered", "passed"))
+    return (
+        datasets.agg(
+            F.count(F.lit(1)).alias("discovered"), F.count_if("passed").alias("passed")
+        )
+        .withColumns(
+            {"pipeline_id": F.lit(pipeline_id), "run_id": F.lit(run_id), "headline": headline}
+        )
+        .select("pipeline_id", "run_id", "discovered", "passed", "headline")
     )
 
 

@@ -32,7 +32,12 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{_shared_root(spark).rstrip('/')}/molspark-{uuid.uuid4().hex}/{name}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder and read it back, cutting its lineage."""
-    _shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialised(df: DataFrame) -> DataFrame:
+    """Write `df` once as a working table in the shared folder and read it back.
+
+    This cuts the lineage, survives the loss of any executor, and unlike an RDD checkpoint computes
+    the rows only once and keeps them columnar.
+    """
+    path = work_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

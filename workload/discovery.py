@@ -120,7 +120,7 @@ def csv_union_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One JSON payload per turn: a person per line of the text. Tool turns are cut off mid-JSON."""
+    """One JSON payload per turn: a person per line of the text. System turns are cut off mid-JSON."""
     turns = table(spark, sf_dir, "conversations")
     body = F.to_json(
         F.struct(

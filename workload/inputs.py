@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from molspark.session import checkpointed
+from molspark.session import materialised
 
 LABELS = ["R1", "R2"]
 
@@ -30,7 +30,7 @@ def scaffolds(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % 3 == 1, F.concat(F.lit("[*:2]N"), body, F.lit("C1CCC(O[*:1])CC1")))
         .otherwise(F.concat(F.lit("O=C(C"), body, F.lit("[*:1])N[*:2]")))
     )
-    return checkpointed(table(spark, sf_dir, "supplier").select(
+    return materialised(table(spark, sf_dir, "supplier").select(
         F.concat(F.lit("Brand#"), (F.col("s_nationkey") + 1).cast("string")).alias("dataset_id"),
         key.alias("scaffold_id"),
         smiles.alias("smiles"),
@@ -53,7 +53,7 @@ def r_group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(name.endswith("widget"), "C#N")
         .otherwise("[NH3+]")
     )
-    return checkpointed(table(spark, sf_dir, "part").select(
+    return materialised(table(spark, sf_dir, "part").select(
         F.col("p_brand").alias("dataset_id"),
         F.col("p_partkey").alias("pos"),
         F.when(size % 25 == 0, F.lit(None))

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import discovery, enumeration
+from workload import clusters, discovery, enumeration, gates
 
-MODULES = [discovery, enumeration]
+MODULES = [discovery, enumeration, gates, clusters]
 
 
 def queries():
