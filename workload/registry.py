@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from workload import clusters, discovery, enumeration, gates
+from workload import clusters, discovery, enumeration, gates, graphs, scoring
 
-MODULES = [discovery, enumeration, gates, clusters]
+MODULES = [discovery, enumeration, gates, clusters, graphs, scoring]
 
 
 def queries():
