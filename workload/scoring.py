@@ -10,15 +10,20 @@ from molspark.operators import predict
 from workload.inputs import table
 
 
-def load_length_model():
-    """A linear model on the length of a text and its count of spaces."""
+def length_model():
+    """Loader of a linear model on the length of a text and its count of spaces.
 
-    def model(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(
-            {"score": texts.str.len() * 3 + texts.str.count(" ") * 5 + 1, "spaces": texts.str.count(" ")}
-        )
+    It is built here rather than at module level so that it is shipped to the tasks by value.
+    """
 
-    return model
+    def load():
+        def model(texts: pd.Series) -> pd.DataFrame:
+            spaces = texts.str.count(" ")
+            return pd.DataFrame({"score": texts.str.len() * 3 + spaces * 5 + 1, "spaces": spaces})
+
+        return model
+
+    return load
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,12 +33,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def predict_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = predict.predict(_documents(spark, sf_dir), load_length_model, ["score"])
+    scored = predict.predict(_documents(spark, sf_dir), length_model(), ["score"])
     return scored.drop("smiles")
 
 
 def predict_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = predict.predict(_documents(spark, sf_dir), load_length_model, ["score", "spaces"])
+    scored = predict.predict(_documents(spark, sf_dir), length_model(), ["score", "spaces"])
     return scored.drop("smiles")
 
 
