@@ -220,8 +220,7 @@ def text_fingerprint(
 ) -> Column:
     """Sorted on-bits of the folded q-gram set; null when the text is shorter than one q-gram."""
     on = F.transform(qgrams(text, q), lambda g: F.pmod(hash_of(g), F.lit(bits)).cast("int"))
-    on = F.array_sort(F.array_distinct(on))
-    return F.when(F.size(on) > 0, on)
+    return F.when(F.length(text) >= q, F.array_sort(F.array_distinct(on)))
 
 
 def text_kernel(portable: bool = False) -> Kernel:

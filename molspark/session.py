@@ -27,6 +27,15 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Rows over all tasks, for heavy per-row work on a table of few files.
+
+    A table with at least as many files as there are tasks is left as it is: it needs no shuffle.
+    """
+    tasks = shuffle_partitions(df.sparkSession)
+    return df.repartition(tasks) if len(df.inputFiles()) < tasks else df
+
+
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a working table under the shared folder."""
     return f"{_shared_root(spark).rstrip('/')}/molspark-{uuid.uuid4().hex}/{name}"
