@@ -60,7 +60,7 @@ def min_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order statuses per customer segment as clusters; every large segment is one cluster."""
+    """Order priorities as datasets; the cheaper orders of each form one large cluster."""
     orders = table(spark, sf_dir, "orders")
     return orders.select(
         F.col("o_orderpriority").alias("dataset_id"),
