@@ -5,10 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from molspark.llm import decontaminate, exact_dedup, packing, queries, simhash
+from molspark.llm import decontaminate, exact_dedup, packing, quality, queries, simhash
 from molspark.session import materialised
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    return quality.drop_rejected(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of equal texts stays."""
     return exact_dedup.drop_exact_copies(docs)
@@ -31,6 +36,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("quality", good),
     ("exact dedup", exact),
     ("near dedup", near),
     ("decontamination", clean),

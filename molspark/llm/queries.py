@@ -7,7 +7,18 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from molspark.llm import decontaminate, exact_dedup, packing, simhash
+from molspark.llm import (
+    decontaminate,
+    exact_dedup,
+    extraction,
+    language_model,
+    line_dedup,
+    packing,
+    pii,
+    quality,
+    simhash,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +34,25 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.drop_repeated_passages(
+        _table(spark, sf_dir, "documents").select("doc_id", "text"), removed="removed"
+    )
+    lines = F.aggregate("removed", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    return cleaned.select(
+        "doc_id",
+        F.size("removed").alias("removed_chunks"),
+        lines.alias("removed_lines"),
+        F.array_join(F.transform("removed", lambda r: F.concat_ws("-", r["first"], r["last"])), ",").alias("removed"),
+        F.char_length(F.coalesce("text", F.lit(""))).alias("kept_chars"),
+        F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.score(_table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(_table(spark, sf_dir, "documents"))
 
@@ -42,11 +72,34 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_components(_table(spark, sf_dir, "documents"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op9_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extraction.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_line_dedup": op1_line_dedup,
+    "op2_language_model": op2_language_model,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_packing": op4_packing,
     "op5_decontamination": op5_decontamination,
     "op6_simhash": op6_simhash,
+    "op7_quality": op7_quality,
+    "op8_toxicity": op8_toxicity,
+    "op9_extraction": op9_extraction,
+    "op10_pii": op10_pii,
 }
 
 # DuckDB's regular expressions are RE2: \x20 and ranges of control characters are understood.
