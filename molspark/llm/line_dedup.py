@@ -55,9 +55,9 @@ def _documents(docs: DataFrame) -> DataFrame:
 def chunks(docs: DataFrame) -> DataFrame:
     """(doc_id, th, first, last, chunk): the chunks that may be removed; chunk is their hash."""
     listed = materialised(
-        _documents(docs).select(
-            F.monotonically_increasing_id().alias("d"), "doc_id", "th", F.posexplode("lines").alias("pos", "line")
-        )
+        _documents(docs)
+        .withColumn("d", F.monotonically_increasing_id())
+        .select("d", "doc_id", "th", F.posexplode("lines").alias("pos", "line"))
     )
     place = Window.partitionBy("d").orderBy("pos")
     rolled = materialised(

@@ -22,14 +22,16 @@ from pyspark.sql import functions as F
 
 from molspark.llm.common import by_batch, column, id_and_text, raw
 
-ORDERS = (3, 4, 5)
-BUCKETS = 1 << 18
-KEPT = 6_000
+ORDERS = (4, 5, 6, 7, 8)
+BUCKET_BITS = 21
+BUCKETS = 1 << BUCKET_BITS
+KEPT = 4_096
 SAMPLE = 12_000
 SMOOTH = 1.0
 PIECE = 1 << 20
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
+NONE = np.zeros(0, np.uint32)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -48,7 +50,7 @@ def buckets_of(text: bytes | None):
                 break
             h = h[: len(a) - n + 1] * np.uint32(0x01000193) + a[n - 1 :]
             if n in ORDERS:
-                yield ((h ^ np.uint32(n)) * np.uint32(0x9E3779B1)) >> np.uint32(14)
+                yield ((h ^ np.uint32(n)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)
 
 
 def present(text: bytes | None, place: np.ndarray, mark: np.ndarray) -> np.ndarray:
@@ -84,42 +86,33 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
-def _logistic(rows: np.ndarray, places: np.ndarray, values: np.ndarray, y: np.ndarray, width: int, ridge: float, rounds: int):
-    """Weights and intercept by accelerated gradient steps; rows and places are a sparse matrix."""
-    sums = np.bincount(rows, values[places] ** 2, len(y))
-    step = 4.0 / (sums.max() + 1) if len(sums) else 1.0
-    step = max(step, 4.0 / (sums.mean() * 8 + 1))
-    w, b, v, c = np.zeros(width), float(np.log(y.mean() / (1 - y.mean()))), np.zeros(width), 0.0
-    best = (np.inf, w, b)
-    for _ in range(rounds):
+def _logistic(rows: np.ndarray, places: np.ndarray, values: np.ndarray, y: np.ndarray, ridge: float, rounds: int, rate: float = 0.02):
+    """Weights and intercept by adaptive gradient steps; rows and places are a sparse matrix of ones."""
+    width = len(values)
+    w, b = np.zeros(width), float(np.log(y.mean() / (1 - y.mean())))
+    mean, square = np.zeros(width + 1), np.zeros(width + 1)
+    for k in range(1, rounds + 1):
         z = np.bincount(rows, (w * values)[places], len(y)) + b
-        p = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
-        loss = -np.mean(np.where(y > 0, np.log(p + 1e-12), np.log(1 - p + 1e-12))) + ridge / len(y) * (w @ w) / 2
-        if loss < best[0]:
-            best = (loss, w.copy(), b)
-        else:
-            step, v, c, w, b = step / 2, v * 0, 0.0, best[1].copy(), best[2]
-            continue
-        gradient = (values * np.bincount(places, (p - y)[rows], width) + ridge * w) / len(y)
-        v = 0.9 * v - step * gradient
-        c = 0.9 * c - step * float((p - y).mean())
-        w, b = w + v, b + c
-    return best[1], best[2]
-
-
-def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, ridge: float = 1e-3, rounds: int = 150) -> Model:
+        off = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - y
+        slope = values * np.bincount(places, off[rows], width) + ridge * w
+        gradient = np.append(slope, off.sum()) / len(y)
+        mean = 0.9 * mean + 0.1 * gradient
+        square = 0.99 * square + 0.01 * gradient * gradient
+        step = rate * (mean / (1 - 0.9**k)) / (np.sqrt(square / (1 - 0.99**k)) + 1e-8)
+        w, b = w - step[:-1], b - float(step[-1])
+    return w, b
+
+
+def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, ridge: float = 1.0, rounds: int = 200) -> Model:
     """Two passes over the labelled sample: counts by bucket, then which kept buckets each text has."""
     rows = _sampled(docs, labels, label, sample)
 
     def counting():
         def work(batch: pa.RecordBatch) -> dict | None:
-            counts, have = np.zeros((2, BUCKETS), np.int64), np.zeros(BUCKETS, bool)
+            counts = np.zeros((2, BUCKETS), np.int32)
             y = batch.column(1).to_pylist()
             for text, toxic in zip(raw(batch, "text"), y):
-                have[:] = False
-                for h in buckets_of(text):
-                    have[h] = True
-                counts[toxic] += have
+                counts[toxic, np.unique(np.concatenate([*buckets_of(text), NONE]))] += 1
             seen = np.flatnonzero(counts.any(0))
             # One more row, of bucket -1, counts the texts themselves.
             return {
@@ -168,7 +161,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     y = np.array([r[0] for r in seen], float)
     at = np.repeat(np.arange(len(seen)), [len(r[1]) for r in seen])
     places = np.concatenate([np.array(r[1], np.int32) for r in seen])
-    w, b = _logistic(at, places, values, y, len(values), ridge, rounds)
+    w, b = _logistic(at, places, values, y, ridge, rounds)
     return Model(place, w * values, b)
 
 
