@@ -80,10 +80,19 @@ def is_numeric(df: DataFrame, column: str) -> bool:
 
 
 def fill_layers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Missing numbers become 0; missing values of other types ``N/A``, and those become text."""
+    """Missing numbers (null or NaN) become 0; missing values of other types ``N/A``, and those
+    become text."""
+
+    def number(c: str) -> Column:
+        kind = df.schema[c].dataType
+        value = F.col(f"`{c}`")
+        if isinstance(kind, (T.DoubleType, T.FloatType)):
+            value = F.nanvl(value, F.lit(0).cast(kind))
+        return F.coalesce(value, F.lit(0).cast(kind))
+
     return df.withColumns(
         {
-            c: F.coalesce(F.col(f"`{c}`"), F.lit(0).cast(df.schema[c].dataType))
+            c: number(c)
             if is_numeric(df, c)
             else F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("N/A"))
             for c in columns
@@ -91,11 +100,30 @@ def fill_layers(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def label_text(columns: Sequence[str]) -> Column:
-    """``smiles__ID: id__column: value...`` with backslashes and quotes removed from the values."""
+def plain_number(value: Column) -> Column:
+    """A double as text: plain decimals from 0.0001 up to below 1e16, else ``d.ddde+xx``."""
+    text = value.cast("double").cast("string")
+    exponent = F.regexp_extract(text, r"E(-?[0-9]+)$", 1)
+    mantissa = F.regexp_replace(text, r"(?:\.0)?E.*$", "")
+    whole = F.regexp_replace(F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", ""), r"\.$", ".0")
+    sign = F.when(exponent.startswith("-"), F.lit("e-")).otherwise(F.lit("e+"))
+    digits = F.lpad(F.ltrim(F.replace(exponent, F.lit("-"), F.lit(""))), 2, "0")
+    size = F.abs(value.cast("double"))
+    return (
+        F.when(~text.contains("E"), text)
+        .when((size >= 1e-4) & (size < 1e16), whole)
+        .otherwise(F.concat(mantissa, sign, digits))
+    )
+
+
+def label_text(columns: Sequence[str], doubles: Sequence[str] = ()) -> Column:
+    """``smiles__ID: id__column: value...`` with backslashes and quotes removed from the values;
+    the columns in `doubles` are written by `plain_number`."""
 
     def plain(column: str) -> Column:
-        return F.translate(F.col(f"`{column}`").cast("string"), "\\\"'", "")
+        value = F.col(f"`{column}`")
+        text = plain_number(value) if column in doubles else value.cast("string")
+        return F.translate(text, "\\\"'", "")
 
     parts = [plain(SMILES), F.lit("__ID: "), plain(MOLECULE_ID)]
     for c in columns:
@@ -103,6 +131,11 @@ def label_text(columns: Sequence[str]) -> Column:
     return F.concat(*parts)
 
 
+def doubles_of(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    return [c for c in columns if isinstance(df.schema[c].dataType, (T.DoubleType, T.FloatType))]
+
+
+# Fixed value: the sentence of the greeting.
 def greeting_text(name: str, craft: str, greeting: str) -> Column:
     return F.format_string(
         "%s is currently in space flying on the %s! %s", F.col(name), F.col(craft), F.lit(greeting)

@@ -7,8 +7,8 @@ valence, and its products are valid but not canonical.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 from operator import add
 
@@ -32,6 +32,8 @@ class Kernel:
     descriptors: Callable[[DataFrame, str], DataFrame]
     descriptor_names: tuple[str, ...]
     fingerprint: Callable[[Column], Column]
+    # Further fingerprints that a graph step may ask for by name.
+    fingerprints: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
 
 
 # --- Text validity --------------------------------------------------------------------------
@@ -60,15 +62,36 @@ def _n_closures(bare: Column) -> Column:
     return F.length(F.regexp_replace(single, "[^0-9]", ""))
 
 
+def _branches_match(bare: Column) -> Column:
+    """Parentheses that open before they close, and all closed."""
+    marks = F.split(F.regexp_replace(bare, "[^()]", ""), "")
+    depth = F.aggregate(
+        marks,
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("least")),
+        lambda d, m: F.struct(
+            (d["now"] + F.when(m == "(", 1).when(m == ")", -1).otherwise(0)).alias("now"),
+            F.least(d["least"], d["now"] - F.when(m == ")", 1).otherwise(0)).alias("least"),
+        ),
+    )
+    return ~bare.contains("(") & ~bare.contains(")") | (depth["now"] == 0) & (depth["least"] == 0)
+
+
+def _closures_pair(bare: Column) -> Column:
+    """Every ring-closure label opened is closed: each occurs an even number of times."""
+    found = F.regexp_extract_all(bare, F.lit(CLOSURE), F.lit(0))
+    labels = F.array_sort(F.transform(found, lambda c: F.ltrim(c, F.lit("%")).cast("int")))
+    # Sorted, a label's first place is even and its last odd, so neighbours pair up.
+    pairs = F.forall(
+        F.sequence(F.lit(0), F.size(labels) - 1, F.lit(2)), lambda i: F.get(labels, i) == F.get(labels, i + 1)
+    )
+    return ~bare.rlike("[0-9]") | (F.size(labels) % 2 == 0) & pairs
+
+
 def text_is_valid(text: Column) -> Column:
     """Spelled from legal tokens, with matching branches and paired ring closures. Null is false."""
-    bare = F.regexp_replace(text, BRACKET + "|%(?=[0-9]{2})[0-9]", "")
-    balanced = F.length(F.replace(bare, F.lit("("), F.lit(""))) == F.length(
-        F.replace(bare, F.lit(")"), F.lit(""))
-    )
-    # Both bracket atoms and the first digit of each %nn are gone, so one digit is one label.
-    paired = F.length(F.regexp_replace(bare, "[^0-9]", "")) % 2 == 0
-    return F.coalesce(text.rlike(TOKENS) & balanced & paired, F.lit(False))
+    bare = F.regexp_replace(text, BRACKET, "")
+    sound = F.when(text.rlike(TOKENS), _branches_match(bare) & _closures_pair(bare))
+    return F.coalesce(sound, F.lit(False))
 
 
 def text_n_points(text: Column) -> Column:
@@ -120,17 +143,26 @@ def text_combine(scaffold: Column, fragments: Column) -> Column:
 
 # Standard atomic weights.
 ATOMIC_WEIGHTS = {
-    "He": 4.0026, "Li": 6.94, "Be": 9.0122, "B": 10.81, "C": 12.011, "N": 14.007, "O": 15.999,
+    "H": 1.008, "He": 4.0026, "Li": 6.94, "Be": 9.0122, "B": 10.81, "C": 12.011, "N": 14.007, "O": 15.999,
     "F": 18.998, "Ne": 20.18, "Na": 22.99, "Mg": 24.305, "Al": 26.982, "Si": 28.085, "P": 30.974,
-    "S": 32.06, "Cl": 35.45, "Ar": 39.95, "K": 39.098, "Ca": 40.078, "Ti": 47.867, "Cr": 51.996,
-    "Mn": 54.938, "Fe": 55.845, "Co": 58.933, "Ni": 58.693, "Cu": 63.546, "Zn": 65.38,
-    "Ga": 69.723, "Ge": 72.63, "As": 74.922, "Se": 78.971, "Br": 79.904, "Ag": 107.87,
-    "Sn": 118.71, "Sb": 121.76, "Te": 127.6, "I": 126.9, "Pt": 195.08, "Au": 196.97,
-    "Hg": 200.59, "Pb": 207.2, "Bi": 208.98,
+    "S": 32.06, "Cl": 35.45, "Ar": 39.95, "K": 39.098, "Ca": 40.078, "Sc": 44.956, "Ti": 47.867, "V": 50.942,
+    "Cr": 51.996, "Mn": 54.938, "Fe": 55.845, "Co": 58.933, "Ni": 58.693, "Cu": 63.546, "Zn": 65.38,
+    "Ga": 69.723, "Ge": 72.63, "As": 74.922, "Se": 78.971, "Br": 79.904, "Kr": 83.798, "Rb": 85.468,
+    "Sr": 87.62, "Y": 88.906, "Zr": 91.224, "Nb": 92.906, "Mo": 95.95, "Tc": 98.0, "Ru": 101.07, "Rh": 102.91,
+    "Pd": 106.42, "Ag": 107.87, "Cd": 112.41, "In": 114.82, "Sn": 118.71, "Sb": 121.76, "Te": 127.6,
+    "I": 126.9, "Xe": 131.29, "Cs": 132.91, "Ba": 137.33, "La": 138.91, "Ce": 140.12, "Pr": 140.91,
+    "Nd": 144.24, "Pm": 145.0, "Sm": 150.36, "Eu": 151.96, "Gd": 157.25, "Tb": 158.93, "Dy": 162.5,
+    "Ho": 164.93, "Er": 167.26, "Tm": 168.93, "Yb": 173.05, "Lu": 174.97, "Hf": 178.49, "Ta": 180.95,
+    "W": 183.84, "Re": 186.21, "Os": 190.23, "Ir": 192.22, "Pt": 195.08, "Au": 196.97, "Hg": 200.59,
+    "Tl": 204.38, "Pb": 207.2, "Bi": 208.98, "Po": 209.0, "At": 210.0, "Rn": 222.0, "Fr": 223.0, "Ra": 226.0,
+    "Ac": 227.0, "Th": 232.04, "Pa": 231.04, "U": 238.03, "Np": 237.0, "Pu": 244.0, "Am": 243.0, "Cm": 247.0,
+    "Bk": 247.0, "Cf": 251.0, "Es": 252.0, "Fm": 257.0, "Md": 258.0, "No": 259.0, "Lr": 262.0, "Rf": 267.0,
+    "Db": 270.0, "Sg": 271.0, "Bh": 270.0, "Hs": 277.0, "Mt": 278.0, "Ds": 281.0, "Rg": 282.0, "Cn": 285.0,
+    "Nh": 286.0, "Fl": 289.0, "Mc": 290.0, "Lv": 293.0, "Ts": 294.0, "Og": 294.0,
 }
 HALOGENS = ("F", "Cl", "Br", "I")
-AROMATIC = ("b", "c", "n", "o", "p", "s")
-BRACKET_SYMBOL = r"\[[0-9]*(?:([A-GI-Z][a-z]?|H[efgos]|[bcnops])[^\[\]]*)\]"
+AROMATIC = ("b", "c", "n", "o", "p", "s", "se", "as", "te")
+BRACKET_SYMBOL = r"\[[0-9]*(?:([A-GI-Z][a-z]?|H[efgos]|se|as|te|[bcnops])[^\[\]]*)\]"
 
 TEXT_DESCRIPTORS = (
     "n_heavy_atoms",
@@ -169,7 +201,7 @@ def text_descriptors(df: DataFrame, text: str) -> DataFrame:
             F.size("_symbols") > 0, F.size(F.filter("_symbols", lambda s: s.isin(*wanted)))
         ).otherwise(F.lit(0))
 
-    known = {**ATOMIC_WEIGHTS, **{s: ATOMIC_WEIGHTS[s.upper()] for s in AROMATIC}}
+    known = {**ATOMIC_WEIGHTS, **{s: ATOMIC_WEIGHTS[s.title()] for s in AROMATIC}}
     weights = F.expr("map(%s)" % ", ".join(f"'{s}', {w}D" for s, w in known.items()))
     outside_weight = reduce(add, (F.col(f"_n_{s}") * F.lit(ATOMIC_WEIGHTS[s]) for s in letters))
     inside_weight = F.when(
@@ -198,9 +230,11 @@ QGRAM = 4
 
 
 def qgrams(text: Column, q: int = QGRAM) -> Column:
-    """Distinct q-grams of the whole text, found in one linear pass (overlapping matches)."""
+    """Distinct q-grams of the whole text, found in one linear pass (overlapping matches). A shorter
+    text is one gram; the empty text has none."""
     pattern = "(?s)(?=(.{%d}))" % q
-    return F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+    return F.when(F.length(text).between(1, q - 1), F.array(text)).otherwise(found)
 
 
 def native_hash(gram: Column) -> Column:
@@ -218,9 +252,9 @@ def text_fingerprint(
     bits: int = FINGERPRINT_BITS,
     hash_of: Callable[[Column], Column] = native_hash,
 ) -> Column:
-    """Sorted on-bits of the folded q-gram set; null when the text is shorter than one q-gram."""
+    """Sorted on-bits of the folded q-gram set; null when the text is empty."""
     on = F.transform(qgrams(text, q), lambda g: F.pmod(hash_of(g), F.lit(bits)).cast("int"))
-    return F.when(F.length(text) >= q, F.array_sort(F.array_distinct(on)))
+    return F.when(F.length(text) > 0, F.array_sort(F.array_distinct(on)))
 
 
 def text_kernel(portable: bool = False) -> Kernel:
@@ -234,4 +268,8 @@ def text_kernel(portable: bool = False) -> Kernel:
         descriptors=text_descriptors,
         descriptor_names=TEXT_DESCRIPTORS,
         fingerprint=lambda text: text_fingerprint(text, hash_of=hash_of),
+        fingerprints={
+            "qgram": lambda text: text_fingerprint(text, hash_of=hash_of),
+            "bigram": lambda text: text_fingerprint(text, q=2, hash_of=hash_of),
+        },
     )

@@ -1,47 +1,38 @@
 """Row positions without a single-partition window.
 
 A plain ``row_number() OVER (ORDER BY ...)`` puts every row (or every row of a hot group) into one
-task. Both helpers below number rows inside bounded pieces and add the piece's offset, so the only
-window over a whole group runs on piece counts.
+task. Here rows are numbered inside the partitions of a sorted table and get the partition's offset,
+so the only window without keys runs on a row per partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from molspark.session import materialised
 
-ROWS_PER_PIECE = 100_000
+def dense_index(df: DataFrame, order: str, keys: Sequence[str] = (), name: str = "idx") -> DataFrame:
+    """Add the 0-based rank of `order` (unique in its group, of any ordered type) inside each `keys` group.
 
-
-def dense_index(
-    df: DataFrame,
-    order: str,
-    keys: Sequence[str] = (),
-    name: str = "idx",
-    rows_per_piece: int = ROWS_PER_PIECE,
-) -> DataFrame:
-    """Add the 0-based rank of `order` (a unique integer column) inside each `keys` group.
-
-    A piece is a range of `rows_per_piece` order values, so no window partition holds more rows
-    than that however large the group is.
+    Rows are numbered over the whole table by `sorted_position`, in pieces of counted rows however
+    sparse the values are; a group's least number is then taken off.
     """
-    piece = "_piece"
-    pieced = df.withColumn(piece, F.floor(F.col(order) / F.lit(rows_per_piece)).cast("long"))
-    before = Window.partitionBy(*keys).orderBy(piece).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (
-        pieced.groupBy(*keys, piece)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .select(*keys, piece, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    )
-    inside = Window.partitionBy(*keys, piece).orderBy(order)
+    keys = list(keys)
+    placed = sorted_position(df, [*keys, order], "_at")
+    if not keys:
+        return placed.withColumnRenamed("_at", name)
+    starts = placed.groupBy(*keys).agg(F.min("_at").alias("_start"))
+    starts = starts.select(*(F.col(k).alias(f"_key_{k}") for k in keys), "_start")
+    same = [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys]
     return (
-        pieced.join(offsets, [*keys, piece])
-        .withColumn(name, F.col("_offset") + F.row_number().over(inside) - 1)
-        .drop(piece, "_offset")
+        placed.join(starts, reduce(and_, same))
+        .withColumn(name, F.col("_at") - F.col("_start"))
+        .drop("_at", "_start", *(f"_key_{k}" for k in keys))
     )
 
 

@@ -26,7 +26,7 @@ DECIMALS = 4
 
 def with_descriptors(df: DataFrame, kernel: Kernel, smiles_column: str = "smiles") -> DataFrame:
     """Append the kernel's descriptors, replacing columns of the same name, and drop rows whose
-    text is blank or invalid. One projection and one filter: no shuffle."""
+    text is blank or invalid or lacks a descriptor. Projections and filters: no shuffle."""
     usable = df.withColumn("_text", trimmed(smiles_column)).where(
         (F.col("_text") != "") & kernel.is_valid(F.col("_text"))
     )
@@ -37,17 +37,17 @@ def with_descriptors(df: DataFrame, kernel: Kernel, smiles_column: str = "smiles
             c: F.col(c).cast("double") if c in whole else round_exact(F.col(c), DECIMALS)
             for c in kernel.descriptor_names
         }
-    )
+    ).dropna("any", subset=list(kernel.descriptor_names))
 
 
 def descriptor_stats(
     df: DataFrame, kernel: Kernel, smiles_column: str = "smiles", by: str = "dataset_id"
 ) -> DataFrame:
-    """Input, calculated and failed row counts."""
-    text = trimmed(smiles_column)
-    calculated = F.count_if((text != "") & kernel.is_valid(text))
-    return df.groupBy(by).agg(
-        F.count(F.lit(1)).alias("input"),
-        calculated.alias("calculated"),
-        (F.count(F.lit(1)) - calculated).alias("failed"),
+    """Input, calculated and failed row counts; a row without all descriptors has failed."""
+    given = df.groupBy(by).agg(F.count(F.lit(1)).alias("input"))
+    made = with_descriptors(df, kernel, smiles_column).groupBy(by).agg(F.count(F.lit(1)).alias("calculated"))
+    return (
+        given.join(made, by, "left")
+        .fillna(0, ["calculated"])
+        .select(by, "input", "calculated", (F.col("input") - F.col("calculated")).alias("failed"))
     )

@@ -1,4 +1,4 @@
-"""Capped enumeration of every scaffold with every combination of fragments.
+"""Enumeration of every scaffold with every combination of fragments.
 
 Tables: ``scaffolds(dataset_id, scaffold_id, smiles)`` and the long fragment table
 ``r_groups(dataset_id, label, pos, smiles)``, where ``pos`` numbers the source rows.
@@ -18,10 +18,11 @@ from molspark.functions.kernel import Kernel
 from molspark.functions.ordering import dense_index
 from molspark.session import shuffle_partitions
 
-# Fixed value: attempts per scaffold.
-MAX_PRODUCTS_PER_SCAFFOLD = 50_000
-
 ATTEMPTS_PER_CHUNK = 4096
+CHUNKS_PER_STEP = 4096
+FRAGMENTS_PER_BLOCK = 1024
+# A scaffold's combinations are numbered by a long.
+MOST_ATTEMPTS = float(1 << 63)
 
 
 def trimmed(cell: Column | str) -> Column:
@@ -71,28 +72,30 @@ def indexed_r_groups(r_groups: DataFrame) -> DataFrame:
     return dense_index(r_groups, "pos", ["dataset_id", "label"], "idx").drop("pos")
 
 
-def label_tables(r_groups: DataFrame, kernel: Kernel, max_products: int) -> DataFrame:
-    """One row per dataset: its labels in lexical order, each with size and reachable fragments.
+def label_sizes(r_groups: DataFrame) -> DataFrame:
+    """One row per dataset: its labels in lexical order, each with its number of fragments."""
+    counts = r_groups.groupBy("dataset_id", "label").agg(F.count(F.lit(1)).alias("n"))
+    return counts.groupBy("dataset_id").agg(
+        F.array_sort(F.collect_list(F.struct("label", "n"))).alias("groups")
+    )
+
 
-    A digit never exceeds the attempt number, so fragments at or past the cap are unreachable and
-    the arrays are bounded by the cap.
-    """
-    lists = (
+def fragment_blocks(r_groups: DataFrame, kernel: Kernel) -> DataFrame:
+    """The prepared fragments of each label in blocks of at most FRAGMENTS_PER_BLOCK."""
+    return (
         indexed_r_groups(r_groups)
         .withColumn("prepared", kernel.prepare(F.col("smiles")))
-        .groupBy("dataset_id", "label")
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.array_sort(
-                F.collect_list(F.when(F.col("idx") < max_products, F.struct("idx", "smiles", "prepared")))
-            ).alias("fragments"),
-        )
-    )
-    return lists.groupBy("dataset_id").agg(
-        F.array_sort(F.collect_list(F.struct("label", "n", "fragments"))).alias("groups")
+        .withColumn("block", _div(F.col("idx"), F.lit(FRAGMENTS_PER_BLOCK)))
+        .groupBy("dataset_id", "label", "block")
+        .agg(F.collect_list(F.struct("idx", "smiles", "prepared")).alias("fragments"))
     )
 
 
+def _div(a: Column, b: Column) -> Column:
+    """Whole division of longs, without going through doubles."""
+    return F.call_function("div", a.cast("long"), b.cast("long"))
+
+
 def match_arity(scaffolds: DataFrame, label_counts: DataFrame, kernel: Kernel) -> DataFrame:
     """Scaffolds with ``n_points``, ``n_labels`` and whether enumeration can use them."""
     smiles = trimmed("smiles")
@@ -109,94 +112,152 @@ def match_arity(scaffolds: DataFrame, label_counts: DataFrame, kernel: Kernel) -
     )
 
 
-def _strides(groups: Column, max_products: int) -> Column:
-    """Per label, how many attempts pass before its digit moves; the last label moves fastest.
+def _strides(groups: Column, max_products: int | None) -> Column:
+    """Per label, how many attempts pass before its digit moves; the last label moves fastest. The
+    number of attempts comes first.
 
-    Products are cut at the cap as they grow, so they cannot overflow.
+    With a cap, products are cut at it as they grow; without one, more combinations than a long can
+    number raise an error.
     """
-    cap = F.lit(max_products).cast("long")
+
+    def product(value: Column, n: Column) -> Column:
+        if max_products is not None:
+            cap = F.lit(max_products).cast("long")
+            return F.least(cap, value * F.least(cap, n))
+        too_many = value.cast("double") * n.cast("double") >= MOST_ATTEMPTS
+        message = F.lit("A scaffold has more fragment combinations than a long can number; give max_products.")
+        return F.when(too_many, F.raise_error(message).cast("long")).otherwise(
+            value * F.when(too_many, F.lit(0)).otherwise(n)
+        )
+
     return F.reverse(
         F.aggregate(
             F.reverse(groups),
             F.struct(F.array().cast("array<bigint>").alias("strides"), F.lit(1).cast("long").alias("next")),
             lambda acc, g: F.struct(
                 F.array_append(acc["strides"], acc["next"]).alias("strides"),
-                F.least(cap, acc["next"] * F.least(cap, g["n"])).alias("next"),
+                product(acc["next"], g["n"]).alias("next"),
             ),
             lambda acc: F.array_append(acc["strides"], acc["next"]),
         )
     )
 
 
-def _reachable(group: Column, stride: Column, first: Column, last: Column) -> Column:
-    """The fragments of one label that attempts first..last use, in order of first use."""
-    low = F.floor(first / stride).cast("long")
-    needed = (F.floor(last / stride) - low + 1).cast("int")
-    at = (low % group["n"]).cast("int")
-    to_end = F.least(needed, group["n"].cast("int") - at)
-    picked = F.concat(
-        F.slice(group["fragments"], at + 1, to_end),
-        F.slice(group["fragments"], F.lit(1), needed - to_end),
-    )
-    all_used = needed >= group["n"]
-    return F.struct(
-        group["label"].alias("label"),
-        F.when(all_used, F.lit(0).cast("long")).otherwise(low).alias("base"),
-        stride.alias("stride"),
-        F.when(all_used, group["fragments"]).otherwise(picked).alias("fragments"),
-    )
-
-
 def _digit_value(digit: Column, attempt: Column) -> Column:
     """The fragment that attempt number `attempt` takes for one label."""
-    step = F.floor(attempt / digit["stride"]) - digit["base"]
+    step = _div(attempt, digit["stride"]) - digit["base"]
     return F.get(digit["fragments"], (step % F.size(digit["fragments"])).cast("int"))
 
 
-def attempts(
-    scaffolds: DataFrame,
-    r_groups: DataFrame,
-    kernel: Kernel,
-    max_products: int = MAX_PRODUCTS_PER_SCAFFOLD,
-) -> DataFrame:
-    """Every attempt: ``dataset_id, scaffold_id, ord, smiles, r_groups``; null smiles = skipped.
+def _digits(parts: Column) -> Column:
+    """Per label in order, its fragments in order of use, from the parts of its blocks."""
 
-    `r_groups` maps each label to its fragment.
+    def digit(no: Column) -> Column:
+        own = F.filter(parts, lambda p: p["no"] == no)
+        first = F.get(own, F.lit(0))
+        fragments = F.array_sort(F.flatten(F.transform(own, lambda p: p["used"])))
+        return F.struct(
+            first["label"].alias("label"),
+            first["base"].alias("base"),
+            first["stride"].alias("stride"),
+            fragments.alias("fragments"),
+        )
 
-    Attempt number `ord` is decoded digit by digit into one fragment per label, so no more than
-    `max_products` rows per scaffold ever exist. Attempts are produced in chunks that carry just
-    the fragments they use; spreading the chunks evens out scaffolds and datasets of any size.
-    """
-    tables = label_tables(r_groups, kernel, max_products)
-    label_counts = tables.select("dataset_id", F.size("groups").alias("n_labels"), "groups")
-    usable = match_arity(scaffolds, label_counts, kernel).where("usable")
-    sized = (
-        usable.withColumn("_strides", _strides(F.col("groups"), max_products))
+    last = F.array_max(F.transform(parts, lambda p: p["no"]))
+    return F.transform(F.sequence(F.lit(0), last), digit)
+
+
+def sized_scaffolds(
+    scaffolds: DataFrame, r_groups: DataFrame, kernel: Kernel, max_products: int | None = None
+) -> DataFrame:
+    """Usable scaffolds with their labels, strides and number of attempts (``_total``)."""
+    sizes = label_sizes(r_groups).select("dataset_id", F.size("groups").alias("n_labels"), "groups")
+    return (
+        match_arity(scaffolds, sizes, kernel)
+        .where("usable AND groups IS NOT NULL")
+        .withColumn("_strides", _strides(F.col("groups"), max_products))
         .withColumn("_total", F.element_at("_strides", 1))
         .withColumn("_strides", F.slice("_strides", 2, F.size("groups")))
-        .withColumn("_scaffold", kernel.prepare(F.col("smiles")))
     )
-    chunks = (
-        sized.withColumn(
-            "_first",
-            F.explode(F.sequence(F.lit(0).cast("long"), F.col("_total") - 1, F.lit(ATTEMPTS_PER_CHUNK).cast("long"))),
+
+
+def _chunks(sized: DataFrame) -> DataFrame:
+    """A row per chunk of attempts and label: which of the label's fragments the chunk uses.
+
+    Attempts _first.._last use fragments a, a + 1, ... (`take` of them, round the end of the list).
+    """
+    step = F.lit(ATTEMPTS_PER_CHUNK * CHUNKS_PER_STEP).cast("long")
+    chunk = F.lit(ATTEMPTS_PER_CHUNK).cast("long")
+    low = _div(F.col("_first"), F.col("stride"))
+    ranged = (
+        sized.withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_total") - 1, step)))
+        .withColumn(
+            "_first", F.explode(F.sequence("_from", F.least(F.col("_from") + step, F.col("_total")) - 1, chunk))
         )
-        .withColumn("_last", F.least(F.col("_first") + ATTEMPTS_PER_CHUNK, F.col("_total")) - 1)
+        .withColumn("_last", F.least(F.col("_first") + chunk, F.col("_total")) - 1)
         .select(
             "dataset_id",
             "scaffold_id",
             "_scaffold",
             "_first",
             "_last",
-            F.zip_with(
-                "groups",
-                "_strides",
-                lambda g, s: _reachable(g, s, F.col("_first"), F.col("_last")),
-            ).alias("_digits"),
+            F.posexplode(
+                F.zip_with("groups", "_strides", lambda g, s: F.struct(g["label"].alias("label"), g["n"].alias("n"), s.alias("stride")))
+            ).alias("no", "g"),
         )
+        .select("dataset_id", "scaffold_id", "_scaffold", "_first", "_last", "no", "g.*")
+        .withColumn("base", low)
+        .withColumn("a", F.col("base") % F.col("n"))
+        .withColumn("take", F.least(_div(F.col("_last"), F.col("stride")) - F.col("base") + 1, F.col("n")))
+    )
+    size = F.lit(FRAGMENTS_PER_BLOCK)
+    stop = F.col("a") + F.col("take") - 1
+    blocks = F.sequence(_div(F.col("a"), size), _div(F.least(stop, F.col("n") - 1), size))
+    round_the_end = F.sequence(F.lit(0).cast("long"), _div(stop - F.col("n"), size))
+    return ranged.withColumn(
+        "block",
+        F.explode(F.when(stop < F.col("n"), blocks).otherwise(F.array_union(blocks, round_the_end))),
+    )
+
+
+def attempts(
+    scaffolds: DataFrame,
+    r_groups: DataFrame,
+    kernel: Kernel,
+    max_products: int | None = None,
+) -> DataFrame:
+    """Every attempt: ``dataset_id, scaffold_id, ord, smiles, r_groups``; null smiles = skipped.
+
+    `r_groups` maps each label to its fragment; scaffold ids are unique in their dataset. All
+    combinations are attempted, or the first `max_products` of each scaffold if the caller says so.
+
+    Attempt number `ord` is decoded digit by digit into one fragment per label. Attempts are produced
+    in chunks of bounded size. A chunk meets only the fragment blocks it uses, and of those only the
+    fragments it uses go on; so no row ever holds all fragments of a dataset.
+    """
+    sized = sized_scaffolds(scaffolds, r_groups, kernel, max_products).withColumn(
+        "_scaffold", kernel.prepare(F.col("smiles"))
+    )
+    keys = ["dataset_id", "scaffold_id", "_first"]
+    at = lambda f: F.pmod(f["idx"] - F.col("a"), F.col("n"))
+    used = F.transform(
+        F.filter("fragments", lambda f: at(f) < F.col("take")),
+        lambda f: F.struct(at(f).alias("at"), f["smiles"].alias("smiles"), f["prepared"].alias("prepared")),
+    )
+    chunks = (
+        _chunks(sized)
+        .join(fragment_blocks(r_groups, kernel), ["dataset_id", "label", "block"])
+        .select(*keys, "_scaffold", "_last", F.struct("no", "label", "base", "stride", used.alias("used")).alias("part"))
         # A stated number of partitions: a chunk is small but its work is not, so the chunks must
         # not be packed together by their size.
-        .repartition(shuffle_partitions(scaffolds.sparkSession), "dataset_id", "scaffold_id", "_first")
+        .repartition(shuffle_partitions(scaffolds.sparkSession), *keys)
+        .groupBy(*keys)
+        .agg(
+            F.first("_scaffold").alias("_scaffold"),
+            F.first("_last").alias("_last"),
+            F.collect_list("part").alias("_parts"),
+        )
+        .withColumn("_digits", _digits(F.col("_parts")))
     )
     # Decoding happens before the rows are exploded, so no product row ever drags the chunk's
     # fragment arrays along.
@@ -248,20 +309,27 @@ def enumerate_library(
     scaffolds: DataFrame,
     r_groups: DataFrame,
     kernel: Kernel,
-    max_products: int = MAX_PRODUCTS_PER_SCAFFOLD,
+    max_products: int | None = None,
 ) -> DataFrame:
     """Distinct products per dataset, each from the first scaffold and attempt that made it."""
     made = attempts(scaffolds, r_groups, kernel, max_products).where(F.col("smiles").isNotNull())
     return first_seen_distinct(made, ["dataset_id", "smiles"], ["scaffold_id", "ord"])
 
 
-def enumeration_stats(made: DataFrame) -> DataFrame:
-    """Attempted, valid and skipped combinations per dataset."""
-    return made.groupBy("dataset_id").agg(
+def enumeration_stats(made: DataFrame, possible: DataFrame | None = None) -> DataFrame:
+    """Attempted, valid and skipped combinations per dataset; with `possible_counts`, how many there
+    are in all, so that a cap shows."""
+    stats = made.groupBy("dataset_id").agg(
         F.count(F.lit(1)).alias("attempted"),
         F.count("smiles").alias("valid"),
         (F.count(F.lit(1)) - F.count("smiles")).alias("skipped"),
     )
+    return stats if possible is None else stats.join(possible, "dataset_id")
+
+
+def possible_counts(scaffolds: DataFrame, r_groups: DataFrame, kernel: Kernel) -> DataFrame:
+    """``(dataset_id, possible)``: all combinations of its usable scaffolds."""
+    return sized_scaffolds(scaffolds, r_groups, kernel).groupBy("dataset_id").agg(F.sum("_total").alias("possible"))
 
 
 def wide_products(products: DataFrame, labels: Sequence[str]) -> DataFrame:

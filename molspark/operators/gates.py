@@ -245,9 +245,9 @@ def run_summary(datasets: DataFrame, pipeline_id: str, run_id: str) -> DataFrame
 
     The ids stay rows of that table: a list of them all would be gathered in one task.
     """
-    headline = F.when(
-        F.col("discovered") == 0, F.lit("No new datasets found this run.")
-    ).otherwise(F.format_string("Processed %d dataset(s), %d passed", "discovered", "passed"))
+    headline = F.when(F.col("discovered") == 0, F.lit("There was nothing new to run.")).otherwise(
+        F.format_string("%d dataset(s) run, %d through every gate", "discovered", "passed")
+    )
     return (
         datasets.agg(
             F.count(F.lit(1)).alias("discovered"), F.count_if("passed").alias("passed")
@@ -259,18 +259,22 @@ def run_summary(datasets: DataFrame, pipeline_id: str, run_id: str) -> DataFrame
     )
 
 
-def failure_records(failures: DataFrame, pipeline_id: str, run_id: str) -> DataFrame:
-    """A message per failed dataset, from ``(dataset_id, gate, report)``."""
-    return failures.select(
-        KEY,
-        F.col("gate").alias("stage"),
-        F.lit(run_id).alias("run_id"),
-        F.col("report").alias("error"),
-        F.concat_ws(
-            "  \n",
-            F.lit(f"**Pipeline:** {pipeline_id}"),
-            F.concat(F.lit("**Stage:** "), F.col("gate")),
-            F.lit(f"**Run:** {run_id}"),
-            F.concat(F.lit("**Error:** "), F.col("report")),
-        ).alias("message"),
+def failure_records(
+    failures: DataFrame, pipeline_id: str, run_id: str, log_base: str | None = None
+) -> DataFrame:
+    """A message per failed dataset, from ``(dataset_id, gate, report)``. With `log_base` each record
+    links to ``log_base/run_id/stage/dataset_id``."""
+    link = (
+        F.concat_ws("/", F.lit(log_base.rstrip("/")), F.lit(run_id), "gate", KEY)
+        if log_base
+        else F.lit(None).cast("string")
+    )
+    records = failures.select(
+        KEY, F.col("gate").alias("stage"), F.lit(run_id).alias("run_id"), F.col("report").alias("error"), link.alias("log_url")
     )
+    lines = [
+        F.concat(F.lit(f"{pipeline_id}, run {run_id}: dataset "), KEY, F.lit(" stopped at "), "stage"),
+        F.concat(F.lit("Figures: "), "error"),
+        F.concat(F.lit("Log: "), "log_url"),
+    ]
+    return records.withColumn("message", F.concat_ws("\n", *lines))

@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from molspark.functions.columns import fill_layers, is_numeric, label_text, layer_columns
+from molspark.functions.columns import doubles_of, fill_layers, is_numeric, label_text, layer_columns
 from molspark.functions.lookup import skew_safe_lookup
 from molspark.functions.ordering import dense_index
 
+# Fixed value: the layer's name when there is no other.
 DEFAULT_LAYER = "Default Map"
 
 
@@ -39,7 +40,7 @@ def colour_layers(df: DataFrame, order: str, keys: Sequence[str] = ()) -> tuple[
     is a single constant one.
     """
     layers = [c for c in layer_columns(df) if c not in (order, *keys)]
-    filled = fill_layers(df, layers).withColumn("label", label_text(layers))
+    filled = fill_layers(df, layers).withColumn("label", label_text(layers, doubles_of(df, layers)))
     categories = {c: not is_numeric(df, c) for c in layers}
     if not layers:
         return filled.withColumn(DEFAULT_LAYER, F.lit(0.0)), {DEFAULT_LAYER: False}

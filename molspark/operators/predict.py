@@ -32,29 +32,33 @@ def predict(
     targets: Sequence[str],
     smiles_column: str = "smiles",
     prediction_column: str = PREDICTION_COLUMN,
+    check: bool = True,
 ) -> DataFrame:
     """Append the model's targets, as text, replacing columns of the same name.
 
-    Rows stay in their partitions and batches carry their predictions with them, so no join and no
-    shuffle is needed.
+    Only the text column goes through Python; the model is loaded once per task. Rows stay in their
+    partitions, so no join and no shuffle is needed. No rows at all raise, unless `check` is off.
     """
     if load is None:
         raise PredictorNotConfigured("No model configured; skipping prediction.")
+    if check and df.isEmpty():
+        raise ValueError("There are no rows to predict.")
     names = prediction_names(targets, prediction_column)
     kept = df.drop(*names)
-    schema = T.StructType(
-        kept.schema.fields + [T.StructField(n, T.StringType()) for n in names]
-    )
+    found = T.StructType([T.StructField(t, T.StringType()) for t in targets])
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    @F.pandas_udf(found)
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = load()
-        for batch in batches:
-            found = model(batch[smiles_column])
-            for name, target in zip(names, targets, strict=True):
-                batch[name] = found[target].astype(str).to_numpy()
-            yield batch
-
-    return kept.mapInPandas(score, schema)
+        for texts in batches:
+            made = model(texts)
+            yield pd.DataFrame({t: made[t].astype(str).to_numpy() for t in targets})
+
+    scored = kept.withColumn("_scores", score(F.col(f"`{smiles_column}`")))
+    return scored.select(
+        *(F.col(f"`{c}`") for c in kept.columns),
+        *(F.col("_scores")[t].alias(n) for t, n in zip(targets, names, strict=True)),
+    )
 
 
 def merge_predictions(

@@ -16,41 +16,42 @@ def _without(key: Column, suffix: str) -> Column:
     return F.substring(key, F.lit(1), F.length(key) - len(suffix))
 
 
-def match_pairs(keys: DataFrame) -> DataFrame:
-    """Ids having both input files. Ids may contain path segments.
+def dataset_status(keys: DataFrame) -> DataFrame:
+    """``(dataset_id, has_scaffolds, has_r_groups, done)`` of every id some key speaks of. Ids may
+    contain path segments.
 
     One grouping over the keys does it: a hot prefix or a repeated key only adds to a partial
     aggregate.
     """
     key = F.col("key")
-    is_scaffolds = key.endswith(SCAFFOLDS_SUFFIX)
-    is_r_groups = key.endswith(R_GROUPS_SUFFIX)
-    return (
-        keys.where(is_scaffolds | is_r_groups)
-        .select(
-            F.when(is_scaffolds, _without(key, SCAFFOLDS_SUFFIX))
-            .otherwise(_without(key, R_GROUPS_SUFFIX))
-            .alias("dataset_id"),
-            is_scaffolds.alias("_scaffolds"),
+    inner = F.substring(
+        key, F.lit(len(OUTPUT_PREFIX) + 1), F.length(key) - len(OUTPUT_PREFIX) - len(DONE_NAME)
+    )
+    kind = (
+        F.when(key.endswith(SCAFFOLDS_SUFFIX), F.struct(F.lit(0).alias("kind"), _without(key, SCAFFOLDS_SUFFIX).alias("id")))
+        .when(key.endswith(R_GROUPS_SUFFIX), F.struct(F.lit(1).alias("kind"), _without(key, R_GROUPS_SUFFIX).alias("id")))
+        .when(
+            key.startswith(OUTPUT_PREFIX) & key.endswith(DONE_NAME),
+            F.struct(F.lit(2).alias("kind"), inner.alias("id")),
         )
-        .groupBy("dataset_id")
-        .agg(F.bool_or("_scaffolds").alias("_s"), F.bool_or(~F.col("_scaffolds")).alias("_r"))
-        .where("_s AND _r")
-        .select("dataset_id")
     )
+    is_kind = lambda n: F.bool_or(F.col("k.kind") == n)
+    return (
+        keys.select(kind.alias("k"))
+        .where("k IS NOT NULL")
+        .groupBy(F.col("k.id").alias("dataset_id"))
+        .agg(is_kind(0).alias("has_scaffolds"), is_kind(1).alias("has_r_groups"), is_kind(2).alias("done"))
+    )
+
+
+def match_pairs(keys: DataFrame) -> DataFrame:
+    """Ids having both input files."""
+    return dataset_status(keys).where("has_scaffolds AND has_r_groups").select("dataset_id")
 
 
 def processed_ids(keys: DataFrame) -> DataFrame:
     """Ids whose output exists among the keys."""
-    key = F.col("key")
-    inner = F.substring(
-        key, F.lit(len(OUTPUT_PREFIX) + 1), F.length(key) - len(OUTPUT_PREFIX) - len(DONE_NAME)
-    )
-    return (
-        keys.where(key.startswith(OUTPUT_PREFIX) & key.endswith(DONE_NAME))
-        .select(inner.alias("dataset_id"))
-        .distinct()
-    )
+    return dataset_status(keys).where("done").select("dataset_id")
 
 
 def discover(

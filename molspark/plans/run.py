@@ -16,15 +16,17 @@ from pyspark.sql import functions as F
 
 from molspark.functions.columns import MOLECULE_ID
 from molspark.functions.kernel import Kernel, text_kernel
+from molspark.functions.ordering import sorted_position
 from molspark.operators import clustering, descriptors, gates, layers, predict, similarity, spanning_tree
 from molspark.operators import enumerate as library
 from molspark.plans import discover
 from molspark.session import materialised
 from molspark.sources.listing import list_keys
 from molspark.sources.pairs import read_pairs
-from molspark.sources.tables import write_stage
+from molspark.sources.tables import drop_partitions, write_stage
 
 KEY = "dataset_id"
+RUNS = f"{KEY} STRING, passed BOOLEAN, finished TIMESTAMP"
 GATE_ORDER = (
     "inputs_present",
     "scaffold_validity",
@@ -33,6 +35,7 @@ GATE_ORDER = (
     "generation",
     "cluster_count",
     "cluster_balance",
+    "graph_rows",
 )
 
 
@@ -43,25 +46,31 @@ class RunConfig:
     dataset_id: str = ""
     overwrite: bool = False
     n_clusters: int = clustering.DEFAULT_K
-    max_products: int = library.MAX_PRODUCTS_PER_SCAFFOLD
+    auto_k_range: tuple[int, int] | None = None
+    max_products: int | None = None
     min_valid_ratio: float = gates.MIN_VALID_RATIO
     min_products: int = gates.MIN_PRODUCTS
     max_dominant_ratio: float = gates.MAX_DOMINANT_RATIO
     features: Sequence[str] | None = None
     with_graph: bool = True
     graph: dict = field(default_factory=dict)
+    fingerprint: str | None = None
+    log_base: str | None = None
     predictor: predict.Loader | None = None
     targets: Sequence[str] = ("prediction",)
     run_id: str = "run"
 
 
 def published(spark: SparkSession, output_base: str) -> DataFrame:
-    """Ids with published clusters; only partition folders and footers are read."""
+    """Ids whose latest run passed, from the small table that every run adds its datasets to."""
     try:
-        table = spark.read.schema(f"{KEY} STRING").parquet(f"{output_base}/clusters")
-    except AnalysisException:
+        runs = spark.read.schema(RUNS).parquet(f"{output_base}/processed")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], f"{KEY} STRING")
-    return table.select(KEY).distinct()
+    latest = runs.groupBy(KEY).agg(F.max_by("passed", "finished").alias("passed"))
+    return latest.where("passed").select(KEY)
 
 
 def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | None = None) -> dict[str, DataFrame]:
@@ -98,7 +107,9 @@ def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | No
     molecules = library.enumerate_library(
         scaffolds.join(alive, KEY, "left_semi"), fragments, kernel, config.max_products
     )
-    molecules = _stage(spark, molecules, f"{out}/molecules")
+    names = [row[KEY] for row in ids.toLocalIterator()]
+    stage = lambda df, name: _stage(spark, df, f"{out}/{name}", names)
+    molecules = stage(molecules, "molecules")
     molecules = molecules.join(alive, KEY, "left_semi")
     reports.append(
         materialised(
@@ -108,17 +119,20 @@ def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | No
     alive = materialised(gates.passing(alive, reports[-1]))
 
     described = descriptors.with_descriptors(molecules.join(alive, KEY, "left_semi"), kernel)
-    properties = _stage(spark, described, f"{out}/properties").join(alive, KEY, "left_semi")
-    points = properties.withColumn(
-        clustering.ID, F.col("scaffold_id") * config.max_products + F.col("ord")
-    )
-    enough = clustering.check_k(points, config.n_clusters).withColumnRenamed("enough", "passed")
+    properties = stage(described, "properties").join(alive, KEY, "left_semi")
+    points = sorted_position(properties, [KEY, "scaffold_id", "ord"], clustering.ID)
+    least = 1 if config.auto_k_range else config.n_clusters
+    enough = clustering.check_k(points, least).withColumnRenamed("enough", "passed")
     reports.append(materialised(gates.as_report(_all(alive, enough), "cluster_count")))
     alive = materialised(gates.passing(alive, reports[-1]))
 
     clustered = materialised(
         clustering.cluster_rows(
-            points.join(alive, KEY, "left_semi"), features, config.n_clusters, check=False
+            points.join(alive, KEY, "left_semi"),
+            features,
+            config.n_clusters,
+            check=False,
+            auto_k_range=config.auto_k_range,
         )
     )
     sizes = gates.cluster_sizes(clustered)
@@ -132,27 +146,34 @@ def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | No
     alive = materialised(gates.passing(alive, reports[-1]))
     good = clustered.join(alive, KEY, "left_semi")
     tables = {"molecules": molecules, "properties": properties}
-    tables["clusters"] = _stage(spark, good.drop(clustering.ID), f"{out}/clusters")
+    tables["clusters"] = stage(good.drop(clustering.ID), "clusters")
+    asked = None if config.auto_k_range else config.n_clusters
+    tables["cluster_stats"] = clustering.cluster_stats(good, features, asked)
 
     if config.with_graph:
-        for name, table in build_graph(good, kernel, **config.graph).items():
-            tables[name] = _stage(spark, table, f"{out}/{name}")
+        graph = build_graph(good, kernel, config.fingerprint, **config.graph)
+        for name, table in graph.items():
+            tables[name] = stage(table, name)
+        usable = gates.min_count_gate(tables["nodes"], 1, alive)
+        reports.append(materialised(gates.as_report(usable, "graph_rows")))
     if config.predictor is not None:
-        scored = predict.predict(good, config.predictor, config.targets)
-        tables["predictions"] = _stage(spark, scored.drop(clustering.ID), f"{out}/predictions")
+        scored = predict.predict(good, config.predictor, config.targets, check=False)
+        tables["predictions"] = stage(scored.drop(clustering.ID), "predictions")
 
     all_reports = materialised(gates.union_reports(reports))
     failures = gates.first_failures(all_reports, GATE_ORDER)
     datasets = gates.run_datasets(ids, alive, config.run_id)
     tables |= {
         "reports": all_reports,
-        "failures": gates.failure_records(failures, "library", config.run_id),
+        "failures": gates.failure_records(failures, "library", config.run_id, config.log_base),
         "run_datasets": datasets,
         "run_summary": gates.run_summary(datasets, "library", config.run_id),
         "skipped": skipped,
     }
     for name in ("reports", "failures", "run_datasets", "run_summary"):
         tables[name].write.mode("overwrite").parquet(f"{out}/runs/{config.run_id}/{name}")
+    finished = datasets.select(KEY, "passed", F.current_timestamp().alias("finished"))
+    finished.coalesce(1).write.mode("append").parquet(f"{out}/processed")
     return tables
 
 
@@ -161,18 +182,29 @@ def _all(ids: DataFrame, gate: DataFrame) -> DataFrame:
     return ids.join(gate, KEY, "left").fillna(0, ["n"]).fillna(False, ["passed"])
 
 
-def _stage(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+def _stage(spark: SparkSession, df: DataFrame, path: str, names: Sequence[str]) -> DataFrame:
+    """Write a stage; what an earlier run left there for the run's datasets goes first."""
     schema = df.schema
+    drop_partitions(spark, path, KEY, names)
     write_stage(df, path)
     return spark.read.schema(schema).parquet(path)
 
 
-def build_graph(clustered: DataFrame, kernel: Kernel, **options) -> dict[str, DataFrame]:
-    """Nodes with labels and colour layers, edges with tree marks, and the rows left out."""
-    rows = clustered.drop("r_groups", "scaffold_id", "ord").withColumn(
-        MOLECULE_ID, F.concat(F.lit("mol_"), F.col(clustering.ID))
+def build_graph(
+    clustered: DataFrame, kernel: Kernel, fingerprint: str | None = None, **options
+) -> dict[str, DataFrame]:
+    """Nodes with labels and colour layers, edges with tree marks, and the rows left out.
+
+    Each fragment label is a layer; there are only as many as the widest input has columns.
+    """
+    found = clustered.select(F.explode(F.map_keys("r_groups")).alias("label")).distinct()
+    fragments = sorted(r["label"] for r in found.collect())
+    rows = (
+        clustered.withColumns({c: F.col("r_groups")[c] for c in fragments if c not in clustered.columns})
+        .drop("r_groups", "scaffold_id", "ord")
+        .withColumn(MOLECULE_ID, F.concat(F.lit("mol_"), F.col(clustering.ID)))
     )
-    valid, invalid = similarity.split_valid(rows, kernel)
+    valid, invalid = similarity.split_valid(rows, kernel, fingerprint)
     nodes = valid.select(KEY, F.col(clustering.ID).alias("id"), "fingerprint")
     edges, copies = similarity.neighbour_graph(nodes, **options)
     edges = materialised(edges)

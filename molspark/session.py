@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,7 +40,25 @@ def spread(df: DataFrame) -> DataFrame:
 
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path for a working table under the shared folder."""
-    return f"{_shared_root(spark).rstrip('/')}/molspark-{uuid.uuid4().hex}/{name}"
+    folder = f"{_shared_root(spark).rstrip('/')}/molspark-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(folder)
+    return f"{folder}/{name}"
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def work_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete the working tables made inside when it ends. What is returned must be read before."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialised(df: DataFrame) -> DataFrame:

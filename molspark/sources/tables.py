@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from molspark.functions.columns import union_by_name
@@ -13,10 +14,18 @@ from molspark.functions.columns import union_by_name
 def read_strings(
     spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], multi_line: bool = False
 ) -> DataFrame:
-    """CSV with a header row, every cell a string. Blank lines are skipped and cells a short row
-    lacks are null. `multi_line` allows line breaks inside quotes, at the price of unsplit files."""
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    return _csv(spark, multi_line).schema(schema).csv(path)
+    """CSV with a header row, every cell a string, columns found by their header name.
+
+    A column that the header lacks is null. Files of one path must share one header, else the scan
+    raises. Blank lines are skipped; blank cells and cells a short row lacks are null. `multi_line`
+    allows line breaks inside quotes, at the price of unsplit files.
+    """
+    header = _csv(spark, multi_line).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    rows = _csv(spark, multi_line).option("enforceSchema", False).schema(schema).csv(path)
+    return rows.select(
+        *(F.col(f"`{c}`") if c in header else F.lit(None).cast("string").alias(c) for c in columns)
+    )
 
 
 def read_typed(
@@ -52,11 +61,25 @@ def write_csv(frames: DataFrame | Sequence[DataFrame], path: str) -> str:
         .option("quote", '"')
         .option("escape", '"')
         .option("emptyValue", "")
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
     return path
 
 
+def drop_partitions(spark: SparkSession, path: str, key: str, values: Iterable[str]) -> None:
+    """Delete the folders of some datasets, so that one which gives no rows any more leaves none."""
+    jvm = spark._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return
+    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in values:
+        files.delete(jvm.org.apache.hadoop.fs.Path(folder, f"{key}={escape(value)}"), True)
+
+
 def write_stage(df: DataFrame, path: str, key: str = "dataset_id") -> str:
     """Publish a stage as Parquet with one folder per dataset, replacing those datasets only.
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from molspark.functions import columns
 from molspark.plans import discover
 from molspark.session import work_path
-from molspark.sources import listing, people, tables
+from molspark.sources import listing, pairs, people, tables
 from workload.inputs import table
 
 
@@ -47,20 +47,14 @@ done AS (
 )"""
 
 
-def list_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return listing.list_keys(spark, sf_dir, "*.parquet").select("key", "length")
-
-
 def pair_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return discover.match_pairs(object_keys(spark, sf_dir))
 
 
 def discover_new(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keys = object_keys(spark, sf_dir)
-    new, skipped = discover.discover(discover.match_pairs(keys), discover.processed_ids(keys))
-    return new.withColumn("status", F.lit("new")).unionByName(
-        skipped.withColumn("status", F.lit("skipped"))
-    )
+    status = F.when(F.col("done"), "skipped").otherwise("new")
+    paired = discover.dataset_status(object_keys(spark, sf_dir)).where("has_scaffolds AND has_r_groups")
+    return paired.select("dataset_id", status.alias("status"))
 
 
 def discover_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,6 +91,28 @@ def csv_string_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.read_strings(spark, path, DOC_COLUMNS, multi_line=True)
 
 
+def pair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text and language through the reader of input pairs: a dataset per source, whole documents
+    as cells with their quotes, line breaks and blanks, and the columns in the other order in one file."""
+    base = work_path(spark, "pairs")
+    docs = table(spark, sf_dir, "documents").withColumn("dataset", F.coalesce("source", F.lit("none")))
+    docs = docs.withColumn("cell", F.concat(F.lit('  "'), F.coalesce("text", F.lit("")), F.lit('", ')))
+    names = [r["dataset"] for r in docs.select("dataset").distinct().orderBy("dataset").collect()]
+    for number, name in enumerate(names):
+        own = docs.where(F.col("dataset") == name)
+        cells = [F.col("cell").alias(" Smiles "), F.col("doc_id").cast("string").alias("id")]
+        for suffix, rows in (
+            (discover.SCAFFOLDS_SUFFIX, own.select(*cells[:: -1 if number % 2 else 1])),
+            (discover.R_GROUPS_SUFFIX, own.select(F.col("lang").alias("R1"), F.col("cell").alias("R2"), F.col("doc_id").alias("R3"))),
+        ):
+            tables.write_csv(rows.coalesce(1), f"{base}/{name}{suffix}")
+    listed = spark.createDataFrame([(n,) for n in names], "dataset_id string")
+    scaffolds, cells = pairs.read_pairs(spark, base, listed)
+    return scaffolds.select("dataset_id", F.lit("scaffold").alias("label"), "smiles").unionByName(
+        cells.select("dataset_id", "label", "smiles")
+    )
+
+
 def csv_typed_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "part_csv")
     tables.write_csv(table(spark, sf_dir, "part"), path)
@@ -110,13 +126,13 @@ def csv_union_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers and suppliers under one header; cells a side lacks come back as null."""
     path = work_path(spark, "parties_csv")
     customers = table(spark, sf_dir, "customer").selectExpr(
-        "c_custkey AS key", "c_name AS name", "c_mktsegment AS segment"
+        "c_custkey AS key", "concat('  ', c_name, ' ') AS name", "c_mktsegment AS segment"
     )
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS key", "s_name AS name", "s_nationkey AS nation"
     )
     tables.write_csv([customers, suppliers], path)
-    return tables.read_strings(spark, path, ["key", "name", "segment", "nation"])
+    return tables.read_strings(spark, path, ["nation", "segment", "name", "key"])
 
 
 def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -193,7 +209,13 @@ def _layered(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("molecule id"),
         F.when(F.col("p_size") % 3 > 0, F.col("p_size")).alias("size"),
         F.when(F.col("p_type") != "PROMO", F.concat(F.lit("\\\"it's\" "), F.col("p_type"))).alias("kind"),
-        F.when(F.col("p_size") < 40, F.col("p_retailprice")).alias("price"),
+        F.when(F.col("p_size") % 7 == 1, F.lit(0.0005))
+        .when(F.col("p_size") % 7 == 2, F.lit(12345678.0))
+        .when(F.col("p_size") % 7 == 3, F.lit(float("nan")))
+        .when(F.col("p_size") % 7 == 4, F.lit(1e-5))
+        .when(F.col("p_size") % 7 == 5, F.lit(2.5e16))
+        .when(F.col("p_size") < 40, F.col("p_retailprice"))
+        .alias("price"),
     )
 
 
@@ -206,18 +228,18 @@ def label_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = _layered(spark, sf_dir)
     layers = columns.layer_columns(parts)
     return columns.fill_layers(parts, layers).select(
-        F.col("`molecule id`").alias("part_key"), columns.label_text(layers).alias("label")
+        F.col("`molecule id`").alias("part_key"), columns.label_text(layers, columns.doubles_of(parts, layers)).alias("label")
     )
 
 
 QUERIES = {
-    "list_sources": list_sources,
     "pair_match": pair_match,
     "discover_new": discover_new,
     "discover_overwrite": discover_overwrite,
     "required_inputs": required_inputs,
     "object_exists": object_exists,
     "csv_string_scan": csv_string_scan,
+    "pair_files": pair_files,
     "csv_typed_scan": csv_typed_scan,
     "csv_union_header": csv_union_header,
     "json_people": json_people,
@@ -245,7 +267,8 @@ layered AS (
   SELECT p_name AS smiles, p_partkey AS "molecule id",
     coalesce(CASE WHEN p_size % 3 > 0 THEN p_size END, 0) AS size,
     coalesce(CASE WHEN p_type <> 'PROMO' THEN '\"it''s" ' || p_type END, 'N/A') AS kind,
-    coalesce(CASE WHEN p_size < 40 THEN p_retailprice END, 0) AS price
+    CASE p_size % 7 WHEN 1 THEN 0.0005::DOUBLE WHEN 2 THEN 12345678 WHEN 3 THEN 0 WHEN 4 THEN 1e-5 WHEN 5 THEN 2.5e16
+      ELSE coalesce(CASE WHEN p_size < 40 THEN p_retailprice END, 0) END AS price
   FROM part
 )"""
 
@@ -263,9 +286,14 @@ SELECT dataset_id, dataset_id || s AS key FROM wanted WHERE dataset_id || s NOT
 SELECT c_custkey, key FROM customer
 JOIN keys ON key = 'processed/' || lower(c_mktsegment) || '/' || c_custkey || '/clusters.csv'""",
     "csv_string_scan": "SELECT doc_id::VARCHAR AS doc_id, text, lang, source FROM documents",
+    "pair_files": """WITH c AS (SELECT coalesce(source, 'none') AS dataset_id, doc_id, lang,
+  '  "' || coalesce(text, '') || '", ' AS cell FROM documents)
+SELECT dataset_id, 'scaffold' AS label, trim(cell) AS smiles FROM c
+UNION ALL SELECT dataset_id, 'R1', coalesce(lang, '') FROM c UNION ALL SELECT dataset_id, 'R2', cell FROM c
+UNION ALL SELECT dataset_id, 'R3', coalesce(doc_id::VARCHAR, '') FROM c""",
     "csv_typed_scan": "SELECT * FROM part",
     "csv_union_header": """
-SELECT c_custkey::VARCHAR AS key, c_name AS name, c_mktsegment AS segment, NULL::VARCHAR AS nation FROM customer
+SELECT c_custkey::VARCHAR AS key, '  ' || c_name || ' ' AS name, c_mktsegment AS segment, NULL::VARCHAR AS nation FROM customer
 UNION ALL SELECT s_suppkey::VARCHAR, s_name, NULL, s_nationkey::VARCHAR FROM supplier""",
     "json_people": f"WITH {_PEOPLE_SQL} SELECT * FROM turns",
     "event_numbers": "SELECT event_id, (props->>'k')::INT AS number FROM events",

@@ -13,7 +13,7 @@ from workload import inputs
 from workload.inputs import LABELS
 
 KERNEL = text_kernel()
-# Attempts per scaffold in the checked queries (the cap is a parameter of the operator).
+# Attempts per scaffold of `enumerate_capped`, whose feature the cap is.
 CAP = 2_000
 
 
@@ -46,20 +46,20 @@ def _long_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return library.load_r_groups(inputs.r_group_rows(spark, sf_dir), LABELS, KERNEL)
 
 
-def _attempts(spark: SparkSession, sf_dir: str, cap: int = CAP) -> DataFrame:
+def _attempts(spark: SparkSession, sf_dir: str, cap: int | None = None) -> DataFrame:
     return library.attempts(
         inputs.scaffolds(spark, sf_dir), _long_groups(spark, sf_dir), KERNEL, cap
     )
 
 
-def products(spark: SparkSession, sf_dir: str, cap: int = CAP) -> DataFrame:
+def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return library.enumerate_library(
-        inputs.scaffolds(spark, sf_dir), _long_groups(spark, sf_dir), KERNEL, cap
+        inputs.scaffolds(spark, sf_dir), _long_groups(spark, sf_dir), KERNEL
     )
 
 
 def enumerate_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return library.wide_products(_attempts(spark, sf_dir), LABELS)
+    return library.wide_products(_attempts(spark, sf_dir, CAP), LABELS)
 
 
 def arity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,11 +84,14 @@ def first_seen_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return library.enumeration_stats(_attempts(spark, sf_dir))
+    possible = library.possible_counts(
+        inputs.scaffolds(spark, sf_dir), _long_groups(spark, sf_dir), KERNEL
+    )
+    return library.enumeration_stats(_attempts(spark, sf_dir), possible)
 
 
-def described(spark: SparkSession, sf_dir: str, cap: int = CAP) -> DataFrame:
-    return descriptors.with_descriptors(products(spark, sf_dir, cap), KERNEL)
+def described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return descriptors.with_descriptors(products(spark, sf_dir), KERNEL)
 
 
 def product_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,11 +157,11 @@ texts AS (
 SELECT smiles, n, CASE WHEN NOT regexp_matches(smiles, '%9[1-9]')
   AND NOT regexp_matches({inputs.weld_sql('smiles')}, '{inputs.UNWELDABLE_SQL}')
   THEN {inputs.weld_sql('smiles')} END AS welded FROM texts""",
-    "first_seen_distinct": inputs.products_sql(CAP) + " SELECT * FROM products",
-    "stage_stats": inputs.attempts_sql(CAP) + """
+    "first_seen_distinct": inputs.products_sql() + " SELECT * FROM products",
+    "stage_stats": inputs.attempts_sql() + """
 SELECT dataset_id, count(*) AS attempted, count(smiles) AS valid,
-  count(*) - count(smiles) AS skipped FROM attempts GROUP BY 1""",
-    "descriptors": inputs.products_sql(CAP) + "," + inputs.descriptors_sql("products")
+  count(*) - count(smiles) AS skipped, count(*) AS possible FROM attempts GROUP BY 1""",
+    "descriptors": inputs.products_sql() + "," + inputs.descriptors_sql("products")
     + " SELECT * EXCLUDE (R1, R2) FROM described",
     "descriptor_counts": _SCAFFOLDS + f"""
 SELECT dataset_id, count(*) AS input,

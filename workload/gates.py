@@ -15,8 +15,9 @@ KERNEL = text_kernel()
 
 def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dataset that could exist, from the nations; some have no rows at small scales."""
-    return table(spark, sf_dir, "nation").select(
-        F.concat(F.lit("Brand#"), (F.col("n_nationkey") + 1).cast("string")).alias("dataset_id")
+    classes = F.explode(F.sequence(F.lit(0), F.lit(inputs.SIZE_CLASSES - 1))).alias("c")
+    return table(spark, sf_dir, "nation").select("n_nationkey", classes).select(
+        F.concat(F.lit("Brand#"), F.col("n_nationkey") + 1, F.lit("-"), "c").alias("dataset_id")
     )
 
 
@@ -55,7 +56,7 @@ def attachment_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def min_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gates.min_count_gate(
-        enumeration.products(spark, sf_dir), minimum=1500, datasets=_brands(spark, sf_dir)
+        enumeration.products(spark, sf_dir), minimum=15, datasets=_brands(spark, sf_dir)
     )
 
 
@@ -117,7 +118,7 @@ def first_failure(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     failed = gates.first_failures(_input_reports(spark, sf_dir), GATE_ORDER)
-    return gates.failure_records(failed, "library", "run-1")
+    return gates.failure_records(failed, "library", "run-1", "https://logs.example/runs/")
 
 
 def run_datasets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,7 +149,8 @@ QUERIES = {
     "run_summary": run_summary,
 }
 
-_BRANDS = "brands AS (SELECT 'Brand#' || (n_nationkey + 1) AS dataset_id FROM nation)"
+_BRANDS = f"""brands AS (
+  SELECT 'Brand#' || (n_nationkey + 1) || '-' || unnest(range(0, {inputs.SIZE_CLASSES})) AS dataset_id FROM nation)"""
 
 
 def _cell_valid(text: str) -> str:
@@ -178,12 +180,17 @@ FROM brands LEFT JOIN (
   FROM scaffolds) USING (dataset_id)
 LEFT JOIN (SELECT DISTINCT dataset_id, 2 AS n_labels FROM r_group_rows) USING (dataset_id)
 GROUP BY 1"""
+_RATIO_JSON = """'{"total":' || total || ',"valid":' || valid || ',"invalid":' || invalid
+    || ',"valid_ratio":' || valid_ratio || '}'"""
 _INPUT = f"""WITH {inputs.SCAFFOLDS_SQL}, {inputs.R_GROUP_ROWS_SQL}, {_BRANDS}, {_SCAFFOLD_OK}, {_CELL_OK},
 reports AS (
-  SELECT dataset_id, 1 AS step, 'scaffold_validity' AS gate, passed FROM ({_ratio('scaffold_ok', 0.8, 'brands')})
+  SELECT dataset_id, 1 AS step, 'scaffold_validity' AS gate, passed, {_RATIO_JSON} AS report
+  FROM ({_ratio('scaffold_ok', 0.8, 'brands')})
   UNION ALL
-  SELECT dataset_id, 2, 'r_group_validity', passed FROM ({_ratio('cell_ok', 0.8, 'brands')})
-  UNION ALL SELECT dataset_id, 3, 'attachment_points', passed FROM ({_ATTACHMENT})
+  SELECT dataset_id, 2, 'r_group_validity', passed, {_RATIO_JSON} FROM ({_ratio('cell_ok', 0.8, 'brands')})
+  UNION ALL
+  SELECT dataset_id, 3, 'attachment_points', passed, '{{"total_scaffolds":' || total_scaffolds || ',"r_group_columns":'
+    || r_group_columns || ',"matching_scaffolds":' || matching_scaffolds || '}}' FROM ({_ATTACHMENT})
 )"""
 _LABELLED = """labelled AS (
   SELECT o_orderpriority AS dataset_id,
@@ -207,9 +214,9 @@ WITH doc_ok AS (SELECT source AS dataset_id, {_cell_valid('text')} AS ok FROM do
     + _ratio("doc_ok", 0.01, None),
     "cell_ratio": f"WITH {inputs.R_GROUP_ROWS_SQL}, {_CELL_OK}" + _ratio("cell_ok", 0.8, None),
     "attachment_gate": f"WITH {inputs.SCAFFOLDS_SQL}, {inputs.R_GROUP_ROWS_SQL}, {_BRANDS}{_ATTACHMENT}",
-    "min_count_gate": inputs.products_sql(enumeration.CAP) + f""", {_BRANDS}
-SELECT dataset_id, count(smiles) AS molecule_count, 1500::BIGINT AS minimum_required,
-  count(smiles) >= 1500 AS passed
+    "min_count_gate": inputs.products_sql() + f""", {_BRANDS}
+SELECT dataset_id, count(smiles) AS molecule_count, 15::BIGINT AS minimum_required,
+  count(smiles) >= 15 AS passed
 FROM brands LEFT JOIN products USING (dataset_id) GROUP BY 1""",
     "cluster_sizes": f"WITH {_LABELLED} SELECT dataset_id, cluster, count(*) AS size FROM labelled GROUP BY ALL",
     "unlabelled_sizes": """
@@ -218,6 +225,15 @@ SELECT o_orderpriority AS dataset_id, -1 AS cluster, count(*) AS size FROM order
     "embedding_balance": "WITH e AS (SELECT 'embeddings' AS dataset_id, label AS cluster FROM embeddings)"
     + _balance("e", 0.9),
     "input_gate": f"{_INPUT} SELECT dataset_id, gate, passed FROM reports",
+    "gate_reports": f"{_INPUT} SELECT dataset_id, gate, passed, report FROM reports",
+    "failures": f"""{_INPUT},
+failed AS (SELECT dataset_id, arg_min(gate, step) AS stage, arg_min(report, step) AS error
+  FROM reports WHERE NOT passed GROUP BY 1)
+SELECT dataset_id, stage, 'run-1' AS run_id, error,
+  'https://logs.example/runs/run-1/' || stage || '/' || dataset_id AS log_url,
+  'library, run run-1: dataset ' || dataset_id || ' stopped at ' || stage || chr(10) || 'Figures: ' || error
+    || chr(10) || 'Log: https://logs.example/runs/run-1/' || stage || '/' || dataset_id AS message
+FROM failed""",
     "first_failure": f"""{_INPUT}
 SELECT dataset_id, arg_min(gate, step) AS gate FROM reports WHERE NOT passed GROUP BY 1""",
     "run_datasets": f"""{_INPUT}
@@ -226,6 +242,6 @@ SELECT 'run-1' AS run_id, dataset_id, bool_and(passed) AS passed FROM reports GR
 ids AS (SELECT dataset_id, bool_and(passed) AS ok FROM reports GROUP BY 1)
 SELECT 'library' AS pipeline_id, 'run-1' AS run_id, count(*) AS discovered,
   count(*) FILTER (ok) AS passed,
-  'Processed ' || count(*) || ' dataset(s), ' || count(*) FILTER (ok) || ' passed' AS headline
+  count(*) || ' dataset(s) run, ' || count(*) FILTER (ok) || ' through every gate' AS headline
 FROM ids""",
 }

@@ -1,6 +1,6 @@
 """Library inputs derived from the given tables, once in Spark and once in SQL.
 
-A dataset is a brand. Suppliers become scaffolds (dataset by nation), parts become fragment rows
+A dataset is a brand and a size class. Suppliers become scaffolds (dataset by nation and key), parts become fragment rows
 with two labels. Some rows are blank, invalid or of the wrong arity on purpose. The derived tables are
 written once, so that the operators start from a table and not from its derivation.
 """
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from molspark.session import materialised
 
 LABELS = ["R1", "R2"]
+SIZE_CLASSES = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,7 +32,7 @@ def scaffolds(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("O=C(C"), body, F.lit("[*:1])N[*:2]")))
     )
     return materialised(table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("Brand#"), (F.col("s_nationkey") + 1).cast("string")).alias("dataset_id"),
+        F.concat(F.lit("Brand#"), F.col("s_nationkey") + 1, F.lit("-"), key % SIZE_CLASSES).alias("dataset_id"),
         key.alias("scaffold_id"),
         smiles.alias("smiles"),
     ))
@@ -54,7 +55,7 @@ def r_group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("[NH3+]")
     )
     return materialised(table(spark, sf_dir, "part").select(
-        F.col("p_brand").alias("dataset_id"),
+        F.concat("p_brand", F.lit("-"), size % SIZE_CLASSES).alias("dataset_id"),
         F.col("p_partkey").alias("pos"),
         F.when(size % 25 == 0, F.lit(None))
         .otherwise(F.concat(F.lit(" [*:1]C"), F.expr("repeat('C', p_size % 6)"), tail))
@@ -66,9 +67,9 @@ def r_group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-SCAFFOLDS_SQL = """
+SCAFFOLDS_SQL = f"""
 scaffolds AS (
-  SELECT 'Brand#' || (s_nationkey + 1) AS dataset_id, s_suppkey AS scaffold_id,
+  SELECT 'Brand#' || (s_nationkey + 1) || '-' || (s_suppkey % {SIZE_CLASSES}) AS dataset_id, s_suppkey AS scaffold_id,
     CASE
       WHEN s_suppkey % 20 = 7 THEN '  '
       WHEN s_suppkey % 20 = 13 THEN 'NOT_A_MOLECULE'
@@ -79,9 +80,9 @@ scaffolds AS (
   FROM (SELECT *, repeat('C', (floor(abs(s_acctbal))::BIGINT % 9)) AS body FROM supplier)
 )"""
 
-R_GROUP_ROWS_SQL = """
+R_GROUP_ROWS_SQL = f"""
 r_group_rows AS (
-  SELECT p_brand AS dataset_id, p_partkey AS pos,
+  SELECT p_brand || '-' || (p_size % {SIZE_CLASSES}) AS dataset_id, p_partkey AS pos,
     CASE WHEN p_size % 25 = 0 THEN NULL ELSE ' [*:1]C' || repeat('C', p_size % 6) ||
       CASE p_type WHEN 'ECONOMY' THEN 'O' WHEN 'SMALL' THEN 'N' WHEN 'MEDIUM' THEN 'F'
         WHEN 'LARGE' THEN 'Cl' WHEN 'PROMO' THEN 'c1ccccc1' ELSE 'C(=O)O' END END AS R1,
@@ -97,11 +98,14 @@ r_group_rows AS (
 def valid_sql(text: str) -> str:
     """The text kernel's validity check; blank and null are not valid."""
     bare = rf"regexp_replace({text}, '\[[^\[\]]*\]', '', 'g')"
+    marks = rf"regexp_replace({bare}, '[^()]', '', 'g')"
+    labels = rf"list_transform(regexp_extract_all({bare}, '%[0-9]{{2}}|[0-9]'), lambda c: replace(c, '%', '')::INT)"
+    deep = f"list_transform(range(1, length({marks}) + 1), lambda i: length(replace(left({marks}, i), ')', '')) * 2 - i)"
     return (
         rf"coalesce(regexp_matches({text}, '^(?:\[[^\[\]]+\]|Br|Cl|[BCNOPSFI]|[bcnops]|\*|[0-9]|%[0-9]{{2}}"
         rf"|[-=#$:/\\.()])+$')"
-        rf" AND len(regexp_extract_all({bare}, '\(')) = len(regexp_extract_all({bare}, '\)'))"
-        rf" AND len(regexp_extract_all({bare}, '%[0-9]{{2}}|[0-9]')) % 2 = 0, false)"
+        rf" AND len(replace({marks}, '(', '')) * 2 = len({marks}) AND coalesce(list_min({deep}), 0) >= 0"
+        rf" AND len(list_filter(list_distinct({labels}), lambda l: len(list_filter({labels}, lambda m: m = l)) % 2 = 1)) = 0, false)"
     )
 
 
@@ -135,8 +139,9 @@ usable_rows AS (
 )
 
 
-def attempts_sql(cap: int) -> str:
-    """Every attempt in mixed-radix order by joining both labels under the cap."""
+def attempts_sql(cap: int | None = None) -> str:
+    """Every attempt in mixed-radix order by joining both labels, under the cap if there is one."""
+    first, second = (f"AND a.idx * a.n < {cap}", f"AND a.idx * a.n + b.idx < {cap}") if cap else ("", "")
     return (
         "WITH "
         + SCAFFOLDS_SQL
@@ -152,9 +157,9 @@ welded AS (
     {weld_sql('s.smiles')} AS ws, a.w AS w1, b.w AS w2, s.smiles
   FROM usable_scaffolds s
   JOIN (SELECT *, {weld_sql('R1')} AS w FROM usable_rows) a
-    ON a.dataset_id = s.dataset_id AND a.idx * a.n < {cap}
+    ON a.dataset_id = s.dataset_id {first}
   JOIN (SELECT *, {weld_sql('R2')} AS w FROM usable_rows) b
-    ON b.dataset_id = s.dataset_id AND a.idx * a.n + b.idx < {cap}
+    ON b.dataset_id = s.dataset_id {second}
 ),
 attempts AS (
   SELECT dataset_id, scaffold_id, ord, R1, R2,
@@ -170,7 +175,7 @@ attempts AS (
     )
 
 
-def products_sql(cap: int) -> str:
+def products_sql(cap: int | None = None) -> str:
     """Distinct products, first seen first."""
     return (
         attempts_sql(cap)
