@@ -1,12 +1,13 @@
 """Repeated passages of several lines (operator 1); Spark expressions only.
 
-A text is cut into lines at line feeds. Rolling hashes over WINDOW line hashes choose the boundaries of
-chunks: there is one after a line whose window's hash is 0 modulo MODULUS, and one wherever the window
-occurs nowhere else in the table, so that chunk edges fall on the edges of shared passages whatever
-stands around them. A line of at least LONG_WORDS words is a chunk of its own. Chunks of several lines
-of text, and such long lines, are counted over the whole table by hash; of a chunk that occurs more
-than once the first occurrence (smallest doc_id, then text hash, then line) stays, and the others are
-removed after their bytes have been compared with the first.
+A text is cut into lines at line feeds. Rolling hashes over windows of two line hashes choose the
+boundaries of chunks: there is one wherever the window occurs nowhere else in the table, so that chunk
+edges fall on the edges of shared passages whatever stands around them; and between those one after
+each line whose window has the least hash of its neighbourhood, so that no chunk is a line alone.
+Chunks of several lines of text, and besides them single lines of at least LONG_WORDS words, are counted
+over the whole table by hash; of a chunk that occurs more than once the first occurrence (smallest
+doc_id, then text hash, then line) stays, and the others are removed after their bytes have been
+compared with the first. So every line that goes still stands in an earlier document.
 
 Only line hashes are shuffled at first. Text is shuffled once for the documents that have something to
 remove, and for the repeated chunks that are compared.
@@ -25,8 +26,6 @@ from pyspark.sql import functions as F
 from molspark.llm.common import id_and_text, unused
 from molspark.session import materialised
 
-WINDOW = 2
-MODULUS = 4
 LONG_WORDS = 50
 MIN_LINES = 2
 
@@ -62,29 +61,26 @@ def chunks(docs: DataFrame) -> DataFrame:
     place = Window.partitionBy("d").orderBy("pos")
     rolled = materialised(
         listed.select("d", "doc_id", "th", "pos", "line.*")
-        .withColumn("next", F.lead("h", WINDOW - 1).over(place))
-        .withColumn("next_words", F.lead("words").over(place))
+        .withColumn("next", F.lead("h").over(place))
         .withColumn("roll", F.when(F.col("next").isNotNull(), F.xxhash64("h", "next")))
     )
     # Windows that occur more than once; the hash alone is shuffled, after counting in each task.
     shared = (
         rolled.where("roll IS NOT NULL").groupBy("roll").agg(F.count("*").alias("n")).where("n > 1").select("roll")
     )
-    linked = rolled.where("roll IS NOT NULL").join(shared, "roll").select("d", "pos", F.lit(True).alias("linked"))
-    long_line = F.col("words") >= LONG_WORDS
-    boundary = (
-        F.col("linked").isNull()
-        | long_line
-        | (F.col("next_words") >= LONG_WORDS)
-        | (F.pmod(F.col("roll"), F.lit(MODULUS)) == 0)
-    )
+    linked = rolled.where("roll IS NOT NULL").join(shared, "roll").select("d", "pos", F.col("roll").alias("linked"))
+    # Null where the window isn't shared: a comparison with it is no cut.
+    least = (F.col("linked") < F.lag("linked").over(place)) & (F.col("linked") < F.lead("linked").over(place))
     before = place.rowsBetween(Window.unboundedPreceding, -1)
     numbered = (
         rolled.join(linked, ["d", "pos"], "left")
-        .withColumn("cut", boundary.cast("int"))
+        .withColumn("cut", (F.col("linked").isNull() | F.coalesce(least, F.lit(False))).cast("int"))
         .withColumn("number", F.coalesce(F.sum("cut").over(before), F.lit(0)))
     )
-    return (
+    long_lines = rolled.where(F.col("words") >= LONG_WORDS).select(
+        "doc_id", "th", F.col("pos").alias("first"), F.col("pos").alias("last"), F.xxhash64(F.array("h")).alias("chunk")
+    )
+    several = (
         numbered.groupBy("d", "number")
         .agg(
             F.first("doc_id").alias("doc_id"),
@@ -92,12 +88,12 @@ def chunks(docs: DataFrame) -> DataFrame:
             F.min("pos").alias("first"),
             F.max("pos").alias("last"),
             F.sum((~F.col("blank")).cast("int")).alias("full"),
-            F.max("words").alias("longest"),
             F.array_sort(F.collect_list(F.struct("pos", "h"))).alias("hs"),
         )
-        .where((F.col("full") >= MIN_LINES) | (F.col("longest") >= LONG_WORDS))
+        .where(F.col("full") >= MIN_LINES)
         .select("doc_id", "th", "first", "last", F.xxhash64(F.col("hs.h")).alias("chunk"))
     )
+    return several.unionByName(long_lines)
 
 
 def _later(found: DataFrame) -> DataFrame:
@@ -130,7 +126,7 @@ def repeated_passages(docs: DataFrame) -> DataFrame:
     parts = materialised(
         lines.select("doc_id", "th", "lines", F.explode("runs").alias("r"))
         .select("doc_id", "th", "r.*", _part(F.col("lines"), F.col("r.first"), F.col("r.last")).alias("part"))
-        .dropDuplicates(["doc_id", "th", "first"])
+        .dropDuplicates(["doc_id", "th", "first", "last"])
     )
     heads = parts.where("is_first").select("chunk", F.col("part").alias("head"))
     same = parts.where("NOT is_first").join(heads, "chunk").where(F.col("part").cast("binary") == F.col("head").cast("binary"))

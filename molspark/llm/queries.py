@@ -38,7 +38,8 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = line_dedup.drop_repeated_passages(
         _table(spark, sf_dir, "documents").select("doc_id", "text"), removed="removed"
     )
-    lines = F.aggregate("removed", F.lit(0), lambda n, r: n + r["last"] - r["first"] + 1)
+    gone = F.flatten(F.transform("removed", lambda r: F.sequence(r["first"], r["last"])))
+    lines = F.size(F.array_distinct(gone))
     return cleaned.select(
         "doc_id",
         F.size("removed").alias("removed_chunks"),
