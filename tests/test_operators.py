@@ -5,6 +5,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from molspark.functions.ordering import dense_index, sorted_position
 from molspark.functions.rounding import round_exact
 from molspark.operators import clustering, descriptors, gates, layers, predict, silhouette, similarity, spanning_tree
 from molspark.operators import enumerate as library
-from molspark.sources import people, tables
+from molspark.sources import listing, pairs, people, tables
 
 KERNEL = text_kernel()
 
@@ -30,7 +31,9 @@ def one(spark, value, expr):
 @pytest.mark.parametrize(
     ("text", "valid"),
     [("CCO", True), ("c1ccccc1", True), ("C1CC", False), ("CC(", False), ("[13C]#N", True), ("", False),
-     ("NOT_A_MOLECULE", False), ("C%12CC%12", True), ("C%12CC", False), (None, False), ("C" * 50_000, True)],
+     ("NOT_A_MOLECULE", False), ("C%12CC%12", True), ("C%12CC", False), (None, False), ("C" * 50_000, True),
+     ("C1CC2", False), (")(", False), ("C(C))(C", False), ("C1CC1C1CC1", True), ("C%01CC1", True),
+     ("C12CC1CC2", True), ("C(C(C)C)C", True), ("C1CC1CC1", False)],
 )
 def test_validity(spark, text, valid):
     assert one(spark, text, KERNEL.is_valid) is valid
@@ -154,9 +157,14 @@ def test_failed_gate_raises_with_its_report(spark):
 # --- Ordering, lookup, rounding, columns ----------------------------------------------------
 
 
+def test_positions_of_sparse_values(spark):
+    df = spark.range(300).select((F.col("id") * 10_000_000_019).alias("k"), F.lit(None).cast("string").alias("g"))
+    assert [r["i"] for r in dense_index(df, "k", ["g"], "i").orderBy("k").collect()] == list(range(300))
+
+
 def test_positions(spark):
     df = spark.range(1000).select((F.col("id") * 37 % 1000 * 11).alias("k"), (F.col("id") % 3).alias("g"))
-    rows = dense_index(df, "k", ["g"], "i", rows_per_piece=100).collect()
+    rows = dense_index(df, "k", ["g"], "i").collect()
     for g in range(3):
         mine = sorted((r["k"], r["i"]) for r in rows if r["g"] == g)
         assert [i for _, i in mine] == list(range(len(mine)))
@@ -204,6 +212,41 @@ def test_people_fallback(spark):
     assert len([r for r in got if r["i"] == 2]) == 12
 
 
+def test_csv_columns_by_name_and_outer_blanks(spark, tmp_path):
+    df = spark.createDataFrame([(" a ", '"q"', "x\ny")], "b string, a string, c string")
+    path = tables.write_csv(df, str(tmp_path / "y"))
+    got = tables.read_strings(spark, path, ["a", "b", "none", "c"], multi_line=True).collect()
+    assert [tuple(r) for r in got] == [('"q"', " a ", None, "x\ny")]
+
+
+def test_listing_has_empty_files(spark, tmp_path):
+    for name, text in (("a.csv", "x"), ("b[1].csv", ""), ("sub/c d.csv", "yy")):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text(text)
+    got = listing.list_keys(spark, str(tmp_path), "*.csv").collect()
+    assert {(r["key"], r["length"]) for r in got} == {("a.csv", 1), ("b[1].csv", 0), ("sub/c d.csv", 2)}
+
+
+def test_pairs_keep_quotes_breaks_and_blanks(spark, tmp_path):
+    long_cell = "x," * 20_000
+    (tmp_path / "a[1]_scaffolds.csv").write_text('name, Smiles \n"n ""1""\nm"," C "\nshort\n\n"",\n' + f'"{long_cell}",CC\n')
+    (tmp_path / "b_scaffolds.csv").write_text("smiles\nO\n")
+    (tmp_path / "a[1]_r_groups.csv").write_text("R1,R2,R3\nC,,\nN\n")
+    (tmp_path / "b_r_groups.csv").write_text("")
+    ids = spark.createDataFrame([("a[1]",), ("b",)], "dataset_id string")
+    scaffolds, cells = pairs.read_pairs(spark, str(tmp_path), ids)
+    got = [(r["dataset_id"], r["smiles"]) for r in scaffolds.orderBy("dataset_id", "scaffold_id").collect()]
+    assert got == [("a[1]", "C"), ("a[1]", ""), ("a[1]", ""), ("a[1]", "CC"), ("b", "O")]
+    rows = [(r["label"], r["smiles"]) for r in cells.orderBy("pos", "label").collect()]
+    assert rows == [("R1", "C"), ("R2", ""), ("R3", ""), ("R1", "N"), ("R2", None), ("R3", None)]
+
+
+def test_numbers_in_labels(spark):
+    values = [0.0005, 12345678.0, 1e-5, 2.5e16, -1.5e-7, 0.1, 100.0, 1e15, 123456789.125, -0.00025]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert [r[0] for r in df.select(columns.plain_number(F.col("x"))).collect()] == [repr(v) for v in values]
+
+
 def test_empty_csv_is_readable(spark, tmp_path):
     path = tables.write_csv(spark.createDataFrame([], "a string, b string"), str(tmp_path / "x"))
     assert tables.read_strings(spark, path, ["a", "b"]).count() == 0
@@ -242,9 +285,9 @@ def test_inertia_does_not_rise(spark):
 def test_k_must_fit(spark):
     df = blobs(spark, 5).where("dataset_id = 'a'")
     assert clustering.cluster_rows(df, ["x", "y"], 5).count() == 5
-    with pytest.raises(ValueError, match="6 clusters"):
+    with pytest.raises(ValueError, match="k = 6"):
         clustering.cluster_rows(df, ["x", "y"], 6)
-    with pytest.raises(ValueError, match="0 input rows"):
+    with pytest.raises(ValueError, match="no rows"):
         clustering.cluster_rows(df.limit(0), ["x", "y"], 2)
     with pytest.raises(ValueError, match="lack feature"):
         clustering.feature_frame(df, ["nope"])
@@ -285,6 +328,10 @@ def test_silhouettes_against_brute_force(spark, monkeypatch):
 def test_choose_k(spark):
     points = clustering.standardise(blobs(spark, 30), ["x", "y"]).cache()
     assert {r["k"] for r in silhouette.choose_k(points, ["x", "y"], 2, 4).collect()} == {3}
+    exact = silhouette.choose_k(points, ["x", "y"], 2, 4, metric=silhouette.EUCLIDEAN).collect()
+    assert {(r["k"], r["metric"]) for r in exact} == {(3, "euclidean")}
+    ranged = clustering.cluster_rows(blobs(spark, 30), ["x", "y"], 2, auto_k_range=(2, 4))
+    assert {r["n_clusters"] for r in clustering.cluster_stats(ranged).collect()} == {3}
     few = points.where("point_id < 2").cache()
     assert {r["k"] for r in silhouette.choose_k(few, ["x", "y"]).collect()} == {2}
 
@@ -363,21 +410,41 @@ def test_spanning_forest_against_kruskal(spark, monkeypatch, hot_keys):
 def test_fingerprint_names():
     slots = {"ECFP4": KERNEL.fingerprint}
     assert similarity.named_fingerprint(slots, "ECFP4") is KERNEL.fingerprint
-    with pytest.raises(ValueError, match="Unsupported"):
+    with pytest.raises(ValueError, match="No fingerprint"):
         similarity.named_fingerprint(slots, "ecfp4")
 
 
+def test_empty_sets_have_no_signature(spark):
+    df = spark.createDataFrame([([],), ([5],), ([],)], "f array<int>")
+    got = [r[0] for r in df.select(similarity.signature(F.col("f"), 4)).collect()]
+    assert got[0] == got[2] == [similarity.PRIME] * 4 and max(got[1]) < similarity.PRIME
+
+
+def test_short_texts_are_nodes(spark):
+    df = spark.createDataFrame([("C",), (" CCO ",), ("[Pd]",)], "smiles string")
+    assert similarity.split_valid(df, KERNEL)[0].count() == 3
+
+
 def test_no_valid_rows(spark):
     df = spark.createDataFrame([("not valid",), ("",)], "smiles string")
     valid, invalid = similarity.split_valid(df, KERNEL)
     assert invalid.count() == 2
-    with pytest.raises(RuntimeError, match="No valid"):
+    with pytest.raises(RuntimeError, match="Every row is invalid"):
         similarity.require_valid(valid)
 
 
 # --- Prediction -----------------------------------------------------------------------------
 
 
+def test_prediction_touches_only_the_text(spark):
+    df = spark.createDataFrame([("C", 9007199254740993), ("CC", None)], "smiles string, n long")
+    load = lambda: lambda texts: pd.DataFrame({"y": texts.str.len()})
+    got = predict.predict(df, load, ["y"]).collect()
+    assert [tuple(r) for r in got] == [("C", 9007199254740993, "1"), ("CC", None, "2")]
+    with pytest.raises(ValueError, match="no rows"):
+        predict.predict(df.limit(0), load, ["y"])
+
+
 def test_unconfigured_prediction(spark):
     df = spark.createDataFrame([("C",)], "smiles string")
     with pytest.raises(predict.PredictorNotConfigured):

@@ -100,7 +100,31 @@ def test_missing_pair_is_reported(spark, base, tmp_path):
     assert (row["dataset_id"], row["stage"]) == ("alone", "inputs_present")
 
 
+def test_failures_stay_with_their_dataset(spark, tmp_path):
+    """Odd atoms, odd ids and empty files; and a second run leaves no rows of the first."""
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    for name in ("good", "a[1]", "metal"):
+        first = "C[Pd][*:1]" if name == "metal" else "c1ccccc1[*:1]"
+        write(root / f"{name}_scaffolds.csv", ["smiles"], [[first], *[[s] for s in SCAFFOLDS[1:]]])
+        write(root / f"{name}_r_groups.csv", ["R1"], [[f] for f in FRAGMENTS])
+    (root / "empty_scaffolds.csv").write_text("")
+    write(root / "empty_r_groups.csv", ["R1"], [["[*:1]C"]])
+    config = RunConfig(str(root), out, n_clusters=2, with_graph=False, predictor=length_model(), log_base="http://logs")
+    tables = process_datasets(spark, config)
+    verdicts = {r["dataset_id"]: r["passed"] for r in tables["run_datasets"].collect()}
+    assert verdicts == {"good": True, "a[1]": True, "metal": True, "empty": False}
+    assert tables["failures"].head()["log_url"] == "http://logs/run/scaffold_validity/empty"
+    assert tables["clusters"].where("dataset_id = 'a[1]'").count() == 27
+    write(root / "good_scaffolds.csv", ["smiles"], [["NOT_A_MOLECULE"]])
+    again = process_datasets(
+        spark, RunConfig(str(root), out, dataset_id="good", overwrite=True, with_graph=False, run_id="2")
+    )
+    assert again["clusters"].where("dataset_id = 'good'").count() == 0
+    assert again["clusters"].where("dataset_id = 'metal'").count() == 27
+    assert {r[0] for r in published(spark, out).collect()} == {"a[1]", "metal"}
+
+
 def test_no_new_datasets(spark, tmp_path):
     write(tmp_path / "in" / "x_scaffolds.csv", ["smiles"], [["C"]])
     tables = process_datasets(spark, RunConfig(str(tmp_path / "in"), str(tmp_path / "out"), with_graph=False))
-    assert tables["run_summary"].head()["headline"] == "No new datasets found this run."
+    assert tables["run_summary"].head()["headline"] == "There was nothing new to run."
