@@ -22,7 +22,6 @@ word is unknown; other columns don't matter.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -39,18 +38,21 @@ from molspark.session import materialised
 HEAD = 1 << 17  # words broadcast with their counts
 NEURAL = 4096  # of these, words with output weights of their own
 CLASS_SIZE = 64
-SPELT = 64  # classes of words told by their spelling
+SPELT = 32  # classes of words told by their spelling
 STATE = 16
 SMOOTH = 0.1
 FOLDS = 10
 SHARE = 20  # one training document in SHARE is backpropagated through
 ROUNDS = 2
-LANES, STEPS = 256, 32  # documents read side by side, and words in a window
-TRAIN_LANES, TRAIN_STEPS = 32, 16
-RATE = 0.01
-PARTIAL = 32  # tasks whose weights are averaged at once
+LANES, STEPS = 256, 32  # documents read side by side at most, and words in a window
+TRAIN_LANES, TRAIN_STEPS = 64, 32
+RATE, DAMPING = 0.2, 1e-6
+PRIOR_WORDS = 10_000  # words that the weights before a round count for when its mean is taken
+BOUND = 4.0  # of every weight, so that exponentials of float32 logits stay finite
+PARTIAL = 8  # tasks whose weights are averaged at once
+COUNTED = ("class_bias", "word_bias")  # log counts of the whole table, not trained
 END = b""  # the end of a document; no word is empty
-TAIL_PART = re.compile(rb"[^a-z\x80-\xff]+$")
+NO_LETTERS = bytes(b for b in range(128) if not 97 <= b <= 122)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -59,7 +61,7 @@ def held_out(doc_id: Column) -> Column:
 
 def spelt_class(word: bytes) -> int:
     """The class of a word without output weights: by its last two letters and what follows them."""
-    letters = TAIL_PART.sub(b"", word)
+    letters = word.rstrip(NO_LETTERS)
     return zlib.crc32(letters[-2:] + b" " + word[len(letters) :][:1]) % SPELT
 
 
@@ -78,7 +80,7 @@ def tokenised(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     return codes, distinct, np.bincount(owner, minlength=len(texts))
 
 
-def pieces(batch: pa.RecordBatch, size: int = 8_000_000) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, size: int = 16_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `size` bytes of text each."""
     lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
     cut = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
@@ -141,7 +143,8 @@ class Vocabulary:
         within = np.full((max(1, self.classes), CLASS_SIZE), -1e9)
         within.reshape(-1)[: self.neural] = np.log(self.counts[: self.neural] + SMOOTH)
         mass = [np.exp(row[row > -1e8]).sum() for row in within[: self.classes]]
-        return np.log(np.array([*mass, *self.spelt_sums])), within
+        within -= within.max(1, keepdims=True) if self.neural else 0
+        return np.log(np.array([*mass, *self.spelt_sums])), np.maximum(within, -1e9)
 
 
 def build_vocabulary(counted: DataFrame) -> Vocabulary:
@@ -190,21 +193,34 @@ class Network:
     def step(self, x: np.ndarray, h: np.ndarray):
         """One word of every lane: reset and update gates, candidate, new state."""
         w = self.w
-        own, rec = w["embed"][x] + w["bias"], h @ w["recur"]
-        r = 1 / (1 + np.exp(-(own[:, :STATE] + rec[:, :STATE])))
-        z = 1 / (1 + np.exp(-(own[:, STATE : 2 * STATE] + rec[:, STATE : 2 * STATE])))
+        own, rec = w["embed"][x], h @ w["recur"]
+        own += w["bias"]
+        gates = own[:, : 2 * STATE] + rec[:, : 2 * STATE]
+        np.negative(gates, out=gates)
+        np.exp(gates, out=gates)
+        gates += 1
+        np.reciprocal(gates, out=gates)
+        r, z = gates[:, :STATE], gates[:, STATE:]
         c = np.tanh(own[:, 2 * STATE :] + r * rec[:, 2 * STATE :])
         return h + z * (c - h), r, z, c, rec[:, 2 * STATE :]
 
+    def bounded(self) -> dict[str, np.ndarray]:
+        """The weights, kept within BOUND; biases, which start as log counts, from above only."""
+        return {
+            k: np.minimum(x, BOUND) if k in ("class_bias", "word_bias") else np.clip(x, -BOUND, BOUND)
+            for k, x in self.w.items()
+        }
+
     def output(self, h: np.ndarray, kind: np.ndarray, within: np.ndarray, backward: bool = False):
         """Log probabilities of class and word for each state; with `backward`, gradients too."""
         w = self.w
-        logits = h @ w["to_class"] + w["class_bias"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        norm = e.sum(1)
+        logits = h @ w["to_class"]
+        logits += w["class_bias"]
         row = np.arange(len(h))
-        got = logits[row, kind] - np.log(norm)
+        got = logits[row, kind]
+        e = np.exp(logits, out=logits)
+        norm = e.sum(1)
+        got -= np.log(norm)
         grads = {}
         if backward:
             d = e / norm[:, None]
@@ -217,12 +233,13 @@ class Network:
         for k in np.flatnonzero(np.diff(edge)):
             at = order[edge[k] : edge[k + 1]]
             mine = h[at]
-            inner = mine @ w["to_word"][k] + w["word_bias"][k]
-            inner -= inner.max(1, keepdims=True)
-            e = np.exp(inner)
-            norm = e.sum(1)
+            inner = mine @ w["to_word"][k]
+            inner += w["word_bias"][k]
             i = np.arange(len(at))
-            got[at] += inner[i, within[at]] - np.log(norm)
+            chosen = inner[i, within[at]]
+            e = np.exp(inner, out=inner)
+            norm = e.sum(1)
+            got[at] += chosen - np.log(norm)
             if backward:
                 d = e / norm[:, None]
                 d[i, within[at]] -= 1
@@ -250,6 +267,8 @@ class Reader:
     def __init__(self, v: Vocabulary, places: np.ndarray, spelt: np.ndarray, counts: np.ndarray, width: int):
         # `places` and `spelt` are of each word of the texts in order; every document ends with END.
         lengths = counts + 1
+        if len(lengths):  # no more lanes than the longest document lets be full
+            width = max(1, min(width, -(-int(lengths.sum()) // int(lengths.max()))))
         starts = np.r_[0, np.cumsum(counts)[:-1]] if len(counts) else counts
         dealt = lanes(lengths, width)
         self.steps = max((sum(int(lengths[d]) for d in lane) for lane in dealt), default=0)
@@ -268,8 +287,8 @@ class Reader:
                 self.first[at, lane] = True
                 at += n + 1
         own = place < v.neural
-        self.kind = np.where(own, place // CLASS_SIZE, v.classes + kind_of)
-        self.within = np.where(own, place % CLASS_SIZE, 0)
+        self.kind = np.where(own, place // CLASS_SIZE, v.classes + kind_of).astype(np.int32)
+        self.within = np.where(own, place % CLASS_SIZE, 0).astype(np.int32)
         seen = np.where(own, place, v.neural + kind_of)
         end_seen = end if end < v.neural else v.neural + spelt_class(END)
         # A document is read from its end mark on: the input before its first word is the mark.
@@ -342,9 +361,11 @@ def train(network: Network, reader: Reader, memory: dict[str, np.ndarray]) -> in
             back[reader.first[t]] = 0
         scale = np.float32(1 / max(1, len(real)))
         for k, g in grads.items():
-            g = np.clip(g * scale * 32, -1, 1)
-            memory[k] += g * g
-            network.w[k] -= np.float32(RATE) * 4 * g / np.sqrt(memory[k] + 1e-4)
+            if k not in COUNTED:
+                g = np.clip(g * scale, -1, 1)
+                memory[k] += g * g
+                network.w[k] -= np.float32(RATE) * g / np.sqrt(memory[k] + DAMPING)
+        network.w = network.bounded()
         seen += len(real)
     return seen
 
@@ -361,8 +382,8 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def train_round(docs: DataFrame, vocabulary, weights, number: int) -> dict[str, np.ndarray] | None:
-    """The averaged weights after one round over that round's share of the documents."""
+def train_round(docs: DataFrame, vocabulary, weights, number: int) -> dict[str, tuple[int, np.ndarray]] | None:
+    """Words seen and averaged weights after one round over that round's share of the documents."""
     bucket = F.pmod(F.xxhash64(F.lit("share"), "doc_id", F.coalesce("text", F.lit(""))), F.lit(SHARE * ROUNDS))
     own = docs.where(~held_out(F.col("doc_id")) & (bucket == number)).select("doc_id", "text")
 
@@ -390,7 +411,7 @@ def train_round(docs: DataFrame, vocabulary, weights, number: int) -> dict[str,
         # Some tasks at a time, so that no group grows with the table.
         means = means.groupBy("name", F.expr(f"part div {PARTIAL}").alias("p")).applyInPandas(_merge, schema_of(WEIGHTS))
         parts //= PARTIAL
-    return {r["name"]: np.frombuffer(r["value"], "<f4") for r in means.collect()}
+    return {r["name"]: (r["n"], np.frombuffer(r["value"], "<f4")) for r in means.collect()}
 
 
 def fit(docs: DataFrame, vocabulary, v: Vocabulary) -> dict[str, np.ndarray]:
@@ -400,10 +421,16 @@ def fit(docs: DataFrame, vocabulary, v: Vocabulary) -> dict[str, np.ndarray]:
     for number in range(ROUNDS):
         got = train_round(docs, vocabulary, context.broadcast(weights), number)
         if got is not None:
-            weights = {k: got[k].reshape(weights[k].shape) for k in weights}
+            weights = {k: mixed(x, *got[k]) for k, x in weights.items()}
     return weights
 
 
+def mixed(before: np.ndarray, n: int, after: np.ndarray) -> np.ndarray:
+    """The new weights, drawn towards the old ones as if those came from PRIOR_WORDS words: what few
+    words say of the context counts for little, and the untrained model is the unigram one."""
+    return before + (after.reshape(before.shape) - before) * (n / (n + PRIOR_WORDS))
+
+
 SCORED = "row bigint, doc_id bigint, n_tokens bigint, n_known bigint, logs double, neural double, rare array<binary>, times array<int>"
 
 
