@@ -1,4 +1,4 @@
-"""Every registered query against its SQL on the smallest tables."""
+"""Every query of the library against its SQL on the smallest tables."""
 
 import os
 
@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as entry
 import check
+from workload import registry
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 # Many rounds of small jobs; their parts are covered by the operator tests.
@@ -23,7 +24,7 @@ def test_every_check_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - SLOW))
 def test_query(spark, con, name):
     ok, message = check.compare(spark, con, name, SF_DIR)
     assert ok, message
