@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from molspark.llm.common import by_batch, column, id_and_text, raw
+from molspark.session import materialised
 
 ORDERS = (4, 5, 6, 7, 8)
 BUCKET_BITS = 21
@@ -123,36 +124,41 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
 
         return work
 
-    counted = (
+    counted = materialised(
         by_batch(rows, "bucket bigint, toxic bigint, other bigint", counting)
         .groupBy("bucket")
         .agg(F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
-        .toPandas()
-        .sort_values("bucket")
     )
-    nothing = np.zeros(BUCKETS, np.int16)
-    texts = counted[counted["bucket"] < 0]
-    pos, neg = (int(texts[c].sum()) for c in ("toxic", "other"))
+    texts = counted.where("bucket < 0").first()
+    pos, neg = (texts["toxic"], texts["other"]) if texts else (0, 0)
     if not pos or not neg:
         share = 1 - 1e-6 if pos else 1e-6
-        return Model(nothing, np.zeros(0), float(np.log(share / (1 - share))))
-    counted = counted[counted["bucket"] >= 0]
-    t, o = counted["toxic"].to_numpy(float), counted["other"].to_numpy(float)
-    p, q = (t + SMOOTH) / (pos + 2 * SMOOTH), (o + SMOOTH) / (neg + 2 * SMOOTH)
-    ratio = np.log(p / q)
+        return Model(np.zeros(BUCKETS, np.int16), np.zeros(0), float(np.log(share / (1 - share))))
+    p, q = (F.col("toxic") + SMOOTH) / (pos + 2 * SMOOTH), (F.col("other") + SMOOTH) / (neg + 2 * SMOOTH)
+    both = (F.col("toxic") + F.col("other") + SMOOTH) / (pos + neg + 2 * SMOOTH)
     # How far the share of toxic texts with the bucket is from that of the others, in deviations.
-    both = (t + o + SMOOTH) / (pos + neg + 2 * SMOOTH)
-    apart = np.abs(p - q) / np.sqrt(both * (1 - both) * (1 / pos + 1 / neg))
-    best = np.sort(np.argsort(-apart, kind="stable")[:KEPT])
+    apart = F.abs(p - q) / F.sqrt(both * (1 - both) * (1 / pos + 1 / neg))
+    best = (
+        counted.where("bucket >= 0")
+        .select("bucket", F.log(p / q).alias("ratio"), apart.alias("apart"))
+        .orderBy(F.col("apart").desc(), "bucket")
+        .limit(KEPT)
+        .collect()
+    )
+    best.sort(key=lambda r: r["bucket"])
+    values = np.array([r["ratio"] for r in best])
     place = np.full(BUCKETS, len(best), np.int16)
-    place[counted["bucket"].to_numpy()[best]] = np.arange(len(best))
-    values = ratio[best]
+    place[[r["bucket"] for r in best]] = np.arange(len(best))
+    placed = docs.sparkSession.sparkContext.broadcast(place)
+
+    width = len(values)
 
     def showing():
-        mark = np.zeros(len(values) + 1, bool)
+        mark, table = np.zeros(KEPT + 1, bool), placed.value
 
         def work(batch: pa.RecordBatch) -> dict:
-            return {"y": batch.column(1), "places": [present(x, place, mark).tolist() for x in raw(batch, "text")]}
+            mark[:] = False
+            return {"y": batch.column(1), "places": [present(x, table, mark[: width + 1]).tolist() for x in raw(batch, "text")]}
 
         return work
 
