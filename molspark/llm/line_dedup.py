@@ -28,6 +28,7 @@ from molspark.session import materialised
 
 LONG_WORDS = 50
 MIN_LINES = 2
+RUNS = "array<struct<first:int,last:int>>"
 
 
 def _text(c: Column) -> Column:
@@ -114,43 +115,49 @@ def _part(lines: Column, first: Column, last: Column) -> Column:
     return F.array_join(F.slice(lines, first + 1, last - first + 1), "\n")
 
 
-def repeated_passages(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, removed): for each document the runs of lines to remove, as (first, last), compared by bytes."""
-    plain = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit("")))
-    found = materialised(_later(materialised(chunks(plain))))
-    runs = found.groupBy("doc_id", "th").agg(F.collect_list(F.struct("first", "last", "chunk", "is_first")).alias("runs"))
-    runs = runs.select(F.col("doc_id").alias("_d"), F.col("th").alias("_th"), "runs")
-    text = plain.withColumn("th", F.xxhash64("text"))
-    met = text.join(runs, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_th"))).drop("_d", "_th")
-    lines = met.withColumn("lines", _lines(F.col("text")))
-    parts = materialised(
-        lines.select("doc_id", "th", "lines", F.explode("runs").alias("r"))
-        .select("doc_id", "th", "r.*", _part(F.col("lines"), F.col("r.first"), F.col("r.last")).alias("part"))
-        .dropDuplicates(["doc_id", "th", "first", "last"])
-    )
-    heads = parts.where("is_first").select("chunk", F.col("part").alias("head"))
-    same = parts.where("NOT is_first").join(heads, "chunk").where(F.col("part").cast("binary") == F.col("head").cast("binary"))
-    return same.groupBy("doc_id", "th").agg(F.array_sort(F.collect_list(F.struct("first", "last"))).alias("removed"))
-
-
 def drop_repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", removed: str | None = None) -> DataFrame:
-    """`docs` with repeated passages taken out of the text; `removed` names a column for the line runs."""
-    passages = materialised(repeated_passages(id_and_text(docs, id_col, text_col)))
-    names = {c: unused(f"_{c}", docs) for c in ("id", "hash", "own", "removed")}
-    passages = passages.select(
-        F.col("doc_id").alias(names["id"]), F.col("th").alias(names["hash"]), F.col("removed").alias(names["removed"])
+    """`docs` with repeated passages taken out of the text; `removed` names a column for the line runs,
+    (first, last) each.
+
+    Texts are shuffled once, to meet their runs; by sort-merge at any size, as the runs grow with the
+    table. Only the text of repeated chunks is shuffled again, to be compared with the first's.
+    """
+    names = {c: unused(f"_{c}", docs) for c in ("id", "hash", "own", "runs")}
+    text, doc_id = F.col(f"`{text_col}`"), F.col(f"`{id_col}`").cast("bigint")
+    found = materialised(_later(materialised(chunks(id_and_text(docs, id_col, text_col)))))
+    runs = (
+        found.groupBy("doc_id", "th")
+        .agg(F.collect_list(F.struct("first", "last", "chunk", "is_first")).alias(names["runs"]))
+        .withColumnsRenamed({"doc_id": names["id"], "th": names["hash"]})
+    )
+    met = materialised(
+        docs.withColumn(names["own"], F.xxhash64(_text(text))).join(
+            runs.hint("merge"),
+            doc_id.eqNullSafe(F.col(names["id"])) & (F.col(names["own"]) == F.col(names["hash"])),
+            "left",
+        ).drop(names["id"], names["hash"])
+    )
+    run = F.col("r")
+    parts = (
+        met.where(F.col(names["runs"]).isNotNull())
+        .select(doc_id.alias("doc_id"), F.col(names["own"]).alias("th"), _lines(_text(text)).alias("lines"), F.explode(names["runs"]).alias("r"))
+        .select("doc_id", "th", "r.*", _part(F.col("lines"), run["first"], run["last"]).cast("binary").alias("part"))
     )
-    text = F.col(f"`{text_col}`")
-    joined = docs.withColumn(names["own"], F.xxhash64(_text(text))).join(
-        passages,
-        F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col(names["id"])) & (F.col(names["own"]) == F.col(names["hash"])),
-        "left",
+    heads = parts.where("is_first").groupBy("chunk").agg(F.min("part").alias("head"))
+    # Chunks whose bytes aren't the first's, in spite of the same hash: hardly ever any.
+    unlike = materialised(
+        parts.where("NOT is_first").join(heads, "chunk").where("part <> head").select("doc_id", "th", "first", "last").distinct()
     )
-    gone = F.col(names["removed"])
-    dropped = F.flatten(F.transform(gone, lambda r: F.sequence(r["first"], r["last"])))
-    kept = F.array_except(F.sequence(F.lit(0), F.size(_lines(text)) - 1), dropped)
-    left = F.array_join(F.transform(kept, lambda i: F.get(_lines(text), i)), "\n")
-    cleaned = F.when(gone.isNull(), text).otherwise(left)
+    later = F.filter(names["runs"], lambda r: ~r["is_first"])
+    gone = F.transform(later, lambda r: F.struct(r["first"].alias("first"), r["last"].alias("last")))
+    if not unlike.isEmpty():
+        spared = unlike.groupBy("doc_id", "th").agg(F.collect_set(F.struct("first", "last")).alias("spared"))
+        spared = spared.select(F.col("doc_id").alias(names["id"]), F.col("th").alias(names["hash"]), F.col("spared").alias(unused("_spared", met)))
+        met = met.join(spared, doc_id.eqNullSafe(F.col(names["id"])) & (F.col(names["own"]) == F.col(names["hash"])), "left")
+        gone = F.array_except(gone, F.coalesce(F.col(spared.columns[2]), F.array().cast(RUNS)))
+    gone = F.array_sort(F.coalesce(gone, F.array().cast(RUNS)))
+    stays = lambda i: ~F.exists(gone, lambda r: (r["first"] <= i) & (i <= r["last"]))
+    left = F.array_join(F.filter(_lines(_text(text)), lambda line, i: stays(i)), "\n")
+    cleaned = F.when(F.size(gone) > 0, left).otherwise(text)
     columns = [cleaned.alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns]
-    extra = [F.coalesce(gone, F.array().cast("array<struct<first:int,last:int>>")).alias(removed)] if removed else []
-    return joined.select(*columns, *extra)
+    return met.select(*columns, *([gone.alias(removed)] if removed else []))
