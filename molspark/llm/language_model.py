@@ -80,7 +80,7 @@ def tokenised(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     return codes, distinct, np.bincount(owner, minlength=len(texts))
 
 
-def pieces(batch: pa.RecordBatch, size: int = 16_000_000) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, size: int = 10_000_000) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with about `size` bytes of text each."""
     lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
     cut = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
@@ -287,9 +287,10 @@ class Reader:
                 self.first[at, lane] = True
                 at += n + 1
         own = place < v.neural
-        self.kind = np.where(own, place // CLASS_SIZE, v.classes + kind_of).astype(np.int32)
-        self.within = np.where(own, place % CLASS_SIZE, 0).astype(np.int32)
+        self.kind = np.where(own, place // CLASS_SIZE, v.classes + kind_of)
+        self.within = np.where(own, place % CLASS_SIZE, np.int32(0))
         seen = np.where(own, place, v.neural + kind_of)
+        del place, kind_of, own
         end_seen = end if end < v.neural else v.neural + spelt_class(END)
         # A document is read from its end mark on: the input before its first word is the mark.
         self.input = np.full(shape, end_seen, np.int32)
