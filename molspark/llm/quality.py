@@ -119,7 +119,8 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
         return work
 
     got = by_batch(joined, "y double, x array<float>", make).orderBy("y", "x").collect()
-    return Classifier(np.array([r[1] for r in got], float).reshape(len(got), -1), np.array([r[0] for r in got], float))
+    x = np.array([r[1] for r in got], float).reshape(len(got), len(features(b"")))
+    return Classifier(x, np.array([r[0] for r in got], float))
 
 
 def _with_own(docs: DataFrame, text: str, p: str, model: Classifier) -> DataFrame:
@@ -153,7 +154,7 @@ def sites(scored: DataFrame) -> tuple[DataFrame, float, float, float]:
         """Share, and how many documents' worth the prior is: p(1 - p) over the variance between groups."""
         total, count, groups = table.agg(F.sum(good), F.sum(n), F.count("*")).first()
         if not count:
-            return 1.0, 1.0
+            return 1 - 1e-4, 1.0
         share = min(max(total / count, 1e-4), 1 - 1e-4)
         mean = F.col(good) / F.col(n)
         spread = table.agg(F.sum(F.col(n) * (mean - share) * (mean - share)) / count).first()[0]
