@@ -11,8 +11,8 @@ own; every other word belongs to a class told by its spelling, in which it has t
 (count + 0.1) over the class's sum, and so has, in each class, a word never seen (count 0). So the
 probabilities of all known words and of an unknown word of each class add up to one.
 
-Training is truncated backpropagation. A fixed share of the training documents, which grows with the
-table, is dealt over ROUNDS rounds; in each, every task starts from the same weights, trains on its own
+Training is truncated backpropagation over every training document, once. The documents are dealt over
+ROUNDS rounds; in each, every task starts from the same weights, trains on its own
 documents, and the weights are averaged by words seen, block by block in Spark.
 
 Defined cases: null text counts as empty; an empty text is its end alone; a null doc_id counts as a
@@ -42,8 +42,7 @@ SPELT = 32  # classes of words told by their spelling
 STATE = 16
 SMOOTH = 0.1
 FOLDS = 10
-SHARE = 20  # one training document in SHARE is backpropagated through
-ROUNDS = 2
+ROUNDS = 2  # together they read every training document
 LANES, STEPS = 256, 32  # documents read side by side at most, and words in a window
 TRAIN_LANES, TRAIN_STEPS = 64, 32
 RATE, DAMPING = 0.2, 1e-6
@@ -385,7 +384,7 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
 
 def train_round(docs: DataFrame, vocabulary, weights, number: int) -> dict[str, tuple[int, np.ndarray]] | None:
     """Words seen and averaged weights after one round over that round's share of the documents."""
-    bucket = F.pmod(F.xxhash64(F.lit("share"), "doc_id", F.coalesce("text", F.lit(""))), F.lit(SHARE * ROUNDS))
+    bucket = F.pmod(F.xxhash64(F.lit("share"), "doc_id", F.coalesce("text", F.lit(""))), F.lit(ROUNDS))
     own = docs.where(~held_out(F.col("doc_id")) & (bucket == number)).select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -50,6 +50,15 @@ def test_language_model_base(spark, sf, odd_docs, no_docs, head, monkeypatch):
     assert language_model.score(no_docs).collect() == []
 
 
+def test_language_model_trains_on_every_document(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    v = language_model.build_vocabulary(language_model.count_words(docs))
+    context = spark.sparkContext
+    vocabulary, weights = context.broadcast(v), context.broadcast(language_model.Network(v).w)
+    rounds = [language_model.train_round(docs, vocabulary, weights, k) for k in range(language_model.ROUNDS)]
+    assert sum(r["embed"][0] for r in rounds if r) == v.total
+
+
 def test_language_model_beats_word_counts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     held = [r for r in language_model.score(docs).collect() if r.held_out]
