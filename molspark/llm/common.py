@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,6 +81,15 @@ def by_batch(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBatc
     return df.mapInArrow(run, schema_of(ddl))
 
 
+def text_pieces(batch: pa.RecordBatch, size: int = 10_000_000) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about `size` bytes each in its `text` column; a longer text is one slice."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(batch.schema.get_field_index("text"))), 0).to_numpy()
+    cut = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
+    for a, b in zip(np.r_[0, cut], np.r_[cut, batch.num_rows]):
+        if b > a:
+            yield batch.slice(int(a), int(b - a))
+
+
 def raw(batch: pa.RecordBatch, name: str) -> list[bytes | None]:
     """A text column as UTF-8 bytes."""
     return batch.column(batch.schema.get_field_index(name)).cast(pa.binary()).to_pylist()
