@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -92,25 +93,24 @@ class Paths:
         far = F.when(F.col("up").isNull(), 0).otherwise(1).cast("bigint")
         state = materialised(_skeleton(nodes).select("tree", "id", "up", far.alias("far"), F.col("score").alias("sum")))
         self.jumps: list[DataFrame] = []
-        while (1 << len(self.jumps)) <= longest:
-            jump = state.where("up IS NOT NULL").select("tree", "id", "up")
-            if jump.isEmpty():
-                break
-            self.jumps.append(jump)
-            above = state.select(
+        settled, active = [state.where("up IS NULL")], state.where("up IS NOT NULL")
+        while (1 << len(self.jumps)) <= longest and not active.isEmpty():
+            self.jumps.append(active.select("tree", "id", "up"))
+            # Settled messages are only looked up; they take no part in further rounds themselves.
+            above = reduce(DataFrame.unionByName, [*settled, active]).select(
                 F.col("tree").alias("t"), F.col("id").alias("i"), F.col("up").alias("next"),
                 F.col("far").alias("more"), F.col("sum").alias("above"),
             )
-            moved = state.join(above, _same("tree", "t") & (F.col("up") == F.col("i")), "left")
-            none = F.lit(0)
+            moved = active.join(above, _same("tree", "t") & (F.col("up") == F.col("i")))
             state = materialised(
                 moved.select(
-                    "tree", "id", F.col("next").alias("up"), (F.col("far") + F.coalesce("more", none)).alias("far"),
-                    (F.col("sum") + F.coalesce("above", none)).alias("sum"),
+                    "tree", "id", F.col("next").alias("up"), (F.col("far") + F.col("more")).alias("far"),
+                    (F.col("sum") + F.col("above")).alias("sum"),
                 )
             )
-        # What still points somewhere goes round in a circle.
-        self.nodes = state.where("up IS NULL").select("tree", "id", "far", "sum")
+            settled, active = [*settled, state.where("up IS NULL")], state.where("up IS NOT NULL")
+        # What is still active goes round in a circle.
+        self.nodes = reduce(DataFrame.unionByName, settled).select("tree", "id", "far", "sum")
         self.parents = self.jumps[0].select("tree", "up") if self.jumps else state.select("tree", "up").limit(0)
 
     def leaves(self, branches: int | None) -> DataFrame:
