@@ -7,10 +7,8 @@ links, and only those are compared, in blocks, with numpy exclusive-or and bit c
 returns a star forest of its links, never the pairs themselves, which keeps every connection.
 Components come from star contraction of those forests.
 
-`drop_near_copies` takes the fingerprints for candidates only: those of the distinct shingles, within a
-radius that texts of the least similarity hardly ever pass. The shingle sets of candidates are compared
-exactly, and only links that hold are contracted. A text of many candidates is compared with some first;
-those it is linked with by then need no comparison of their own, the others get theirs in further rounds.
+`drop_near_copies` keeps one document of each component. Only ids, hashes and fingerprints of texts are
+shuffled for that; the documents themselves are read once more and lose those that go.
 
 Defined cases: null text counts as empty; a text without words has fingerprint zero and links like
 any other; a null doc_id takes part but is never the smallest of its component unless all are null;
@@ -20,7 +18,6 @@ repeated rows give repeated result rows; an empty table gives no rows; other col
 from __future__ import annotations
 
 import itertools
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from molspark.llm.common import arrow_schema, by_batch, id_and_text, raw, schema_of, unused, words
+from molspark.llm.common import by_batch, id_and_text, raw, schema_of, unused, words
 from molspark.llm.components import components
 from molspark.session import materialised, shuffle_partitions
 
@@ -74,27 +71,18 @@ def fingerprint(hashes: np.ndarray, lanes: int) -> list[int]:
     return out
 
 
-def fingerprints(docs: DataFrame, shingle_words: int = 3, lanes: int = 1, distinct: bool = False) -> DataFrame:
-    """(doc_id, text_hash, size, sig, fp) per row; size counts distinct shingles, and sig is their hash.
-
-    With `distinct` each shingle counts once in the fingerprint, however often the text repeats it.
-    """
+def fingerprints(docs: DataFrame, shingle_words: int = 3, lanes: int = 1) -> DataFrame:
+    """(doc_id, text_hash, fp) per row."""
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
-            sizes, sigs, fps = [], [], []
-            for text in raw(batch, "text"):
-                h = shingle_hashes(words(text), shingle_words)
-                once = np.unique(h)
-                sizes.append(len(once))
-                sigs.append(int(np.uint64(xxhash.xxh64_intdigest(once.tobytes(), SEED)).view(np.int64)))
-                fps.append(fingerprint(once if distinct else h, lanes))
-            return {"doc_id": batch.column(0), "text_hash": batch.column(2), "size": sizes, "sig": sigs, "fp": fps}
+            fps = [fingerprint(shingle_hashes(words(text), shingle_words), lanes) for text in raw(batch, "text")]
+            return {"doc_id": batch.column(0), "text_hash": batch.column(2), "fp": fps}
 
         return work
 
     rows = id_and_text(docs).withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
-    return by_batch(rows, "doc_id bigint, text_hash bigint, size int, sig bigint, fp array<bigint>", make)
+    return by_batch(rows, "doc_id bigint, text_hash bigint, fp array<bigint>", make)
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,13 +143,11 @@ def _forests(radius: int, lanes: int):
     return run
 
 
-def _tile(lanes: int, radius: int, parts: int, similarity: float | None) -> tuple[Column, list[int]]:
+def _tile(lanes: int, radius: int, parts: int) -> tuple[Column, list[int]]:
     """The tile number of a fingerprint, and the steps to the tiles that may hold links.
 
     A tile is a vector of population counts: exact counts of `parts` equal parts of one word, or the
-    whole count in steps of the radius. With a least similarity, texts whose shingle counts differ by
-    more than that ratio allows can't be similar, and size bands are one more place of the vector.
-    Of each pair of steps d and -d only one is listed.
+    whole count in steps of the radius. Of each pair of steps d and -d only one is listed.
     """
     if parts > 1:
         width = 64 // parts
@@ -174,34 +160,28 @@ def _tile(lanes: int, radius: int, parts: int, similarity: float | None) -> tupl
         whole = sum((F.bit_count(F.col("fp")[i]) for i in range(lanes)), F.lit(0))
         counts = [F.floor(whole / F.lit(max(1, radius))).cast("int")]
         steps = [(-1,), (0,), (1,)]
-    band = F.lit(0)
-    if similarity is not None:
-        band = F.floor(F.log(F.greatest(F.col("size"), F.lit(1)).cast("double")) / F.lit(-math.log(similarity))).cast("int")
-        steps = [(d, *s) for d in (-1, 0, 1) for s in steps]
-    else:
-        steps = [(0, *s) for s in steps]
-    key = band.cast("bigint")
+    key = F.lit(0).cast("bigint")
     for c in counts:
         key = key * 512 + c.cast("bigint")
-    number = lambda s: sum(d * 512 ** (len(counts) - i) for i, d in enumerate(s))
+    number = lambda s: sum(d * 512 ** (len(counts) - 1 - i) for i, d in enumerate(s))
     return key, sorted(number(s) for s in steps if s >= (0,) * len(s))
 
 
-def linked_classes(rows: DataFrame, lanes: int, radius: int, parts: int = 1, similarity: float | None = None):
-    """(classes, roots): classes has (cid, fp, doc_id, size), roots (node, root) of linked classes."""
+def linked_classes(rows: DataFrame, lanes: int, radius: int, parts: int = 1):
+    """(classes, roots): classes has (cid, fp, doc_id), roots (node, root) of linked classes."""
     spark = rows.sparkSession
     classes = materialised(
         rows.groupBy("fp")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("size").alias("size"))
+        .agg(F.min("doc_id").alias("doc_id"))
         .withColumn("cid", F.monotonically_increasing_id())
     )
-    tile, steps = _tile(lanes, radius, parts, similarity)
+    tile, steps = _tile(lanes, radius, parts)
     tiled = classes.withColumn("tile", tile)
     # The vectors of population counts are few whatever the table holds, so this side is bounded.
     tiles = materialised(
         tiled.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
     )
-    # Bounded: one number for each vector of counts (17 ** 4, or bands x counts), not for each text.
+    # Bounded: one number for each vector of counts (17 ** 4 at most), not for each text.
     dealt = tiled.join(F.broadcast(tiles), "tile").withColumn("sub", F.pmod(F.xxhash64("fp"), "blocks").cast("int"))
     blocks = materialised(
         dealt.groupBy("tile", "sub")
@@ -237,214 +217,38 @@ def _with_component(rows: DataFrame, classes: DataFrame, roots: DataFrame) -> Da
 
 def near_components(docs: DataFrame, shingle_words: int = 3, radius: int = 3) -> DataFrame:
     """doc_id, fingerprint (hex) and component_id per row; fingerprints link at `radius` bits or fewer."""
-    rows = materialised(fingerprints(docs, shingle_words).select("doc_id", "size", "fp"))
+    rows = materialised(fingerprints(docs, shingle_words).select("doc_id", "fp"))
     found = _with_component(rows, *linked_classes(rows, 1, radius, parts=4))
     return found.select(
         "doc_id", F.lower(F.lpad(F.hex(F.col("fp")[0]), 16, "0")).alias("fingerprint"), "component_id"
     )
 
 
-def _pairs(left, right, radius: int, similarity: float, most: int):
-    """Candidates between two sets of (ids, roots, sizes, fps), at most `most` for each left row; the left
-    rows that have more; and all ids that those have candidates in."""
-    ids, roots, sizes, fps = left
-    for at in range(0, len(ids), step := max(1, CELLS // max(1, len(right[0])))):
-        part = slice(at, at + step)
-        far = np.bitwise_count(fps[part][:, None, 0] ^ right[3][None, :, 0]).astype(np.uint16)
-        for lane in range(1, fps.shape[1]):
-            far += np.bitwise_count(fps[part][:, None, lane] ^ right[3][None, :, lane])
-        i, j = np.nonzero(far <= radius)
-        x, y = sizes[part][i], right[2][j]
-        may = (roots[part][i] != right[1][j]) & (np.minimum(x, y) >= similarity * np.maximum(x, y) - 1e-9)
-        i, j = i[may], j[may]
-        count = np.bincount(i, minlength=len(ids[part]))
-        # A row of too many candidates takes `most` of them from a place of its own on.
-        rank = np.arange(len(i)) - (np.cumsum(count) - count)[i]
-        turn = _more_bits(ids[part].view(np.uint64), 1)[i] % count[i].astype(np.uint64)
-        taken = (rank - turn.astype(np.int64)) % count[i] < most
-        over = count > most
-        yield ids[part][i[taken]], right[0][j[taken]], ids[part][over], np.unique(right[0][j[over[i]]])
-
-
-PAIR, OPEN, MET = 0, 1, 2
-
-
-def _candidates(radius: int, lanes: int, similarity: float, most: int):
-    """(kind, a, b): pairs to be compared, rows that have more (OPEN), and what those may meet (MET)."""
-
-    def members(batch, name, lo, hi):
-        column = batch.column(batch.schema.get_field_index(name))
-        m = column.values.slice(lo, hi - lo).flatten()
-        fps = m[3].flatten().to_numpy(zero_copy_only=False).view(np.uint64).reshape(-1, lanes)
-        return *(m[k].to_numpy(zero_copy_only=False) for k in range(3)), fps
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("kind int, a bigint, b bigint")
-        for batch in batches:
-            tile, sub = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("tile", "sub"))
-            lo, ro = (batch.column(batch.schema.get_field_index(c)).offsets.to_numpy() for c in ("left", "m"))
-            edge = np.flatnonzero(np.r_[True, (tile[1:] != tile[:-1]) | (sub[1:] != sub[:-1]), True])
-            for r0, r1 in itertools.pairwise(edge):
-                mine, theirs = members(batch, "left", lo[r0], lo[r1]), members(batch, "m", ro[r0], ro[r0 + 1])
-                for a, b, more, met in _pairs(mine, theirs, radius, similarity, most):
-                    kind = np.repeat(np.array([PAIR, OPEN, MET], np.int32), [len(a), len(more), len(met)])
-                    if len(kind):
-                        ends = np.concatenate([a, more, met]), np.concatenate([b, more, met])
-                        yield pa.RecordBatch.from_arrays([pa.array(kind), *map(pa.array, ends)], schema=schema)
-
-    return run
-
-
-def _shingle_sets(plain: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
-    """(cid, hashes): the distinct shingle hashes of the texts that `wanted` (cid, doc_id, text_hash) names."""
-
-    def make():
-        def work(batch: pa.RecordBatch) -> dict:
-            sets = [np.unique(shingle_hashes(words(t), shingle_words)).view("<i8") for t in raw(batch, "text")]
-            return {"cid": batch.column(0), "hashes": sets}
-
-        return work
-
-    own = wanted.select("cid", F.col("doc_id").alias("own_id"), F.col("text_hash").alias("own_hash"))
-    text = F.coalesce("text", F.lit(""))
-    texts = (
-        plain.select("doc_id", text.alias("text"), F.xxhash64(text).alias("text_hash"))
-        .join(own, F.col("doc_id").eqNullSafe(F.col("own_id")) & (F.col("text_hash") == F.col("own_hash")))
-        .select("cid", "text")
-        .dropDuplicates(["cid"])
-    )
-    return by_batch(texts, "cid bigint, hashes array<bigint>", make)
-
-
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose shingle sets have at least the similarity, exactly."""
-    both = F.size(F.array_intersect("x", "y"))
-    either = F.size("x") + F.size("y") - both
-    return (
-        pairs.join(sets.select(F.col("cid").alias("a"), F.col("hashes").alias("x")), "a")
-        .join(sets.select(F.col("cid").alias("b"), F.col("hashes").alias("y")), "b")
-        .where(both >= F.lit(similarity) * either - F.lit(1e-9))
-        .select("a", "b")
-    )
-
-
-def verified_components(
-    plain: DataFrame, shingle_words: int, lanes: int, radius: int, similarity: float, most: int = 16
-) -> DataFrame:
-    """doc_id, text_hash and component of every row; a component is held together by links of at least
-    the similarity between shingle sets, out of the pairs whose fingerprints are within the radius."""
-    rows = materialised(fingerprints(plain, shingle_words, lanes, distinct=True))
-    # A class is one set of shingles: by fingerprint, size and a hash of the whole set.
-    same = ["fp", "size", "sig"]
-    classes = materialised(
-        rows.groupBy(same)
-        .agg(F.min(F.struct("text_hash", "doc_id")).alias("one"))
-        .select(*same, "one.text_hash", "one.doc_id", F.monotonically_increasing_id().alias("cid"))
-    )
-    tile, steps = _tile(lanes, radius, 1, similarity)
-    tiled = classes.withColumn("tile", tile)
-    # Bounded: one number for each size band and count, not for each text.
-    tiles = materialised(
-        tiled.groupBy("tile").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    )
-    dealt = materialised(
-        tiled.join(F.broadcast(tiles), "tile").select(
-            "tile", F.pmod(F.xxhash64("fp", "sig"), "blocks").cast("int").alias("sub"), "cid", "size", "fp"
-        )
-    )
-    tasks = shuffle_partitions(plain.sparkSession)
-    member = F.collect_list(F.struct("cid", "root", "size", "fp"))
-    links = roots = more = sets = None
-    while True:
-        now = dealt.withColumn("root", F.col("cid"))
-        if roots is not None:
-            now = dealt.join(roots, F.col("cid") == F.col("node"), "left").withColumn("root", F.coalesce("root", "cid")).drop("node")
-        blocks = materialised(now.groupBy("tile", "sub").agg(member.alias("m")))
-        mine = blocks if more is None else now.join(more, "cid", "left_semi").groupBy("tile", "sub").agg(member.alias("m"))
-        own = F.col("own") == F.col("tile")
-        left = (
-            mine.select(
-                F.col("tile").alias("own"),
-                F.col("sub").alias("own_sub"),
-                F.col("m").alias("left"),
-                F.explode(F.array(*(F.col("tile") + F.lit(s) for s in steps))).alias("tile"),
-            )
-            .join(F.broadcast(tiles), "tile")
-            .withColumn("sub", F.explode(F.sequence(F.when(own, F.col("own_sub")).otherwise(F.lit(0)), F.col("blocks") - 1)))
-            .select("tile", "sub", "left")
-        )
-        met = left.repartition(tasks, "tile", "sub").join(blocks.repartition(tasks, "tile", "sub"), ["tile", "sub"])
-        ddl = "kind int, a bigint, b bigint"
-        found = materialised(met.mapInArrow(_candidates(radius, lanes, similarity, most), schema_of(ddl)))
-        if sets is None:  # later rounds meet no others
-            wanted = found.select("a").union(found.select("b")).distinct().withColumnRenamed("a", "cid")
-            sets = materialised(_shingle_sets(plain, classes.join(wanted, "cid").select("cid", "doc_id", "text_hash"), shingle_words))
-        pairs = found.where(F.col("kind") == PAIR).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        good = materialised(_similar(pairs, sets, similarity))
-        links = good if links is None else links.unionByName(good)
-        roots = components(links)
-        more = found.where(F.col("kind") == OPEN).select(F.col("a").alias("cid")).distinct()
-        if more.isEmpty():
-            break
-        most *= 8
-    known = classes.join(roots, F.col("cid") == F.col("node"), "left").select(*same, F.coalesce("root", "cid").alias("component"))
-    return rows.join(known, same).select("doc_id", "text_hash", "component")
-
-
-def flip_share(similarity: float, small: int = 40) -> float:
-    """The largest share of bits in which fingerprints of two sets of that similarity differ, on average.
-
-    acos(2s / (1 + s)) / pi for large sets; sets of few shingles have ties, and are counted out.
-    """
-    odds = lambda n: [math.comb(n, k) / 2**n for k in range(n + 1)]
-    most = math.acos(2 * similarity / (1 + similarity)) / math.pi
-    for c in range(1, small):
-        apart = int(c / similarity - c + 1e-9)
-        for x in range(apart // 2 + 1):
-            y = apart - x
-            flips = 0.0
-            for s, p in enumerate(odds(c)):
-                up = sum(q for k, q in enumerate(odds(x)) if 2 * (s + k) > c + x)
-                over = sum(q for k, q in enumerate(odds(y)) if 2 * (s + k) > c + y)
-                flips += p * (up * (1 - over) + over * (1 - up))
-            most = max(most, flips)
-    return most
-
-
 def drop_near_copies(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    shingle_words: int = 5,
-    lanes: int = 4,
-    similarity: float = 0.8,
-    slack_bits: float = 3.0,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 3
 ) -> DataFrame:
-    """One row of each group of near copies, with the columns of `docs`.
+    """One row of each component of near copies, with the columns of `docs`.
 
-    Texts are linked if their sets of shingles have at least the Jaccard similarity, compared exactly. The
-    pairs compared are those whose fingerprints of `lanes` x 64 bits differ in no more than the share of
-    bits that sets of that similarity do, on average, and `slack_bits` standard deviations more. Rows of
-    equal doc_id and text are one document. The row of the smallest doc_id stays.
+    The row of the smallest doc_id stays (null last, then the smallest hash of the text). Rows of equal
+    doc_id and text are one document.
     """
-    bits = 64 * lanes
-    share = flip_share(similarity)
-    radius = int(bits * share + slack_bits * math.sqrt(bits * share * (1 - share)))
-    plain = id_and_text(docs, id_col, text_col)
-    found = verified_components(plain, shingle_words, lanes, radius, similarity)
-    first = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("text_hash"))
+    rows = materialised(fingerprints(id_and_text(docs, id_col, text_col), shingle_words))
+    found = _with_component(rows, *linked_classes(rows, 1, radius, parts=4))
+    one = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    documents = found.select("component", one.alias("one")).groupBy("component", "one").agg(F.count(F.lit(1)).alias("times"))
+    first = documents.groupBy(F.col("component").alias("its")).agg(F.min("one").alias("first"))
     key, hashed = unused("_key", docs), unused("_hash", docs)
-    staying = (
-        found.groupBy("component")
-        .agg(F.min(first).alias("m"))
-        .select(F.col("m.doc_id").alias(key), F.col("m.text_hash").alias(hashed))
+    # What goes, and what stays but is there more than once: far fewer rows than the table has.
+    marked = materialised(
+        documents.join(first, F.col("component") == F.col("its"))
+        .withColumn("stays", F.col("one") == F.col("first"))
+        .where("NOT stays OR times > 1")
+        .select(F.col("one.doc_id").alias(key), F.col("one.text_hash").alias(hashed), "stays")
     )
-    text = F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")))
-    doc_id = F.col(f"`{id_col}`").cast("bigint")
     other = unused("_other", docs)
-    return (
-        docs.withColumn(other, text)
-        .join(staying, doc_id.eqNullSafe(F.col(key)) & (F.col(other) == F.col(hashed)))
-        .dropDuplicates([key, hashed])
-        .select(*(F.col(f"`{c}`") for c in docs.columns))
-    )
+    own = docs.withColumn(other, F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))))
+    same = F.col(f"`{id_col}`").cast("bigint").eqNullSafe(F.col(key)) & (F.col(other) == F.col(hashed))
+    repeated = own.join(marked.where("stays"), same).dropDuplicates([key, hashed])
+    left = own.join(marked, same, "left_anti")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return left.select(*names).unionByName(repeated.select(*names))
