@@ -66,8 +66,8 @@ class Encoder(dict):
 
     The tokenizer splits a text first, at every single space among others, and merges inside the parts.
     So equal words after a space have equal ids, and those are kept; a word not met before is merged by
-    the file's own vocabulary as ranks. Other texts go through the tokenizer whole. Special tokens
-    written out in a text are ordinary text.
+    the file's own vocabulary as ranks. Other texts go through the tokenizer whole, among them those
+    that hold a special token written out, which the tokenizer gives its own id as it does by default.
     """
 
     def __init__(self, path: str):
@@ -78,9 +78,8 @@ class Encoder(dict):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         byte_of = _byte_of()
-        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        self.special = special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         ranks = {
             bytes(byte_of[c] for c in token): number
             for token, number in self.tokenizer.get_vocab().items()
@@ -107,7 +106,7 @@ class Encoder(dict):
         return ids
 
     def __call__(self, text: str) -> bytes:
-        if not text.isascii() and BEYOND.search(text):
+        if any(token in text for token in self.special) or not text.isascii() and BEYOND.search(text):
             return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         if any(r in text for r in RUNS):
             return self._whole(text)

@@ -155,9 +155,7 @@ def test_state_carries_over_windows(monkeypatch):
 def tokenizer():
     from tokenizers import Tokenizer
 
-    made = Tokenizer.from_file(queries.tokenizer_path())
-    made.encode_special_tokens = True
-    return made
+    return Tokenizer.from_file(queries.tokenizer_path())
 
 
 def check_pieces(pieces, docs, tokenizer, capacity):
@@ -196,6 +194,9 @@ def check_pieces(pieces, docs, tokenizer, capacity):
 
 def test_pack(spark, sf, odd_docs, no_docs, tokenizer):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    special = "hello <|endoftext|> world"
+    docs = docs.unionByName(spark.createDataFrame([(-1, special)], "doc_id long, text string"))
+    assert tokenizer.encode(special, add_special_tokens=False).ids == [31373, 220, 50256, 995]
     plain = [(r.doc_id, r.text) for r in docs.collect()]
     for kwargs in ({}, {"block_tokens": 5_000, "capacity": 512}):
         pieces = packing.pack(docs.repartition(6), queries.tokenizer_path(), **kwargs).collect()
@@ -213,7 +214,6 @@ def test_encoder(text):
 
     if not hasattr(test_encoder, "made"):
         test_encoder.made = Tokenizer.from_file(queries.tokenizer_path())
-        test_encoder.made.encode_special_tokens = True
     want = np.array(test_encoder.made.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
     assert packing.encoder(queries.tokenizer_path())(text) == want
 
