@@ -1,4 +1,9 @@
-"""Curation of the documents table: five stages, each written as Parquet and read again by the next."""
+"""Curation of the documents table: five stages, each written as Parquet and read again by the next.
+
+Defined cases are those of the operators: null text counts as empty and goes through all stages; rows of
+null doc_id are documents like others; repeated rows are equal texts, of which one stays; an empty table
+gives no rows; extra columns, whatever their names, are returned by all stages but the last.
+"""
 
 from __future__ import annotations
 
@@ -20,7 +25,8 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word shingles, similarity 0.8."""
+    """One document of each group of near copies stays: fingerprints of three-word shingles, 3 bits apart or
+    fewer, as the operator's contract has them. Texts without words are one group."""
     return simhash.drop_near_copies(docs)
 
 
