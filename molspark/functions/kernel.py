@@ -16,6 +16,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+@dataclass(frozen=True)
+class Additive:
+    """What a kernel promises if its products are sums of their parts.
+
+    A combination of valid parts is possible by the sum of its parts' marks alone, its product is valid
+    then, and the product's descriptors are those of its prepared parts added up, and `joint` for each
+    fragment. Products of separable parts differ if any part does.
+    """
+
+    marks: Callable[[Column], Column]
+    possible: Callable[[Column], Column]
+    separable: Callable[[Column], Column]
+    describe: Callable[[DataFrame, str], DataFrame]
+    joint: Mapping[str, float] = field(default_factory=dict)
+
+
 @dataclass(frozen=True)
 class Kernel:
     """The slots a stage may call.
@@ -34,6 +50,7 @@ class Kernel:
     fingerprint: Callable[[Column], Column]
     # Further fingerprints that a graph step may ask for by name.
     fingerprints: Mapping[str, Callable[[Column], Column]] = field(default_factory=dict)
+    additive: Additive | None = None
 
 
 # --- Text validity --------------------------------------------------------------------------
@@ -130,13 +147,16 @@ def text_prepare(text: Column) -> Column:
     return F.when(usable, F.struct(welded.alias("text"), marks.alias("marks")))
 
 
+def _marks_pair(marks: Column) -> Column:
+    return marks.bitwiseAND(F.lit(MARK_ODD_BITS)) == 0
+
+
 def text_combine(scaffold: Column, fragments: Column) -> Column:
     """Join the prepared parts; null unless every label occurs exactly twice."""
     marks = F.aggregate(
         fragments, scaffold["marks"], lambda total, fragment: total + fragment["marks"]
     )
-    paired = marks.bitwiseAND(F.lit(MARK_ODD_BITS)) == 0
-    return F.when(paired, F.concat_ws(".", scaffold["text"], fragments["text"]))
+    return F.when(_marks_pair(marks), F.concat_ws(".", scaffold["text"], fragments["text"]))
 
 
 # --- Text descriptors -----------------------------------------------------------------------
@@ -175,7 +195,13 @@ TEXT_DESCRIPTORS = (
 )
 
 
-def text_descriptors(df: DataFrame, text: str) -> DataFrame:
+def text_part_descriptors(df: DataFrame, part: str) -> DataFrame:
+    """The same of a prepared part, to be added up: a bond between parts is half a ring closure in each."""
+    halves = df.withColumn("_text", F.col(part)["text"])
+    return text_descriptors(halves, "_text", whole=False).drop("_text")
+
+
+def text_descriptors(df: DataFrame, text: str, whole: bool = True) -> DataFrame:
     """Append seven numbers read off the text. Their names are not those of the toolkit's.
 
     Shared intermediate texts are columns of their own, so each is worked out once per row.
@@ -209,13 +235,14 @@ def text_descriptors(df: DataFrame, text: str) -> DataFrame:
         F.aggregate("_symbols", F.lit(0.0), lambda total, s: total + weights[s]),
     ).otherwise(F.lit(0.0))
     n_heavy = F.length("_atoms") + F.size("_symbols")
+    closures = _n_closures(F.col("_bare"))
     values = {
         "n_heavy_atoms": n_heavy,
         "n_hetero_atoms": n_heavy - F.col("_n_C") - inside(("C", "c")),
         "n_halogens": reduce(add, (F.col(f"_n_{s}") for s in HALOGENS)) + inside(HALOGENS),
         "n_aromatic_atoms": F.length(F.regexp_replace("_atoms", "[A-Z]", "")) + inside(AROMATIC),
         # A closure pair is a ring unless it welds two dot-separated parts together.
-        "n_rings": F.shiftright(_n_closures(F.col("_bare")), 1) - _count_text(F.col("_bare"), "."),
+        "n_rings": (F.shiftright(closures, 1) if whole else closures / 2) - _count_text(F.col("_bare"), "."),
         "n_branches": _count_text(F.col("_bare"), "("),
         "heavy_atom_weight": outside_weight + inside_weight,
     }
@@ -272,4 +299,12 @@ def text_kernel(portable: bool = False) -> Kernel:
             "qgram": lambda text: text_fingerprint(text, hash_of=hash_of),
             "bigram": lambda text: text_fingerprint(text, q=2, hash_of=hash_of),
         },
+        additive=Additive(
+            marks=lambda part: part["marks"],
+            possible=_marks_pair,
+            # The dots between parts tell them apart if no part has one.
+            separable=lambda text: ~text.contains("."),
+            describe=text_part_descriptors,
+            joint={"n_rings": -1.0},
+        ),
     )

@@ -81,13 +81,15 @@ def label_sizes(r_groups: DataFrame) -> DataFrame:
 
 
 def fragment_blocks(r_groups: DataFrame, kernel: Kernel) -> DataFrame:
-    """The prepared fragments of each label in blocks of at most FRAGMENTS_PER_BLOCK."""
+    """The prepared fragments of each label in blocks of at most FRAGMENTS_PER_BLOCK; further columns
+    of the fragments come along."""
+    more = [c for c in r_groups.columns if c not in ("dataset_id", "label", "pos", "smiles")]
     return (
         indexed_r_groups(r_groups)
         .withColumn("prepared", kernel.prepare(F.col("smiles")))
         .withColumn("block", _div(F.col("idx"), F.lit(FRAGMENTS_PER_BLOCK)))
         .groupBy("dataset_id", "label", "block")
-        .agg(F.collect_list(F.struct("idx", "smiles", "prepared")).alias("fragments"))
+        .agg(F.collect_list(F.struct("idx", "smiles", "prepared", *more)).alias("fragments"))
     )
 
 
@@ -112,7 +114,7 @@ def match_arity(scaffolds: DataFrame, label_counts: DataFrame, kernel: Kernel) -
     )
 
 
-def _strides(groups: Column, max_products: int | None) -> Column:
+def strides(groups: Column, max_products: int | None = None) -> Column:
     """Per label, how many attempts pass before its digit moves; the last label moves fastest. The
     number of attempts comes first.
 
@@ -175,13 +177,13 @@ def sized_scaffolds(
     return (
         match_arity(scaffolds, sizes, kernel)
         .where("usable AND groups IS NOT NULL")
-        .withColumn("_strides", _strides(F.col("groups"), max_products))
+        .withColumn("_strides", strides(F.col("groups"), max_products))
         .withColumn("_total", F.element_at("_strides", 1))
         .withColumn("_strides", F.slice("_strides", 2, F.size("groups")))
     )
 
 
-def _chunks(sized: DataFrame) -> DataFrame:
+def _chunks(sized: DataFrame, whole: Sequence[str]) -> DataFrame:
     """A row per chunk of attempts and label: which of the label's fragments the chunk uses.
 
     Attempts _first.._last use fragments a, a + 1, ... (`take` of them, round the end of the list).
@@ -198,14 +200,14 @@ def _chunks(sized: DataFrame) -> DataFrame:
         .select(
             "dataset_id",
             "scaffold_id",
-            "_scaffold",
+            *whole,
             "_first",
             "_last",
             F.posexplode(
                 F.zip_with("groups", "_strides", lambda g, s: F.struct(g["label"].alias("label"), g["n"].alias("n"), s.alias("stride")))
             ).alias("no", "g"),
         )
-        .select("dataset_id", "scaffold_id", "_scaffold", "_first", "_last", "no", "g.*")
+        .select("dataset_id", "scaffold_id", *whole, "_first", "_last", "no", "g.*")
         .withColumn("base", low)
         .withColumn("a", F.col("base") % F.col("n"))
         .withColumn("take", F.least(_div(F.col("_last"), F.col("stride")) - F.col("base") + 1, F.col("n")))
@@ -220,40 +222,32 @@ def _chunks(sized: DataFrame) -> DataFrame:
     )
 
 
-def attempts(
-    scaffolds: DataFrame,
-    r_groups: DataFrame,
-    kernel: Kernel,
-    max_products: int | None = None,
-) -> DataFrame:
-    """Every attempt: ``dataset_id, scaffold_id, ord, smiles, r_groups``; null smiles = skipped.
+def combinations(sized: DataFrame, blocks: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Every combination: ``dataset_id, scaffold_id, _scaffold``, the `carried` columns of the scaffold,
+    ``labels``, ``ord`` and ``fragments``, the entries of the fragment blocks in label order.
 
-    `r_groups` maps each label to its fragment; scaffold ids are unique in their dataset. All
-    combinations are attempted, or the first `max_products` of each scaffold if the caller says so.
-
-    Attempt number `ord` is decoded digit by digit into one fragment per label. Attempts are produced
-    in chunks of bounded size. A chunk meets only the fragment blocks it uses, and of those only the
-    fragments it uses go on; so no row ever holds all fragments of a dataset.
+    Combination number `ord` is decoded digit by digit into one fragment per label. Combinations are
+    produced in chunks of bounded size. A chunk meets only the fragment blocks it uses, and of those only
+    the fragments it uses go on; so no row ever holds all fragments of a dataset.
     """
-    sized = sized_scaffolds(scaffolds, r_groups, kernel, max_products).withColumn(
-        "_scaffold", kernel.prepare(F.col("smiles"))
-    )
     keys = ["dataset_id", "scaffold_id", "_first"]
     at = lambda f: F.pmod(f["idx"] - F.col("a"), F.col("n"))
+    entry = [f.name for f in blocks.schema["fragments"].dataType.elementType if f.name != "idx"]
     used = F.transform(
         F.filter("fragments", lambda f: at(f) < F.col("take")),
-        lambda f: F.struct(at(f).alias("at"), f["smiles"].alias("smiles"), f["prepared"].alias("prepared")),
+        lambda f: F.struct(at(f).alias("at"), *(f[c].alias(c) for c in entry)),
     )
+    whole = ["_scaffold", *carried]
     chunks = (
-        _chunks(sized)
-        .join(fragment_blocks(r_groups, kernel), ["dataset_id", "label", "block"])
-        .select(*keys, "_scaffold", "_last", F.struct("no", "label", "base", "stride", used.alias("used")).alias("part"))
+        _chunks(sized, whole)
+        .join(blocks, ["dataset_id", "label", "block"])
+        .select(*keys, *whole, "_last", F.struct("no", "label", "base", "stride", used.alias("used")).alias("part"))
         # A stated number of partitions: a chunk is small but its work is not, so the chunks must
         # not be packed together by their size.
-        .repartition(shuffle_partitions(scaffolds.sparkSession), *keys)
+        .repartition(shuffle_partitions(sized.sparkSession), *keys)
         .groupBy(*keys)
         .agg(
-            F.first("_scaffold").alias("_scaffold"),
+            *(F.first(c).alias(c) for c in whole),
             F.first("_last").alias("_last"),
             F.collect_list("part").alias("_parts"),
         )
@@ -261,10 +255,10 @@ def attempts(
     )
     # Decoding happens before the rows are exploded, so no product row ever drags the chunk's
     # fragment arrays along.
-    decoded = chunks.select(
+    return chunks.select(
         "dataset_id",
         "scaffold_id",
-        "_scaffold",
+        *whole,
         F.col("_digits.label").alias("labels"),
         F.inline(
             F.transform(
@@ -276,6 +270,23 @@ def attempts(
             )
         ),
     )
+
+
+def attempts(
+    scaffolds: DataFrame,
+    r_groups: DataFrame,
+    kernel: Kernel,
+    max_products: int | None = None,
+) -> DataFrame:
+    """Every attempt: ``dataset_id, scaffold_id, ord, smiles, r_groups``; null smiles = skipped.
+
+    `r_groups` maps each label to its fragment; scaffold ids are unique in their dataset. All
+    combinations are attempted, or the first `max_products` of each scaffold if the caller says so.
+    """
+    sized = sized_scaffolds(scaffolds, r_groups, kernel, max_products).withColumn(
+        "_scaffold", kernel.prepare(F.col("smiles"))
+    )
+    decoded = combinations(sized, fragment_blocks(r_groups, kernel))
     prepared_ok = F.col("_scaffold").isNotNull() & ~F.exists(
         "fragments", lambda f: f["prepared"].isNull()
     )
@@ -305,13 +316,9 @@ def first_seen_distinct(
     return picked.select(*keys, *(F.col(f"_first.{c}").alias(c) for c in rest))
 
 
-def enumerate_library(
-    scaffolds: DataFrame,
-    r_groups: DataFrame,
-    kernel: Kernel,
-    max_products: int | None = None,
-) -> DataFrame:
-    """Distinct products per dataset, each from the first scaffold and attempt that made it."""
+def capped_library(scaffolds: DataFrame, r_groups: DataFrame, kernel: Kernel, max_products: int) -> DataFrame:
+    """Distinct products per dataset among the first `max_products` attempts of each scaffold, each from
+    the first scaffold and attempt that made it."""
     made = attempts(scaffolds, r_groups, kernel, max_products).where(F.col("smiles").isNotNull())
     return first_seen_distinct(made, ["dataset_id", "smiles"], ["scaffold_id", "ord"])
 

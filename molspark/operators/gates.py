@@ -121,7 +121,13 @@ def min_count_gate(
     df: DataFrame, minimum: int = MIN_PRODUCTS, datasets: DataFrame | None = None
 ) -> DataFrame:
     """At least `minimum` rows."""
-    counts = df.groupBy(KEY).agg(F.count(F.lit(1)).alias("molecule_count"))
+    return count_gate(df.groupBy(KEY).agg(F.count(F.lit(1)).alias("molecule_count")), minimum, datasets)
+
+
+def count_gate(
+    counts: DataFrame, minimum: int = MIN_PRODUCTS, datasets: DataFrame | None = None
+) -> DataFrame:
+    """The same for counts that are known already."""
     return (
         _for_datasets(counts, datasets)
         .fillna(0, ["molecule_count"])

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from molspark.functions.columns import MOLECULE_ID
 from molspark.functions.kernel import Kernel, text_kernel
 from molspark.functions.ordering import sorted_position
-from molspark.operators import clustering, descriptors, gates, layers, predict, similarity, spanning_tree
+from molspark.operators import clustering, descriptors, factorised, gates, layers, predict, similarity, spanning_tree
 from molspark.operators import enumerate as library
 from molspark.plans import discover
 from molspark.session import materialised
@@ -103,10 +103,15 @@ def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | No
     )
     alive = materialised(gates.passing(alive, reports[-1]))
 
-    fragments = library.load_r_group_cells(cells.join(alive, KEY, "left_semi"), kernel)
-    molecules = library.enumerate_library(
-        scaffolds.join(alive, KEY, "left_semi"), fragments, kernel, config.max_products
-    )
+    fragments = materialised(library.load_r_group_cells(cells.join(alive, KEY, "left_semi"), kernel))
+    usable = scaffolds.join(alive, KEY, "left_semi")
+    molecules = factorised.enumerate_library(usable, fragments, kernel, config.max_products)
+    possible = library.possible_counts(usable, fragments, kernel)
+    if config.max_products is None:
+        generation = factorised.attempt_counts(usable, fragments, kernel).join(possible, KEY)
+    else:
+        made = library.attempts(usable, fragments, kernel, config.max_products)
+        generation = library.enumeration_stats(made, possible)
     names = [row[KEY] for row in ids.toLocalIterator()]
     stage = lambda df, name: _stage(spark, df, f"{out}/{name}", names)
     molecules = stage(molecules, "molecules")
@@ -145,7 +150,7 @@ def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | No
     )
     alive = materialised(gates.passing(alive, reports[-1]))
     good = clustered.join(alive, KEY, "left_semi")
-    tables = {"molecules": molecules, "properties": properties}
+    tables = {"molecules": molecules, "properties": properties, "generation_stats": materialised(generation)}
     tables["clusters"] = stage(good.drop(clustering.ID), "clusters")
     asked = None if config.auto_k_range else config.n_clusters
     tables["cluster_stats"] = clustering.cluster_stats(good, features, asked)

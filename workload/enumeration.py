@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molspark.functions.columns import melt
-from molspark.functions.kernel import text_kernel
+from molspark.functions.kernel import TEXT_DESCRIPTORS, text_kernel
 from molspark.functions.rounding import round_exact
-from molspark.operators import descriptors, enumerate as library
+from molspark.operators import clustering, descriptors, factorised
+from molspark.operators import enumerate as library
 from workload import inputs
 from workload.inputs import LABELS
 
@@ -42,19 +43,19 @@ def attachment_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _long_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+def long_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return library.load_r_groups(inputs.r_group_rows(spark, sf_dir), LABELS, KERNEL)
 
 
 def _attempts(spark: SparkSession, sf_dir: str, cap: int | None = None) -> DataFrame:
     return library.attempts(
-        inputs.scaffolds(spark, sf_dir), _long_groups(spark, sf_dir), KERNEL, cap
+        inputs.scaffolds(spark, sf_dir), long_groups(spark, sf_dir), KERNEL, cap
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return library.enumerate_library(
-        inputs.scaffolds(spark, sf_dir), _long_groups(spark, sf_dir), KERNEL
+    return factorised.enumerate_library(
+        inputs.scaffolds(spark, sf_dir), long_groups(spark, sf_dir), KERNEL
     )
 
 
@@ -63,7 +64,7 @@ def enumerate_capped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def arity_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = _long_groups(spark, sf_dir).groupBy("dataset_id").agg(
+    counts = long_groups(spark, sf_dir).groupBy("dataset_id").agg(
         F.count_distinct("label").alias("n_labels")
     )
     matched = library.match_arity(inputs.scaffolds(spark, sf_dir), counts, KERNEL)
@@ -84,14 +85,31 @@ def first_seen_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    possible = library.possible_counts(
-        inputs.scaffolds(spark, sf_dir), _long_groups(spark, sf_dir), KERNEL
-    )
-    return library.enumeration_stats(_attempts(spark, sf_dir), possible)
+    parts = inputs.scaffolds(spark, sf_dir), long_groups(spark, sf_dir), KERNEL
+    return factorised.attempt_counts(*parts).join(library.possible_counts(*parts), "dataset_id")
 
 
 def described(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return descriptors.with_descriptors(products(spark, sf_dir), KERNEL)
+    return factorised.described_library(
+        inputs.scaffolds(spark, sf_dir), long_groups(spark, sf_dir), KERNEL
+    )
+
+
+def product_moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number, means and deviations of every brand's products, of which none is made."""
+    found = _moments(spark, sf_dir)
+    return found.select("dataset_id", "n", *(round_exact(F.col(f"{k}_{c}"), 6).alias(f"{k}_{c}") for c in TEXT_DESCRIPTORS for k in ("mean", "std")))
+
+
+def _moments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return factorised.product_moments(inputs.scaffolds(spark, sf_dir), long_groups(spark, sf_dir), KERNEL)
+
+
+def product_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Standardised products of whole brands; the statistics come from their parts."""
+    scaled = clustering.standardise(described(spark, sf_dir), TEXT_DESCRIPTORS, moments=_moments(spark, sf_dir))
+    values = [round_exact(F.col(c), 5).alias(c) for c in TEXT_DESCRIPTORS]
+    return scaled.select("dataset_id", "scaffold_id", "ord", *values)
 
 
 def product_descriptors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,6 +140,8 @@ QUERIES = {
     "first_seen_distinct": first_seen_distinct,
     "stage_stats": stage_stats,
     "descriptors": product_descriptors,
+    "product_moments": product_moments,
+    "product_zscore": product_zscore,
     "descriptor_counts": descriptor_counts,
     "round4": round4,
 }
@@ -163,6 +183,20 @@ SELECT dataset_id, count(*) AS attempted, count(smiles) AS valid,
   count(*) - count(smiles) AS skipped, count(*) AS possible FROM attempts GROUP BY 1""",
     "descriptors": inputs.products_sql() + "," + inputs.descriptors_sql("products")
     + " SELECT * EXCLUDE (R1, R2) FROM described",
+    "product_moments": inputs.products_sql() + "," + inputs.descriptors_sql("products")
+    + " SELECT dataset_id, count(*) AS n, "
+    + ", ".join(
+        f"round(avg({c}), 6) AS mean_{c}, round(stddev_pop({c}), 6) AS std_{c}" for c in TEXT_DESCRIPTORS
+    )
+    + " FROM described GROUP BY 1",
+    "product_zscore": inputs.products_sql() + "," + inputs.descriptors_sql("products")
+    + " SELECT dataset_id, scaffold_id, ord, "
+    + ", ".join(
+        f"CASE WHEN stddev_pop({c}) OVER d > 1e-14 * abs(avg({c}) OVER d) "
+        f"THEN round(({c} - avg({c}) OVER d) / stddev_pop({c}) OVER d, 5) ELSE 0.0 END AS {c}"
+        for c in TEXT_DESCRIPTORS
+    )
+    + " FROM described WINDOW d AS (PARTITION BY dataset_id)",
     "descriptor_counts": _SCAFFOLDS + f"""
 SELECT dataset_id, count(*) AS input,
   count(*) FILTER ({inputs.valid_sql('trim(smiles)')}) AS calculated,

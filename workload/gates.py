@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from molspark.functions.kernel import text_kernel
-from molspark.operators import gates
+from molspark.operators import factorised, gates
 from workload import enumeration, inputs
 from workload.inputs import LABELS, table
 
@@ -15,9 +15,8 @@ KERNEL = text_kernel()
 
 def _brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dataset that could exist, from the nations; some have no rows at small scales."""
-    classes = F.explode(F.sequence(F.lit(0), F.lit(inputs.SIZE_CLASSES - 1))).alias("c")
-    return table(spark, sf_dir, "nation").select("n_nationkey", classes).select(
-        F.concat(F.lit("Brand#"), F.col("n_nationkey") + 1, F.lit("-"), "c").alias("dataset_id")
+    return table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("Brand#"), F.col("n_nationkey") + 1).alias("dataset_id")
     )
 
 
@@ -55,9 +54,8 @@ def attachment_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def min_count_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gates.min_count_gate(
-        enumeration.products(spark, sf_dir), minimum=15, datasets=_brands(spark, sf_dir)
-    )
+    counts = factorised.product_counts(inputs.scaffolds(spark, sf_dir), enumeration.long_groups(spark, sf_dir), KERNEL)
+    return gates.count_gate(counts, minimum=1500, datasets=_brands(spark, sf_dir))
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,8 +147,7 @@ QUERIES = {
     "run_summary": run_summary,
 }
 
-_BRANDS = f"""brands AS (
-  SELECT 'Brand#' || (n_nationkey + 1) || '-' || unnest(range(0, {inputs.SIZE_CLASSES})) AS dataset_id FROM nation)"""
+_BRANDS = "brands AS (SELECT 'Brand#' || (n_nationkey + 1) AS dataset_id FROM nation)"
 
 
 def _cell_valid(text: str) -> str:
@@ -215,8 +212,8 @@ WITH doc_ok AS (SELECT source AS dataset_id, {_cell_valid('text')} AS ok FROM do
     "cell_ratio": f"WITH {inputs.R_GROUP_ROWS_SQL}, {_CELL_OK}" + _ratio("cell_ok", 0.8, None),
     "attachment_gate": f"WITH {inputs.SCAFFOLDS_SQL}, {inputs.R_GROUP_ROWS_SQL}, {_BRANDS}{_ATTACHMENT}",
     "min_count_gate": inputs.products_sql() + f""", {_BRANDS}
-SELECT dataset_id, count(smiles) AS molecule_count, 15::BIGINT AS minimum_required,
-  count(smiles) >= 15 AS passed
+SELECT dataset_id, count(smiles) AS molecule_count, 1500::BIGINT AS minimum_required,
+  count(smiles) >= 1500 AS passed
 FROM brands LEFT JOIN products USING (dataset_id) GROUP BY 1""",
     "cluster_sizes": f"WITH {_LABELLED} SELECT dataset_id, cluster, count(*) AS size FROM labelled GROUP BY ALL",
     "unlabelled_sizes": """

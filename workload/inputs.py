@@ -1,7 +1,7 @@
 """Library inputs derived from the given tables, once in Spark and once in SQL.
 
-A dataset is a brand and a size class. Suppliers become scaffolds (dataset by nation and key), parts become fragment rows
-with two labels. Some rows are blank, invalid or of the wrong arity on purpose. The derived tables are
+A dataset is a brand. Suppliers become scaffolds (dataset by nation), parts become fragment rows with
+two labels. Some rows are blank, invalid or of the wrong arity on purpose. The derived tables are
 written once, so that the operators start from a table and not from its derivation.
 """
 
@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from molspark.session import materialised
 
 LABELS = ["R1", "R2"]
-SIZE_CLASSES = 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,7 +31,7 @@ def scaffolds(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("O=C(C"), body, F.lit("[*:1])N[*:2]")))
     )
     return materialised(table(spark, sf_dir, "supplier").select(
-        F.concat(F.lit("Brand#"), F.col("s_nationkey") + 1, F.lit("-"), key % SIZE_CLASSES).alias("dataset_id"),
+        F.concat(F.lit("Brand#"), F.col("s_nationkey") + 1).alias("dataset_id"),
         key.alias("scaffold_id"),
         smiles.alias("smiles"),
     ))
@@ -55,7 +54,7 @@ def r_group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("[NH3+]")
     )
     return materialised(table(spark, sf_dir, "part").select(
-        F.concat("p_brand", F.lit("-"), size % SIZE_CLASSES).alias("dataset_id"),
+        F.col("p_brand").alias("dataset_id"),
         F.col("p_partkey").alias("pos"),
         F.when(size % 25 == 0, F.lit(None))
         .otherwise(F.concat(F.lit(" [*:1]C"), F.expr("repeat('C', p_size % 6)"), tail))
@@ -67,9 +66,9 @@ def r_group_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
-SCAFFOLDS_SQL = f"""
+SCAFFOLDS_SQL = """
 scaffolds AS (
-  SELECT 'Brand#' || (s_nationkey + 1) || '-' || (s_suppkey % {SIZE_CLASSES}) AS dataset_id, s_suppkey AS scaffold_id,
+  SELECT 'Brand#' || (s_nationkey + 1) AS dataset_id, s_suppkey AS scaffold_id,
     CASE
       WHEN s_suppkey % 20 = 7 THEN '  '
       WHEN s_suppkey % 20 = 13 THEN 'NOT_A_MOLECULE'
@@ -80,9 +79,9 @@ scaffolds AS (
   FROM (SELECT *, repeat('C', (floor(abs(s_acctbal))::BIGINT % 9)) AS body FROM supplier)
 )"""
 
-R_GROUP_ROWS_SQL = f"""
+R_GROUP_ROWS_SQL = """
 r_group_rows AS (
-  SELECT p_brand || '-' || (p_size % {SIZE_CLASSES}) AS dataset_id, p_partkey AS pos,
+  SELECT p_brand AS dataset_id, p_partkey AS pos,
     CASE WHEN p_size % 25 = 0 THEN NULL ELSE ' [*:1]C' || repeat('C', p_size % 6) ||
       CASE p_type WHEN 'ECONOMY' THEN 'O' WHEN 'SMALL' THEN 'N' WHEN 'MEDIUM' THEN 'F'
         WHEN 'LARGE' THEN 'Cl' WHEN 'PROMO' THEN 'c1ccccc1' ELSE 'C(=O)O' END END AS R1,
@@ -139,38 +138,39 @@ usable_rows AS (
 )
 
 
+def _part_sql(text: str) -> str:
+    """A part's welded text, whether it can't be joined, and its labels counted in base 16, up to 3 each."""
+    counts = " + ".join(
+        f"least(3, len(regexp_extract_all({weld_sql(text)}, '%9{k}')))::BIGINT * {16 ** (k - 1)}" for k in range(1, 10)
+    )
+    bad = f"regexp_matches({weld_sql(text)}, '{UNWELDABLE_SQL}') OR regexp_matches({text}, '%9[1-9]')"
+    return f"{weld_sql(text)} AS w, {bad} AS bad, {counts} AS k"
+
+
 def attempts_sql(cap: int | None = None) -> str:
     """Every attempt in mixed-radix order by joining both labels, under the cap if there is one."""
     first, second = (f"AND a.idx * a.n < {cap}", f"AND a.idx * a.n + b.idx < {cap}") if cap else ("", "")
+    # Every label must occur twice or not at all: no bit but the second of any digit.
+    odd = sum(0xD * 16**k for k in range(9))
     return (
         "WITH "
         + SCAFFOLDS_SQL
         + ","
         + R_GROUPS_SQL
         + rf""",
-usable_scaffolds AS (
-  SELECT dataset_id, scaffold_id, trim(smiles) AS smiles FROM scaffolds
+usable_scaffolds AS MATERIALIZED (
+  SELECT dataset_id, scaffold_id, {_part_sql('trim(smiles)')} FROM scaffolds
   WHERE trim(smiles) <> '' AND {valid_sql('trim(smiles)')} AND {points_sql('trim(smiles)')} = 2
 ),
-welded AS (
+firsts AS MATERIALIZED (SELECT *, {_part_sql('R1')} FROM usable_rows),
+seconds AS MATERIALIZED (SELECT *, {_part_sql('R2')} FROM usable_rows),
+attempts AS (
   SELECT s.dataset_id, s.scaffold_id, a.idx * a.n + b.idx AS ord, a.R1, b.R2,
-    {weld_sql('s.smiles')} AS ws, a.w AS w1, b.w AS w2, s.smiles
+    CASE WHEN NOT (s.bad OR a.bad OR b.bad) AND (s.k + a.k + b.k) & {odd} = 0
+      THEN s.w || '.' || a.w || '.' || b.w END AS smiles
   FROM usable_scaffolds s
-  JOIN (SELECT *, {weld_sql('R1')} AS w FROM usable_rows) a
-    ON a.dataset_id = s.dataset_id {first}
-  JOIN (SELECT *, {weld_sql('R2')} AS w FROM usable_rows) b
-    ON b.dataset_id = s.dataset_id {second}
-),
-attempts AS (
-  SELECT dataset_id, scaffold_id, ord, R1, R2,
-    CASE WHEN regexp_matches(ws, '{UNWELDABLE_SQL}') OR regexp_matches(w1, '{UNWELDABLE_SQL}')
-        OR regexp_matches(w2, '{UNWELDABLE_SQL}')
-        OR regexp_matches(smiles || ' ' || R1 || ' ' || R2, '%9[1-9]')
-        OR list_aggregate(list_transform(range(1, 10), lambda k:
-            CASE WHEN len(regexp_extract_all(ws || '.' || w1 || '.' || w2, '%9' || k)) IN (0, 2)
-              THEN 0 ELSE 1 END), 'sum') > 0
-      THEN NULL ELSE ws || '.' || w1 || '.' || w2 END AS smiles
-  FROM welded
+  JOIN firsts a ON a.dataset_id = s.dataset_id {first}
+  JOIN seconds b ON b.dataset_id = s.dataset_id {second}
 )"""
     )
 
