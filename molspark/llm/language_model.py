@@ -12,8 +12,10 @@ own; every other word belongs to a class told by its spelling, in which it has t
 probabilities of all known words and of an unknown word of each class add up to one.
 
 Training is truncated backpropagation over every training document, once. The documents are dealt over
-ROUNDS rounds; in each, every task starts from the same weights, trains on its own
-documents, and the weights are averaged by words seen, block by block in Spark.
+ROUNDS rounds and, inside a round, over shards of about SHARD_WORDS words, both by a hash of id and text; in a
+round every shard starts from the same weights, trains on its documents in the order of their ids, and the
+weights are averaged by words seen, block by block in Spark. So the model depends on the rows only, not on
+how the table is split. Shards lie sorted in their partitions and are read as a stream.
 
 Defined cases: null text counts as empty; an empty text is its end alone; a null doc_id counts as a
 training document; repeated rows are rows; an empty table gives no rows; without training words every
@@ -22,6 +24,8 @@ word is unknown; other columns don't matter.
 
 from __future__ import annotations
 
+import itertools
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -32,8 +36,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from molspark.llm.common import arrow_schema, id_and_text, schema_of
-from molspark.session import materialised
+from molspark.llm.common import arrow_schema, id_and_text, schema_of, text_pieces
+from molspark.session import materialised, shuffle_partitions
 
 HEAD = 1 << 17  # words broadcast with their counts
 NEURAL = 4096  # of these, words with output weights of their own
@@ -44,12 +48,13 @@ SMOOTH = 0.1
 FOLDS = 10
 ROUNDS = 2  # together they read every training document
 LANES, STEPS = 256, 32  # documents read side by side at most, and words in a window
-TRAIN_LANES, TRAIN_STEPS = 64, 32
+TRAIN_LANES, TRAIN_STEPS = 256, 32
+SHARD_WORDS = 4_000_000
+PIECE = 10_000_000  # bytes of text that are made into arrays at once
 RATE, DAMPING = 0.2, 1e-6
 PRIOR_WORDS = 10_000  # words that the weights before a round count for when its mean is taken
 BOUND = 4.0  # of every weight, so that exponentials of float32 logits stay finite
 PARTIAL = 8  # tasks whose weights are averaged at once
-COUNTED = ("class_bias", "word_bias")  # log counts of the whole table, not trained
 END = b""  # the end of a document; no word is empty
 NO_LETTERS = bytes(b for b in range(128) if not 97 <= b <= 122)
 
@@ -79,22 +84,13 @@ def tokenised(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     return codes, distinct, np.bincount(owner, minlength=len(texts))
 
 
-def pieces(batch: pa.RecordBatch, size: int = 10_000_000) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about `size` bytes of text each."""
-    lengths = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
-    cut = np.flatnonzero(np.diff(np.cumsum(lengths) // size)) + 1
-    for a, b in zip(np.r_[0, cut], np.r_[cut, batch.num_rows]):
-        if b > a:
-            yield batch.slice(int(a), int(b - a))
-
-
 def count_words(docs: DataFrame) -> DataFrame:
     """(word, c, spelt): how often each word occurs in the training documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("word binary, c bigint, spelt int")
         for batch in batches:
-            for part in pieces(batch):
+            for part in text_pieces(batch, PIECE):
                 codes, distinct, _ = tokenised(part.column(1))
                 counts = np.bincount(codes, minlength=len(distinct))
                 rows = [(w, n) for w, n in zip(distinct, counts.tolist()) if n] + [(END, part.num_rows)]
@@ -160,8 +156,13 @@ def build_vocabulary(counted: DataFrame) -> Vocabulary:
         if held > HEAD:
             break
         least = low
-    top = counted.where(F.col("c") >= least).select("word", "c").collect() if least is not None else []
-    head = sorted(top, key=lambda r: (-r[1], bytes(r[0])))
+    if least is not None:
+        top = counted.where(F.col("c") >= least)
+    else:  # the words of the highest counts alone are more than HEAD
+        top = counted.orderBy(F.desc("c"), "word").limit(HEAD)
+    # The end of a document is always known, however few documents there are.
+    top = top.where(F.col("word") != F.lit(END)).unionByName(counted.where(F.col("word") == F.lit(END)))
+    head = sorted(top.select("word", "c").collect(), key=lambda r: (-r[1], bytes(r[0])))
     return Vocabulary([(bytes(w), c) for w, c in head], sums, total, distinct)
 
 
@@ -203,12 +204,12 @@ class Network:
         c = np.tanh(own[:, 2 * STATE :] + r * rec[:, 2 * STATE :])
         return h + z * (c - h), r, z, c, rec[:, 2 * STATE :]
 
-    def bounded(self) -> dict[str, np.ndarray]:
-        """The weights, kept within BOUND; biases, which start as log counts, from above only."""
-        return {
-            k: np.minimum(x, BOUND) if k in ("class_bias", "word_bias") else np.clip(x, -BOUND, BOUND)
-            for k, x in self.w.items()
-        }
+    def learn(self, name: str, gradient: np.ndarray, memory: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
+        """An adaptive step down the gradient of some rows of a weight, kept within BOUND."""
+        g = np.clip(gradient, -1, 1)
+        held = memory[rows] + g * g
+        memory[rows] = held
+        self.w[name][rows] = np.clip(self.w[name][rows] - np.float32(RATE) * g / np.sqrt(held + DAMPING), -BOUND, BOUND)
 
     def output(self, h: np.ndarray, kind: np.ndarray, within: np.ndarray, backward: bool = False):
         """Log probabilities of class and word for each state; with `backward`, gradients too."""
@@ -224,9 +225,8 @@ class Network:
         if backward:
             d = e / norm[:, None]
             d[row, kind] -= 1
-            grads["to_class"], grads["class_bias"] = h.T @ d, d.sum(0)
+            grads["to_class"], grads["to_word"] = h.T @ d, np.zeros_like(w["to_word"])
             dh = d @ w["to_class"].T
-            grads["to_word"], grads["word_bias"] = np.zeros_like(w["to_word"]), np.zeros_like(w["word_bias"])
         order = np.argsort(kind, kind="stable")
         edge = np.searchsorted(kind[order], np.arange(self.classes + 1))
         for k in np.flatnonzero(np.diff(edge)):
@@ -242,7 +242,7 @@ class Network:
             if backward:
                 d = e / norm[:, None]
                 d[i, within[at]] -= 1
-                grads["to_word"][k], grads["word_bias"][k] = mine.T @ d, d.sum(0)
+                grads["to_word"][k] = mine.T @ d
                 dh[at] += d @ w["to_word"][k].T
         return (got, grads, dh) if backward else got
 
@@ -297,9 +297,9 @@ class Reader:
             self.input[1:] = np.where(self.first[1:], end_seen, seen[:-1])
 
 
-def read_batch(v: Vocabulary, batch: pa.RecordBatch, width: int):
-    """The reader of a batch, with the word codes it came from."""
-    codes, distinct, counts = tokenised(batch.column(1))
+def read_batch(v: Vocabulary, texts: pa.Array, width: int):
+    """The reader of some texts, with the word codes it came from."""
+    codes, distinct, counts = tokenised(texts)
     places = v.places(distinct)
     spelt = np.fromiter((spelt_class(w) for w in distinct), np.int32, len(distinct))
     return Reader(v, places[codes], spelt[codes], counts, width), codes, distinct, places, spelt, counts
@@ -332,11 +332,12 @@ def train(network: Network, reader: Reader, memory: dict[str, np.ndarray]) -> in
     for at in range(0, reader.steps, TRAIN_STEPS):
         stop = min(at + TRAIN_STEPS, reader.steps)
         kept, states = [], np.empty((stop - at, *h.shape), np.float32)
+        befores = np.empty_like(states)
         for t in range(at, stop):
             before = np.where(reader.first[t][:, None], np.float32(0), h)
             h, *gates = network.step(reader.input[t], before)
-            kept.append((before, *gates))
-            states[t - at] = h
+            kept.append(gates)
+            befores[t - at], states[t - at] = before, h
         doc = reader.doc[at:stop].reshape(-1)
         real = np.flatnonzero(doc >= 0)
         flat = states.reshape(-1, STATE)
@@ -346,26 +347,32 @@ def train(network: Network, reader: Reader, memory: dict[str, np.ndarray]) -> in
         from_output = np.zeros_like(flat)
         from_output[real] = dh
         from_output = from_output.reshape(states.shape)
-        grads |= {k: np.zeros_like(network.w[k]) for k in ("embed", "recur", "bias")}
-        back = np.zeros_like(h)
-        for t in range(stop - 1, at - 1, -1):
-            before, r, z, c, rec_c = kept[t - at]
-            back = back + from_output[t - at]
-            dc, dz = back * z * (1 - c * c), back * (c - before) * z * (1 - z)
-            dr = dc * rec_c * r * (1 - r)
-            d_in, d_rec = np.hstack([dr, dz, dc]), np.hstack([dr, dz, dc * r])
-            np.add.at(grads["embed"], reader.input[t], d_in)
-            grads["bias"] += d_in.sum(0)
-            grads["recur"] += before.T @ d_rec
-            back = back * (1 - z) + d_rec @ network.w["recur"].T
-            back[reader.first[t]] = 0
+        d_in = np.empty((stop - at, h.shape[0], 3 * STATE), np.float32)
+        back, over = np.zeros_like(h), network.w["recur"].T.copy()
+        for t in range(stop - 1 - at, -1, -1):
+            before, (r, z, c, rec_c) = befores[t], kept[t]
+            back += from_output[t]
+            d = d_in[t]
+            dc = back * z
+            dc *= 1 - c * c
+            d[:, :STATE] = dc * rec_c * r * (1 - r)
+            d[:, STATE : 2 * STATE] = back * (c - before) * z * (1 - z)
+            d[:, 2 * STATE :] = dc
+            d_rec = d.copy()
+            d_rec[:, 2 * STATE :] *= r
+            kept[t] = d_rec
+            back = back * (1 - z) + d_rec @ over
+            back[reader.first[at + t]] = 0
+        # Gradients of the window's steps are added up at once; of the inputs, only those that occurred.
+        d_in, d_rec = d_in.reshape(-1, 3 * STATE), np.concatenate(kept)
+        inputs = reader.input[at:stop].reshape(-1)
+        order = np.argsort(inputs, kind="stable")
+        start = np.flatnonzero(np.diff(inputs[order], prepend=-1))
         scale = np.float32(1 / max(1, len(real)))
+        network.learn("embed", np.add.reduceat(d_in[order], start) * scale, memory["embed"], inputs[order][start])
+        grads |= {"bias": d_in.sum(0), "recur": befores.reshape(-1, STATE).T @ d_rec}
         for k, g in grads.items():
-            if k not in COUNTED:
-                g = np.clip(g * scale, -1, 1)
-                memory[k] += g * g
-                network.w[k] -= np.float32(RATE) * g / np.sqrt(memory[k] + DAMPING)
-        network.w = network.bounded()
+            network.learn(k, g * scale, memory[k])
         seen += len(real)
     return seen
 
@@ -374,7 +381,8 @@ WEIGHTS = "part bigint, name string, n bigint, value binary"
 
 
 def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """The mean of some tasks' weights, by words seen."""
+    """The mean of some shards' weights, by words seen."""
+    rows = rows.sort_values("part")
     n = rows["n"].to_numpy(float)
     value = sum(k * np.frombuffer(v, "<f4").astype(float) for k, v in zip(n, rows["value"])) / n.sum()
     return pd.DataFrame(
@@ -382,44 +390,80 @@ def _merge(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     )
 
 
-def train_round(docs: DataFrame, vocabulary, weights, number: int) -> dict[str, tuple[int, np.ndarray]] | None:
+def train_round(docs: DataFrame, vocabulary, weights, number: int, shards: int) -> dict[str, tuple[int, np.ndarray]] | None:
     """Words seen and averaged weights after one round over that round's share of the documents."""
-    bucket = F.pmod(F.xxhash64(F.lit("share"), "doc_id", F.coalesce("text", F.lit(""))), F.lit(ROUNDS))
-    own = docs.where(~held_out(F.col("doc_id")) & (bucket == number)).select("doc_id", "text")
+    tasks, text = min(shards, shuffle_partitions(docs.sparkSession)), F.coalesce("text", F.lit(""))
+    hashed = F.xxhash64(F.lit("share"), "doc_id", text)
+    own = (
+        docs.where(~held_out(F.col("doc_id")) & (F.pmod(hashed, F.lit(ROUNDS)) == number))
+        .select(F.pmod(F.xxhash64(hashed), F.lit(shards)).alias("shard"), "doc_id", hashed.alias("hashed"), "text")
+        .repartitionById(tasks, F.pmod("shard", F.lit(tasks)).cast("int"))
+        .sortWithinPartitions("shard", "doc_id", "hashed")
+        .select("shard", "text")
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        v = vocabulary.value
-        network, seen = Network(v, weights.value), 0
-        memory = {k: np.zeros_like(x) for k, x in network.w.items()}
-        for batch in batches:
-            for part in pieces(batch):
+        v, schema = vocabulary.value, arrow_schema(WEIGHTS)
+        for shard, texts in by_shard(batches, PIECE):
+            network, seen = Network(v, weights.value), 0
+            memory = {k: np.zeros_like(x) for k, x in network.w.items()}
+            for part in texts:
                 seen += train(network, read_batch(v, part, TRAIN_LANES)[0], memory)
-        if seen:
-            part_id = TaskContext.get().partitionId()
-            rows = [(part_id, k, seen, x.astype("<f4").tobytes()) for k, x in network.w.items()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(zip(*rows), arrow_schema(WEIGHTS))], schema=arrow_schema(WEIGHTS)
-            )
+            rows = [(shard, k, seen, x.astype("<f4").tobytes()) for k, x in network.w.items()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), schema)], schema=schema)
 
     means = materialised(own.mapInArrow(run, schema_of(WEIGHTS)))
     parts = means.agg(F.max("part")).first()[0]
     if parts is None:
         return None
-    while parts > 0:
-        # Some tasks at a time, so that no group grows with the table.
+    for _ in range(max(1, math.ceil(math.log(parts + 1, PARTIAL) - 1e-9))):
+        # Some shards at a time, so that no group grows with the table.
         means = means.groupBy("name", F.expr(f"part div {PARTIAL}").alias("p")).applyInPandas(_merge, schema_of(WEIGHTS))
-        parts //= PARTIAL
     return {r["name"]: (r["n"], np.frombuffer(r["value"], "<f4")) for r in means.collect()}
 
 
+def by_shard(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, Iterator[pa.Array]]]:
+    """(shard, its texts in pieces of about `size` bytes) of a stream of (shard, text) sorted by shard.
+
+    Pieces depend on the shard's texts only, not on the stream's batches.
+    """
+
+    def rows():
+        for batch in batches:
+            shard = batch.column(0).to_numpy()
+            length = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]):
+                if b > a:
+                    yield int(shard[a]), batch.column(1).slice(a, b - a), length[a:b]
+
+    def texts(runs):
+        held, total = [], 0
+        for _, part, length in runs:
+            at = 0
+            while at < len(part):
+                ends = total + np.cumsum(length[at:])
+                n = int(np.searchsorted(ends, size)) + 1
+                if n > len(ends):
+                    held.append(part.slice(at))
+                    total = int(ends[-1])
+                    break
+                held.append(part.slice(at, n))
+                yield pa.concat_arrays(held)
+                held, total, at = [], 0, at + n
+        if held:
+            yield pa.concat_arrays(held)
+
+    for shard, runs in itertools.groupby(rows(), key=lambda r: r[0]):
+        yield shard, texts(runs)
+
+
 def fit(docs: DataFrame, vocabulary, v: Vocabulary) -> dict[str, np.ndarray]:
     """The weights after all rounds."""
     context = docs.sparkSession.sparkContext
     weights = Network(v).w
+    shards = max(1, round(v.total / ROUNDS / SHARD_WORDS))
     for number in range(ROUNDS):
-        got = train_round(docs, vocabulary, context.broadcast(weights), number)
+        got = train_round(docs, vocabulary, context.broadcast(weights), number, shards)
         if got is not None:
             weights = {k: mixed(x, *got[k]) for k, x in weights.items()}
     return weights
@@ -455,8 +499,8 @@ def score(docs: DataFrame) -> DataFrame:
         inner = head_log - np.log10(known.spelt_sums[np.maximum(known.kind - known.classes, 0)])
         inner[: known.neural], inner[outside] = 0, 0
         for batch in batches:
-            for part in pieces(batch):
-                reader, codes, distinct, places, spelt, counts = read_batch(known, part, LANES)
+            for part in text_pieces(batch, PIECE):
+                reader, codes, distinct, places, spelt, counts = read_batch(known, part.column(1), LANES)
                 docs_n = part.num_rows
                 natural = neural_scores(network, reader, docs_n)
                 owner = np.repeat(np.arange(docs_n), counts)

@@ -55,7 +55,7 @@ def test_language_model_trains_on_every_document(spark, sf):
     v = language_model.build_vocabulary(language_model.count_words(docs))
     context = spark.sparkContext
     vocabulary, weights = context.broadcast(v), context.broadcast(language_model.Network(v).w)
-    rounds = [language_model.train_round(docs, vocabulary, weights, k) for k in range(language_model.ROUNDS)]
+    rounds = [language_model.train_round(docs, vocabulary, weights, k, 3) for k in range(language_model.ROUNDS)]
     assert sum(r["embed"][0] for r in rounds if r) == v.total
 
 
@@ -110,7 +110,7 @@ def test_gradients(monkeypatch):
     within = np.where(kind < v.classes, within, 0)
     _, grads, dh = network.output(h, kind, within, True)
     loss = lambda: -network.output(h, kind, within).sum()
-    for name in ("to_class", "class_bias", "to_word"):
+    for name in ("to_class", "to_word"):
         flat, g = network.w[name].reshape(-1), grads[name].reshape(-1)
         for i in rng.integers(0, len(flat), 5):
             old, eps = flat[i], 1e-5
@@ -130,6 +130,98 @@ def test_gradients(monkeypatch):
     assert dh[i, j] == pytest.approx((up - down) / 2e-5, abs=1e-5)
 
 
+def test_gradients_through_time(monkeypatch):
+    """What training steps down, against differences of the log-likelihood: inputs, recurrence and gates' bias."""
+    v, *_ = vocabulary()
+    rng = random.Random(6)
+    texts = pa.array([" ".join(f"w{rng.randint(0, 320)}" for _ in range(n)) for n in (9, 4, 0, 14)])
+    network = language_model.Network(v)
+    noise = np.random.default_rng(1)
+    network.w = {k: (x + noise.normal(0, 0.4, x.shape) * (np.abs(x) < 1e8)).astype(np.float32) for k, x in network.w.items()}
+    start, found = {k: x.copy() for k, x in network.w.items()}, {}
+
+    def learn(self, name, gradient, memory, rows=slice(None)):
+        found[name] = np.zeros_like(start[name])
+        found[name][rows] = gradient
+
+    monkeypatch.setattr(language_model.Network, "learn", learn)
+    reader = language_model.read_batch(v, texts, 2)[0]
+    memory = {k: np.zeros_like(x) for k, x in network.w.items()}
+    n = language_model.train(network, reader, memory)
+    assert n == 31 and set(found) == {"embed", "recur", "bias", "to_class", "to_word"}
+    loss = lambda: -language_model.neural_scores(network, reader, 4).sum() / n
+    for name, g in found.items():
+        flat = network.w[name].reshape(-1)
+        for i in np.argsort(-np.abs(g.reshape(-1)))[:6]:
+            old = flat[i]
+            ends = []
+            for eps in (0.01, -0.01):
+                flat[i] = old + eps
+                ends.append(loss())
+            flat[i] = old
+            assert g.reshape(-1)[i] == pytest.approx((ends[0] - ends[1]) / 0.02, rel=0.02, abs=2e-4)
+
+
+def brute_scores(v, w, texts):
+    """log10 probabilities, word by word, in plain double arithmetic."""
+    w = {k: x.astype(float) for k, x in w.items()}
+    size, place = language_model.STATE, {x: i for i, x in enumerate(v.words)}
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+    out = []
+    for text in texts:
+        h, total, last = np.zeros(size), 0.0, b""
+        for word in [*words(text), b""]:
+            def spot(x):
+                i = place.get(x, -1)
+                return i if 0 <= i < v.neural else v.neural + language_model.spelt_class(x)
+
+            own, rec = w["embed"][spot(last)] + w["bias"], h @ w["recur"]
+            r, z = sigmoid(own[:size] + rec[:size]), sigmoid(own[size : 2 * size] + rec[size : 2 * size])
+            h = (1 - z) * h + z * np.tanh(own[2 * size :] + r * rec[2 * size :])
+            logits = h @ w["to_class"] + w["class_bias"]
+            i = spot(word)
+            kind = i // language_model.CLASS_SIZE if i < v.neural else v.classes + i - v.neural
+            total += logits[kind] - np.log(np.exp(logits).sum())
+            if i < v.neural:
+                inner = h @ w["to_word"][kind] + w["word_bias"][kind]
+                total += inner[i % language_model.CLASS_SIZE] - np.log(np.exp(inner).sum())
+            else:
+                total += np.log((v.all_counts.get(word, 0) + 0.1) / v.spelt_sums[kind - v.classes])
+            last = word
+        out.append(total / math.log(10))
+    return out
+
+
+def test_scores_equal_brute_force_and_ignore_the_split(spark, sf, monkeypatch):
+    """Scores by plain loops from the fitted weights; one partition or eight, many shards, a small head."""
+    monkeypatch.setattr(language_model, "HEAD", 700)
+    monkeypatch.setattr(language_model, "NEURAL", 256)
+    monkeypatch.setattr(language_model, "SHARD_WORDS", 3_000)
+    monkeypatch.setattr(language_model, "PIECE", 5_000)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    kept, fit, build = [], language_model.fit, language_model.build_vocabulary
+    monkeypatch.setattr(language_model, "fit", lambda *a: kept.append(fit(*a)) or kept[-1])
+    monkeypatch.setattr(language_model, "build_vocabulary", lambda c: kept.append(build(c)) or kept[-1])
+    one = {r.doc_id: r.score for r in language_model.score(docs.repartition(1)).collect()}
+    eight = {r.doc_id: r.score for r in language_model.score(docs.repartition(8)).collect()}
+    assert max(abs(one[d] - eight[d]) / abs(one[d]) for d in one) < 1e-6
+    v, w = kept[0], kept[1]
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    training = [t for d, t in rows if zlib.crc32(str(d).encode()) % 10]
+    v.all_counts = Counter(x for t in training for x in [*words(t), b""])
+    short = sorted(rows, key=lambda r: len(r[1] or ""))[:60]
+    for (d, _), want in zip(short, brute_scores(v, w, [t for _, t in short])):
+        assert one[d] == pytest.approx(want, rel=1e-4)
+
+
+def test_the_end_is_known_outside_the_head(spark, monkeypatch):
+    """More frequent words than the head holds, all of one count: the end still counts."""
+    monkeypatch.setattr(language_model, "HEAD", 20)
+    docs = spark.createDataFrame([(i, " ".join(f"w{k}" for k in range(400))) for i in range(6)], "doc_id long, text string")
+    got = language_model.score(docs).collect()
+    assert Counter((*r[:5], round(r.base_score, 6)) for r in got) == brute_base([(r.doc_id, r.text) for r in docs.collect()])
+
+
 def test_state_carries_over_windows(monkeypatch):
     """The score of a document depends neither on the window nor on its neighbours in the batch."""
     v, *_ = vocabulary()
@@ -140,8 +232,7 @@ def test_state_carries_over_windows(monkeypatch):
 
     def run(some, steps, width):
         monkeypatch.setattr(language_model, "STEPS", steps)
-        batch = pa.RecordBatch.from_arrays([pa.array(range(len(some))), pa.array(some)], names=["doc_id", "text"])
-        return language_model.neural_scores(network, language_model.read_batch(v, batch, width)[0], len(some))
+        return language_model.neural_scores(network, language_model.read_batch(v, pa.array(some), width)[0], len(some))
 
     whole = run(texts, 1000, 7)
     assert np.allclose(whole, run(texts, 8, 3), rtol=1e-4)
