@@ -3,16 +3,22 @@
 All datasets share one lineage keyed by ``dataset_id``. A dataset that fails a gate is reported and
 left out of the later stages; the others go on. Clusters are published only after the last gate, and
 a published dataset counts as processed.
+
+A run writes into folders of its own. One small row per dataset, added when all is written, makes them the
+current ones; until then, and if the run breaks off, readers see what was there before. Nothing is deleted
+but by `remove_unused`.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from molspark.functions.columns import MOLECULE_ID
 from molspark.functions.kernel import Kernel, text_kernel
@@ -23,10 +29,11 @@ from molspark.plans import discover
 from molspark.session import materialised
 from molspark.sources.listing import list_keys
 from molspark.sources.pairs import read_pairs
-from molspark.sources.tables import drop_partitions, write_stage
+from molspark.sources.tables import RUN, read_current, remove_runs, write_stage
 
 KEY = "dataset_id"
-RUNS = f"{KEY} STRING, passed BOOLEAN, finished TIMESTAMP"
+POINTERS = f"{KEY} STRING, passed BOOLEAN, finished TIMESTAMP, {RUN} STRING"
+STAGES = ("molecules", "properties", "clusters", "nodes", "edges", "invalid", "predictions")
 GATE_ORDER = (
     "inputs_present",
     "scaffold_validity",
@@ -61,16 +68,38 @@ class RunConfig:
     run_id: str = "run"
 
 
-def published(spark: SparkSession, output_base: str) -> DataFrame:
-    """Ids whose latest run passed, from the small table that every run adds its datasets to."""
+def pointers(spark: SparkSession, output_base: str) -> DataFrame:
+    """(dataset_id, passed, run) of each dataset's latest finished run, from the small table that every run
+    adds its datasets to."""
     try:
-        runs = spark.read.schema(RUNS).parquet(f"{output_base}/processed")
+        runs = spark.read.schema(POINTERS).parquet(f"{output_base}/processed")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], f"{KEY} STRING")
-    latest = runs.groupBy(KEY).agg(F.max_by("passed", "finished").alias("passed"))
-    return latest.where("passed").select(KEY)
+        return spark.createDataFrame([], f"{KEY} STRING, passed BOOLEAN, {RUN} STRING")
+    latest = runs.groupBy(KEY).agg(F.max_by(F.struct("passed", RUN), "finished").alias("last"))
+    return latest.select(KEY, "last.passed", f"last.{RUN}")
+
+
+def published(spark: SparkSession, output_base: str) -> DataFrame:
+    """Ids whose latest run passed."""
+    return pointers(spark, output_base).where("passed").select(KEY)
+
+
+def current(spark: SparkSession, output_base: str, name: str, schema: T.StructType | None = None) -> DataFrame:
+    """A stage's rows of every dataset's latest finished run."""
+    path = f"{output_base.rstrip('/')}/{name}"
+    if schema is None:
+        schema = T.StructType([f for f in spark.read.option("mergeSchema", True).parquet(path).schema if f.name not in (RUN, KEY)])
+        schema = schema.add(KEY, "string")
+    return read_current(spark, path, schema, pointers(spark, output_base.rstrip("/")))
+
+
+def remove_unused(spark: SparkSession, output_base: str) -> list[str]:
+    """Delete the folders of runs that are no dataset's latest; not while another run is writing."""
+    out = output_base.rstrip("/")
+    used = [r[0] for r in pointers(spark, out).select(RUN).distinct().collect()]
+    return remove_runs(spark, [f"{out}/{name}" for name in STAGES], used)
 
 
 def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | None = None) -> dict[str, DataFrame]:
@@ -112,10 +141,15 @@ def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | No
     else:
         made = library.attempts(usable, fragments, kernel, config.max_products)
         generation = library.enumeration_stats(made, possible)
-    names = [row[KEY] for row in ids.toLocalIterator()]
-    stage = lambda df, name: _stage(spark, df, f"{out}/{name}", names)
+    run = f"{config.run_id}-{uuid.uuid4().hex}"
+    schemas: dict[str, T.StructType] = {}
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        schemas[name] = df.schema
+        return spark.read.schema(df.schema).parquet(write_stage(df, f"{out}/{name}", run))
+
     molecules = stage(molecules, "molecules")
-    molecules = molecules.join(alive, KEY, "left_semi")
+    skipped_scaffolds = library.match_arity(usable, labels, kernel).where("NOT usable")
     reports.append(
         materialised(
             gates.as_report(gates.min_count_gate(molecules, config.min_products, alive), "generation")
@@ -124,7 +158,7 @@ def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | No
     alive = materialised(gates.passing(alive, reports[-1]))
 
     described = descriptors.with_descriptors(molecules.join(alive, KEY, "left_semi"), kernel)
-    properties = stage(described, "properties").join(alive, KEY, "left_semi")
+    properties = stage(described, "properties")
     points = sorted_position(properties, [KEY, "scaffold_id", "ord"], clustering.ID)
     least = 1 if config.auto_k_range else config.n_clusters
     enough = clustering.check_k(points, least).withColumnRenamed("enough", "passed")
@@ -150,20 +184,23 @@ def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | No
     )
     alive = materialised(gates.passing(alive, reports[-1]))
     good = clustered.join(alive, KEY, "left_semi")
-    tables = {"molecules": molecules, "properties": properties, "generation_stats": materialised(generation)}
-    tables["clusters"] = stage(good.drop(clustering.ID), "clusters")
+    tables = {
+        "generation_stats": materialised(generation),
+        # Scaffolds that no combination was made of: not valid, or of another arity than the dataset has labels.
+        "skipped_scaffolds": materialised(skipped_scaffolds.drop("usable")),
+    }
+    stage(good.drop(clustering.ID), "clusters")
     asked = None if config.auto_k_range else config.n_clusters
     tables["cluster_stats"] = clustering.cluster_stats(good, features, asked)
 
     if config.with_graph:
         graph = build_graph(good, kernel, config.fingerprint, **config.graph)
-        for name, table in graph.items():
-            tables[name] = stage(table, name)
-        usable = gates.min_count_gate(tables["nodes"], 1, alive)
+        written = {name: stage(table, name) for name, table in graph.items()}
+        usable = gates.min_count_gate(written["nodes"], 1, alive)
         reports.append(materialised(gates.as_report(usable, "graph_rows")))
     if config.predictor is not None:
         scored = predict.predict(good, config.predictor, config.targets, check=False)
-        tables["predictions"] = stage(scored.drop(clustering.ID), "predictions")
+        stage(scored.drop(clustering.ID), "predictions")
 
     all_reports = materialised(gates.union_reports(reports))
     failures = gates.first_failures(all_reports, GATE_ORDER)
@@ -177,9 +214,9 @@ def process_datasets(spark: SparkSession, config: RunConfig, kernel: Kernel | No
     }
     for name in ("reports", "failures", "run_datasets", "run_summary"):
         tables[name].write.mode("overwrite").parquet(f"{out}/runs/{config.run_id}/{name}")
-    finished = datasets.select(KEY, "passed", F.current_timestamp().alias("finished"))
+    finished = datasets.select(KEY, "passed", F.current_timestamp().alias("finished"), F.lit(run).alias(RUN))
     finished.coalesce(1).write.mode("append").parquet(f"{out}/processed")
-    return tables
+    return tables | {name: current(spark, out, name, schema) for name, schema in schemas.items()}
 
 
 def _all(ids: DataFrame, gate: DataFrame) -> DataFrame:
@@ -187,14 +224,6 @@ def _all(ids: DataFrame, gate: DataFrame) -> DataFrame:
     return ids.join(gate, KEY, "left").fillna(0, ["n"]).fillna(False, ["passed"])
 
 
-def _stage(spark: SparkSession, df: DataFrame, path: str, names: Sequence[str]) -> DataFrame:
-    """Write a stage; what an earlier run left there for the run's datasets goes first."""
-    schema = df.schema
-    drop_partitions(spark, path, KEY, names)
-    write_stage(df, path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def build_graph(
     clustered: DataFrame, kernel: Kernel, fingerprint: str | None = None, **options
 ) -> dict[str, DataFrame]:

@@ -68,29 +68,39 @@ def write_csv(frames: DataFrame | Sequence[DataFrame], path: str) -> str:
     return path
 
 
-def drop_partitions(spark: SparkSession, path: str, key: str, values: Iterable[str]) -> None:
-    """Delete the folders of some datasets, so that one which gives no rows any more leaves none."""
-    jvm = spark._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return
-    escape = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
-    for value in values:
-        files.delete(jvm.org.apache.hadoop.fs.Path(folder, f"{key}={escape(value)}"), True)
-
-
-def write_stage(df: DataFrame, path: str, key: str = "dataset_id") -> str:
-    """Publish a stage as Parquet with one folder per dataset, replacing those datasets only.
-
-    The rebalance hint groups rows by dataset before the write and splits a dataset too large for
-    one file, so neither many tiny files nor one huge task results.
+RUN = "run"
+
+
+def write_stage(df: DataFrame, path: str, run: str, key: str = "dataset_id") -> str:
+    """Write what a run made of a stage as Parquet, one folder per dataset inside the run's own folder.
+
+    Nothing of other runs is touched. The rebalance hint groups rows by dataset before the write and
+    splits a dataset too large for one file, so neither many tiny files nor one huge task results.
     """
-    (
-        df.hint("rebalance", key)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
-        .parquet(path)
-    )
-    return path
+    folder = f"{path}/{RUN}={run}"
+    df.hint("rebalance", key).write.partitionBy(key).parquet(folder)
+    return folder
+
+
+def read_current(spark: SparkSession, path: str, schema: T.StructType, pointers: DataFrame, key: str = "dataset_id") -> DataFrame:
+    """Each dataset's rows from the run that `pointers` (key, run) names for it.
+
+    Both are folders, so Spark reads only the folders that the pointers lead to.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(RUN, T.StringType())])
+    rows = spark.read.schema(whole).parquet(path)
+    return rows.join(pointers.select(key, RUN), [key, RUN], "left_semi").drop(RUN)
+
+
+def remove_runs(spark: SparkSession, paths: Iterable[str], kept: Iterable[str]) -> list[str]:
+    """Delete the folders of all runs but those `kept`, and return which."""
+    jvm, kept, gone = spark._jvm, set(kept), []
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for status in files.listStatus(folder) if files.exists(folder) else []:
+            name = status.getPath().getName()
+            if name.startswith(f"{RUN}=") and name.removeprefix(f"{RUN}=") not in kept:
+                files.delete(status.getPath(), True)
+                gone.append(f"{path}/{name}")
+    return gone

@@ -5,7 +5,7 @@ import csv
 import pandas as pd
 import pytest
 
-from molspark.plans.run import RunConfig, process_datasets, published
+from molspark.plans.run import RunConfig, current, process_datasets, published, remove_unused
 
 SCAFFOLDS = ["c1ccccc1[*:1]", "C1CCCCC1[*:1]", "c1ccncc1[*:1]"]
 FRAGMENTS = ["[*:1]C", "[*:1]CC", "[*:1]CCC", "[*:1]N", "[*:1]NC", "[*:1]O", "[*:1]OC", "[*:1]F", "[*:1]Cl"]
@@ -73,6 +73,11 @@ def test_run(spark, base, tmp_path):
         ("[*:1]CC", "[*:2]F"),
     ]
 
+    made = {r["dataset_id"]: (r["attempted"], r["valid"], r["skipped"], r["possible"]) for r in tables["generation_stats"].collect()}
+    assert made == {"demo": (27, 27, 0, 27), "team/two": (32, 32, 0, 32), "few": (1, 1, 0, 1)}
+    wrong = [(r["dataset_id"], r["smiles"], r["n_points"], r["n_labels"]) for r in tables["skipped_scaffolds"].collect()]
+    assert wrong == [("team/two", "CC[*:1]", 1, 2)]
+
     edges = tables["edges"].toPandas()
     nodes = tables["nodes"].toPandas()
     assert len(nodes) == 59
@@ -124,6 +129,29 @@ def test_failures_stay_with_their_dataset(spark, tmp_path):
     assert {r[0] for r in published(spark, out).collect()} == {"a[1]", "metal"}
 
 
+def test_a_broken_run_leaves_the_old_result(spark, tmp_path):
+    root, out = tmp_path / "in", str(tmp_path / "out")
+    write(root / "x_scaffolds.csv", ["smiles"], [[s] for s in SCAFFOLDS])
+    write(root / "x_r_groups.csv", ["R1"], [[f] for f in FRAGMENTS])
+    plain = {"n_clusters": 2, "with_graph": False, "min_products": 1}
+    process_datasets(spark, RunConfig(str(root), out, **plain))
+    before = sorted(r["smiles"] for r in current(spark, out, "clusters").collect())
+    write(root / "x_scaffolds.csv", ["smiles"], [[s] for s in SCAFFOLDS[:2]])
+
+    def broken():
+        raise RuntimeError("no model")
+
+    with pytest.raises(Exception, match="no model"):
+        process_datasets(spark, RunConfig(str(root), out, overwrite=True, predictor=broken, **plain))
+    # Its clusters are written, but nothing points at them.
+    assert sorted(r["smiles"] for r in current(spark, out, "clusters").collect()) == before
+    assert len(before) == 27 and [r[0] for r in published(spark, out).collect()] == ["x"]
+    process_datasets(spark, RunConfig(str(root), out, overwrite=True, max_products=5, **plain))
+    assert current(spark, out, "clusters").count() == 10
+    gone = remove_unused(spark, out)
+    assert len(gone) >= 6 and current(spark, out, "clusters").count() == 10
+
+
 def test_no_new_datasets(spark, tmp_path):
     write(tmp_path / "in" / "x_scaffolds.csv", ["smiles"], [["C"]])
     tables = process_datasets(spark, RunConfig(str(tmp_path / "in"), str(tmp_path / "out"), with_graph=False))
