@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import re
 from collections import defaultdict
+from collections.abc import Collection
 from html import unescape
 
 import pyarrow as pa
@@ -41,6 +42,8 @@ DROPPED_TAGS = frozenset(
     "input textarea option datalist title menu dialog noembed noframes applet".split()
 )
 PAGE_ONLY = frozenset(["header", "footer"])  # of the page; an article may have its own
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
+FORM = 1  # dropped by a form alone; other reasons are 2
 DROPPED_ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 DROPPED_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion nav navbar navigation menu "
@@ -49,16 +52,22 @@ DROPPED_WORDS = frozenset(
     "replies respond discussion disqus masthead footer copyright toolbar skip hidden widget".split()
 )
 PAGE_WORDS = frozenset(["header", "topbar"])
+#: Words that go with those above in a name (share-buttons, site-nav); any other word makes it another name.
+PLAIN_WORDS = frozenset(
+    "box list posts post buttons button bar links link block container wrapper wrap section area item items inner outer "
+    "site page top bottom left right primary secondary global inline unit slot main col column row icons icon bottom".split()
+)
 #: A start tag that ends an open element of these.
 ENDS = {
     "li": frozenset(["li"]), "dt": frozenset(["dt", "dd"]), "dd": frozenset(["dt", "dd"]), "tr": frozenset(["tr", "td", "th"]),
     "td": frozenset(["td", "th"]), "th": frozenset(["td", "th"]), "option": frozenset(["option"]),
 }
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>\"']+|\"[^\"]*\"|'[^']*'|[\"'])*+)>|<[!?][^>]*>", re.S
+    r"<!--.*?(?:-->|\Z)|<(?P<end>/?)(?P<tag>[A-Za-z][^\s/>]*)(?P<rest>(?:[^>=]+|=\s*+(?:\"[^\"]*\"|'[^']*')|=)*+)>|<[!?][^>]*>", re.S
 )
 NAMED = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 HIDDEN = re.compile(r"""(?:^|\s)hidden(?=\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+LEAST_SHARE = 0.25
 WORD = re.compile(r"[a-z]+")
 DIGIT_RUN = re.compile(r"[0-9]+")
 
@@ -66,22 +75,32 @@ DIGIT_RUN = re.compile(r"[0-9]+")
 class Block:
     __slots__ = ("path", "text", "linked", "dropped")
 
-    def __init__(self, path: str, text: str, linked: int, dropped: bool):
+    def __init__(self, path: str, text: str, linked: int, dropped: int):
         self.path, self.text, self.linked, self.dropped = path, text, linked, dropped
 
 
-def _marks(rest: str) -> tuple[str, set[str], str]:
-    """First class, words of class and id, role."""
+def _names(value: str) -> set[str]:
+    """What a class or id says if it is made of known words only, and of plain ones beside."""
+    found = set()
+    for name in value.split():
+        seen = WORD.findall(name)
+        if all(w in DROPPED_WORDS or w in PAGE_WORDS or w in PLAIN_WORDS for w in seen):
+            found.update(seen)
+    return found
+
+
+def _marks(rest: str, tag: str) -> tuple[str, set[str], str]:
+    """First class, words of class and id, role. Ids of headings and sections come from their titles."""
     kind, seen, role = "", set(), ""
     for m in NAMED.finditer(rest):
         value = (m[2] or m[3] or m[4] or "").strip().lower()
         name = m[1].lower()
         if name == "role":
             role = value
-        else:
-            seen.update(WORD.findall(value))
-            if name == "class" and value:
-                kind = value.split()[0]
+        elif name == "class" or tag not in TITLED:
+            seen |= _names(value)
+        if name == "class" and value:
+            kind = value.split()[0]
     return kind, seen, role
 
 
@@ -89,7 +108,7 @@ def blocks(html: str) -> list[Block]:
     """The text blocks of a page in order, with the generalised path of the containers around each."""
     out: list[Block] = []
     # An open element: tag, path so far, whether it is dropped, whether it is inside an article.
-    stack: list[tuple[str, str, bool, bool]] = [("", "", False, False)]
+    stack: list[tuple[str, str, int, bool]] = [("", "", 0, False)]
     parts: list[str] = []
     linked = links = 0
     at, end = 0, len(html)
@@ -150,17 +169,20 @@ def blocks(html: str) -> list[Block]:
                 stack.pop()
         _, path, dropped, inside = stack[-1]
         rest = m["rest"]
-        kind, seen, role = _marks(rest) if rest and "=" in rest else ("", set(), "")
+        kind, seen, role = _marks(rest, tag) if rest and "=" in rest else ("", set(), "")
         inside = inside or tag in ("article", "main") or role == "main"
-        if not dropped:
-            dropped = (
-                tag in DROPPED_TAGS
+        if dropped == FORM and tag in ("article", "main"):
+            dropped = 0  # a page inside one form
+        if dropped < 2:
+            other = (
+                (tag in DROPPED_TAGS and tag != "form")
                 or role in DROPPED_ROLES
                 or (tag in PAGE_ONLY and not inside)
                 or (tag not in ("html", "body", "article", "main") and bool(seen & DROPPED_WORDS))
                 or (tag not in ("html", "body", "article", "main") and not inside and bool(seen & PAGE_WORDS))
                 or (rest != "" and HIDDEN.search(rest) is not None)
             )
+            dropped = 2 if other else FORM if tag == "form" else dropped
         if tag in DROPPED_TAGS and tag not in BLOCKS:
             flush()
         if tag in CONTAINERS:
@@ -200,16 +222,21 @@ def best_path(found: list[Block]) -> tuple[str, float]:
     return best, most
 
 
-def main_text(found: list[Block], path: str) -> str:
-    """The kept blocks under a path, joined by line breaks; by the page's own best path if it has none."""
+def main_text(found: list[Block], path: str, others: Collection[str] = ()) -> str:
+    """The kept blocks under a path, joined by line breaks; under the page's own best path if there are none,
+    or if it is one of the host's `others` and the path has less than LEAST_SHARE of its text. A page that is
+    nothing but a form gives the form's text."""
 
     def under(p: str) -> list[str]:
         return [b.text for b in found if not b.dropped and (b.path == p or b.path.startswith(p + ">"))]
 
-    texts = under(path) if path else []
-    if not texts:
-        own, _ = best_path(found)
-        texts = under(own) if own else [b.text for b in found if not b.dropped]
+    if all(b.dropped for b in found):
+        found = [Block(b.path, b.text, b.linked, b.dropped - FORM) for b in found]
+    own, _ = best_path(found)
+    mine = under(own) if own else [b.text for b in found if not b.dropped]
+    texts = under(path) if path else mine
+    if not texts or own in others and sum(map(len, texts)) < LEAST_SHARE * sum(map(len, mine)):
+        texts = mine
     return "\n".join(texts)
 
 
@@ -236,9 +263,14 @@ def votes(pages: DataFrame) -> DataFrame:
 
 
 def winners(counted: DataFrame) -> DataFrame:
-    """(host, path): the path most of a host's pages voted for; of equals the smaller in text order."""
-    best = counted.groupBy("host").agg(F.max("pages").alias("pages"))
-    return counted.join(best, ["host", "pages"]).groupBy("host").agg(F.min("path").alias("path"))
+    """(host, path, others): the path most of a host's pages voted for, of equals the smaller in text order,
+    and all that a tenth of its pages voted for, two at least; those are ten at most."""
+    best = counted.groupBy("host").agg(F.max("pages").alias("most"), F.sum("pages").alias("whole"))
+    many = (F.col("pages") >= 2) & (F.col("pages") * 10 >= F.col("whole"))
+    return counted.join(best, "host").groupBy("host").agg(
+        F.min(F.when(F.col("pages") == F.col("most"), F.col("path"))).alias("path"),
+        F.collect_list(F.when(many, F.col("path"))).alias("others"),
+    )
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -249,13 +281,13 @@ def extract(pages: DataFrame) -> DataFrame:
         column(pages, "html", "string").alias("html"),
     ).withColumn("host", host_of(F.col("url")))
     won = materialised(winners(votes(plain)))
-    met = plain.join(won, "host", "left").select("page_id", "url", "path", "html")
+    met = plain.join(won, "host", "left").select("page_id", "url", "path", "html", "others")
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
             texts = [
-                main_text(blocks(h or ""), p or "")
-                for h, p in zip(batch.column(3).to_pylist(), batch.column(2).to_pylist())
+                main_text(blocks(h or ""), p or "", others or ())
+                for p, h, others in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4)))
             ]
             return {"page_id": batch.column(0), "url": batch.column(1), "path": batch.column(2), "text": texts}
 

@@ -457,6 +457,27 @@ def test_consensus_beats_one_odd_page(spark):
     assert got[9] == "Brief story."
 
 
+def test_no_article_text_is_lost():
+    """Stray quotes, a page in one form, names that only hold a listed word, and a second template."""
+    long = "The article has this to say, at some length, about its matter. " * 3
+
+    def text(html, path=""):
+        return extraction.main_text(extraction.blocks(html), path)
+
+    assert text(f'<article><p title="a"">one</p><p>{long}</p></article>') == f"one\n{long.strip()}"
+    assert text(f"<body><form><div><p>{long}</p></div></form></body>") == long.strip()
+    page = f"<body><form><nav>Menu</nav><article><p>{long}</p><form>Name</form></article></form></body>"
+    assert text(page) == long.strip()
+    assert text(f'<div class="no-sidebar"><article><p>{long}</p></article></div>') == long.strip()
+    parts = "".join(f'<{t} {a}>{n}</{t}>' for n, (t, a) in enumerate([("section", 'id="discussion"'), ("h2", 'id="search-and-related-work"'), ("div", 'id="social-effects"'), ("section", 'class="copyright-law"')]))
+    assert text(f"<article>{parts}</article>") == "0\n1\n2\n3"
+    junk = "".join(f'<div class="{c}">junk</div>' for c in ("share-buttons", "ad", "related posts", "comment-list", "site-nav"))
+    assert text(f"<article>{junk}<p>{long}</p></article>") == long.strip()
+    other = f'<div class="post"><p>{long}</p></div><div class="content"><p>Teaser only.</p></div>'
+    assert text(other, ">div.post") == long.strip() and text(other, ">div.content") == "Teaser only."
+    assert extraction.main_text(extraction.blocks(other), ">div.content", [">div.post"]) == long.strip()
+
+
 def test_extract_given_pages(spark, sf):
     from html import unescape
 
