@@ -263,6 +263,65 @@ def test_line_dedup(spark):
     assert texts[110] == rows[-2][1] and texts[111] == "a2\nb2\n"
 
 
+def lines_that_go(rows, long_words=line_dedup.LONG_WORDS):
+    """Per document the numbers of lines whose pair with a neighbour, or who if long, stand earlier."""
+    seen, out = set(), {}
+    for d, text in sorted(rows):
+        lines = text.split("\n")
+        full = [i for i, line in enumerate(lines) if line.strip(" ")]
+        gone = set()
+        for a, b in itertools.pairwise(full):
+            if (lines[a], lines[b]) in seen:
+                gone |= set(range(a, b + 1))
+            seen.add((lines[a], lines[b]))
+        for i in full:
+            if len(lines[i].split()) >= long_words:
+                if lines[i] in seen:
+                    gone.add(i)
+                seen.add(lines[i])
+        out[d] = gone
+    return out
+
+
+def test_line_dedup_brute_force(spark):
+    """Nested passages, parts of copies, paragraphs between blank lines, and repeats inside a document."""
+    rng = random.Random(8)
+    x, y = [f"x{i} " * 5 for i in range(5)], [f"y{i} " * 5 for i in range(8)]
+    rows = [(1, x + y), (2, ["two"] + x + y), (3, ["three"] + y[1:5] + ["end"]), (4, ["four"] + y[3:5]), (5, y[2:4] + ["five"])]
+    rows += [(6, ["p6", "", y[0], "", "  ", y[1], "", y[2], "q6"]), (7, ["p7", "", y[0], "", "q7"]), (8, ["a", "b", "a", "b", "a", "b"])]
+    for d in range(20, 80):
+        lines = [f"own {d} {i}" for i in range(rng.randint(0, 4))]
+        for _ in range(rng.randint(1, 4)):
+            source = rng.choice(rows)[1]
+            a = rng.randrange(len(source))
+            at = rng.randint(0, len(lines))
+            lines[at:at] = source[a : a + rng.randint(1, 7)]
+        rows.append((d, lines))
+    rows = [(d, "\n".join(lines)) for d, lines in rows]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in line_dedup.drop_repeated_passages(docs, removed="gone").collect()}
+    for d, gone in lines_that_go(rows).items():
+        assert {i for first, last in got[d].gone for i in range(first, last + 1)} == gone, d
+        lines = dict(rows)[d].split("\n")
+        assert got[d].text == "\n".join(line for i, line in enumerate(lines) if i not in gone)
+
+
+def test_line_dedup_on_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    want = lines_that_go([(r.doc_id, r.text) for r in docs.collect()])
+    for r in line_dedup.drop_repeated_passages(docs, removed="gone").collect():
+        assert {i for first, last in r.gone for i in range(first, last + 1)} == want[r.doc_id]
+
+
+def test_line_dedup_many_lines(spark):
+    """Documents of very many lines with a shared passage every few lines."""
+    rows = [(d, "\n".join(f"shared {i} of all" if i % 4 else f"{d} {i}" for i in range(40_000))) for d in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in line_dedup.drop_repeated_passages(docs).collect()}
+    assert got[0] == rows[0][1]
+    assert got[1] == "\n".join(f"1 {i}" for i in range(0, 40_000, 4))
+
+
 def test_line_dedup_loses_nothing_else(spark, sf, odd_docs, no_docs):
     """Every removed line stands, byte for byte, in the kept text of some document."""
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
@@ -274,7 +333,7 @@ def test_line_dedup_loses_nothing_else(spark, sf, odd_docs, no_docs):
         lines = before[r.doc_id].split("\n")
         left = set(range(len(lines)))
         for first, last in r.gone:
-            assert set(lines[first : last + 1]) <= kept
+            assert {line for line in lines[first : last + 1] if line.strip(" ")} <= kept
             left -= set(range(first, last + 1))
             removed += 1
         assert r.text == "\n".join(lines[i] for i in sorted(left))
