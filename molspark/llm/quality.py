@@ -100,7 +100,8 @@ class Classifier:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE) -> Classifier:
-    """The classifier, from at most `sample` labelled documents; their features reach the driver."""
+    """The classifier, from at most `sample` labelled documents; their features reach the driver. Of rows
+    that share a labelled id the one of smallest text hash counts."""
     picked = (
         labels.select(column(labels, "doc_id", "bigint").alias("doc_id"), column(labels, label, "double").alias("y"))
         .where("doc_id IS NOT NULL AND y IS NOT NULL")
@@ -110,15 +111,18 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
         .limit(sample)
     )
     rows = docs.select(column(docs, "doc_id", "bigint").alias("doc_id"), column(docs, "text", "string").alias("text"))
-    joined = rows.join(F.broadcast(picked), "doc_id")
+    joined = rows.join(F.broadcast(picked), "doc_id").withColumn("th", F.xxhash64(F.coalesce("text", F.lit(""))))
 
     def make():
         def work(batch: pa.RecordBatch) -> dict:
-            return {"y": batch.column(2), "x": [features(t) for t in raw(batch, "text")]}
+            own = {c: batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "y", "th")}
+            return own | {"x": [features(t) for t in raw(batch, "text")]}
 
         return work
 
-    got = by_batch(joined, "y double, x array<float>", make).orderBy("y", "x").collect()
+    found = by_batch(joined, "doc_id bigint, y double, th bigint, x array<float>", make)
+    one = found.groupBy("doc_id", "y").agg(F.min_by("x", "th").alias("x"))
+    got = one.select("y", "x").orderBy("y", "x").collect()
     x = np.array([r[1] for r in got], float).reshape(len(got), len(features(b"")))
     return Classifier(x, np.array([r[0] for r in got], float))
 

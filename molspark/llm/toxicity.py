@@ -1,13 +1,14 @@
 """Toxicity by a linear classifier on character n-grams scaled by log-count ratios (operator 8).
 
-Texts, A-Z lower-cased, are read as overlapping n-grams of bytes, hashed into buckets. Over the labelled
+Texts, A-Z lower-cased, are read as overlapping n-grams of code points, hashed into buckets. Over the labelled
 sample each bucket gets its naive Bayes log-count ratio (document counts, smoothed); the buckets that
 tell the classes apart best are kept, and a logistic model is fitted on which of them a text has, each
 scaled by its ratio. Every whole text is scored, in pieces that overlap by an n-gram.
 
-The model learns from at most SAMPLE labelled rows (those of smallest hash of the id).
+The model learns from at most SAMPLE labelled documents (those of smallest hash of the id); where rows
+share a labelled id, the text of smallest hash counts, so no more rows than that are gathered.
 
-Defined cases: null text counts as empty; an empty text gets the model's intercept; a null doc_id is
+Defined cases: null text counts as empty; bytes that aren't UTF-8 read as the replacement character; an empty text gets the model's intercept; a null doc_id is
 scored but never labelled, and counts as held out like the ids of the remainder; repeated rows are
 rows; without labels of both classes the score is the share of toxic labels (0 without any); empty
 tables give no rows; other columns don't matter and never enter a score.
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from molspark.llm.common import by_batch, column, id_and_text, raw
-from molspark.session import materialised
+from molspark.session import materialised, shuffle_partitions
 
 ORDERS = (4, 5, 6, 7, 8)
 BUCKET_BITS = 21
@@ -41,10 +42,10 @@ def held_out(doc_id: Column) -> Column:
 
 def buckets_of(text: bytes | None):
     """Bucket numbers of all n-grams of the whole text, piece by piece."""
-    text = b" " + (text or b"").lower() + b" "
+    characters = (b" " + (text or b"").lower() + b" ").decode("utf-8", "replace")
     longest = max(ORDERS)
-    for at in range(0, len(text), PIECE):
-        a = np.frombuffer(text[at : at + PIECE + longest - 1], np.uint8).astype(np.uint32)
+    for at in range(0, len(characters), PIECE):
+        a = np.frombuffer(characters[at : at + PIECE + longest - 1].encode("utf-32-le"), np.uint32)
         h = a.copy()
         for n in range(2, longest + 1):
             if len(a) < n:
@@ -72,7 +73,10 @@ def _sampled(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> Dat
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(sample)
     )
-    return id_and_text(docs).join(F.broadcast(picked), "doc_id").select("text", "y")
+    known = id_and_text(docs).withColumn("text", F.coalesce("text", F.lit(""))).join(F.broadcast(picked), "doc_id")
+    one = known.groupBy("doc_id", "y").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    # Dealt anew: adaptive execution would leave so small a table in one task.
+    return materialised(one.repartition(shuffle_partitions(docs.sparkSession), "doc_id").select("text", "y"))
 
 
 class Model:

@@ -420,8 +420,40 @@ def test_toxicity_reads_whole_texts():
     place[:] = 1
     place[bucket] = 0
     for shift in range(-8, 9):
-        text = b"a" * (toxicity.PIECE + shift) + end
-        assert list(toxicity.present(text, place, np.zeros(2, bool))) == [0]
+        for fill in ("a", "ä", "日"):
+            text = (fill * (toxicity.PIECE + shift)).encode() + end
+            assert list(toxicity.present(text, place, np.zeros(2, bool))) == [0]
+
+
+def test_toxicity_grams_are_of_characters():
+    def brute(text):
+        codes = [ord(c) for c in " " + "".join(c.lower() if c.isascii() else c for c in text) + " "]
+        out = set()
+        for n in toxicity.ORDERS:
+            for i in range(len(codes) - n + 1):
+                h = codes[i]
+                for c in codes[i + 1 : i + n]:
+                    h = (h * 0x01000193 + c) % 2**32
+                out.add((((h ^ n) * 0x9E3779B1) % 2**32) >> (32 - toxicity.BUCKET_BITS))
+        return out
+
+    for text in ("", "a", "ab", "Größe ÄB", "日本語のテキスト", "mixed \U0001f600 tèxt"):
+        assert {int(b) for h in toxicity.buckets_of(text.encode()) for b in h} == brute(text)
+    assert {int(b) for h in toxicity.buckets_of(b"a\xffbcd") for b in h} == brute("a\ufffdbcd")
+
+
+def test_one_labelled_id_in_many_rows(spark):
+    """A labelled id with most of the rows gives one row to the sample of either classifier."""
+    rows = [(1, f"repeated {i % 50} again") for i in range(2_000)] + [(d, f"other {d}") for d in range(3, 40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("source", F.lit("s"))
+    labels = spark.createDataFrame([(d, d % 2, d % 2) for d in range(1, 40)], "doc_id long, quality int, toxic int")
+    picked = toxicity._sampled(docs, labels, "toxic", 100).collect()
+    learnt = [d for d in (1, *range(3, 40)) if zlib.crc32(str(d).encode()) % 4 != 2]
+    assert len(picked) == len(learnt) and sum(r.text.startswith("repeated") for r in picked) == (1 in learnt)
+    assert quality.scores(docs, labels).count() == toxicity.scores(docs, labels).count() == len(rows)
+    few = docs.dropDuplicates(["doc_id", "text"])
+    scores = [{(r.doc_id, round(r.score, 9)) for r in toxicity.scores(x, labels).collect()} for x in (docs, few)]
+    assert scores[0] == scores[1]
 
 
 # --- Extraction -------------------------------------------------------------------------------
