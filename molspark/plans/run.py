@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from molspark.functions.columns import MOLECULE_ID
 from molspark.functions.kernel import Kernel, text_kernel
 from molspark.functions.ordering import sorted_position
-from molspark.operators import clustering, descriptors, factorised, gates, layers, predict, similarity, spanning_tree
+from molspark.operators import clustering, descriptors, factorised, gates, layers, neighbour_descent, predict, similarity, spanning_tree
 from molspark.operators import enumerate as library
 from molspark.plans import discover
 from molspark.session import materialised
@@ -225,11 +225,12 @@ def _all(ids: DataFrame, gate: DataFrame) -> DataFrame:
 
 
 def build_graph(
-    clustered: DataFrame, kernel: Kernel, fingerprint: str | None = None, **options
+    clustered: DataFrame, kernel: Kernel, fingerprint: str | None = None, search: str = "descent", **options
 ) -> dict[str, DataFrame]:
     """Nodes with labels and colour layers, edges with tree marks, and the rows left out.
 
-    Each fragment label is a layer; there are only as many as the widest input has columns.
+    `search` is "descent", or "forest" for the candidates of a forest alone: one pass, but of lower recall.
+    `options` are those of the search. Each fragment label is a layer; there are only as many as the widest input has columns.
     """
     found = clustered.select(F.explode(F.map_keys("r_groups")).alias("label")).distinct()
     fragments = sorted(r["label"] for r in found.collect())
@@ -240,7 +241,11 @@ def build_graph(
     )
     valid, invalid = similarity.split_valid(rows, kernel, fingerprint)
     nodes = valid.select(KEY, F.col(clustering.ID).alias("id"), "fingerprint")
-    edges, copies = similarity.neighbour_graph(nodes, **options)
+    try:
+        graph = {"descent": neighbour_descent.descent_graph, "forest": similarity.neighbour_graph}[search]
+    except KeyError:
+        raise ValueError(f"The search is 'descent' or 'forest', not {search!r}.") from None
+    edges, copies = graph(nodes, **options)
     edges = materialised(edges)
     tree = spanning_tree.spanning_forest(edges).select(KEY, "src", "dst", F.lit(True).alias("_tree"))
     marked = edges.join(tree, [KEY, "src", "dst"], "left").select(
