@@ -1,5 +1,6 @@
 """Operators on small tables, against values worked out by hand or by brute force."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -9,7 +10,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from molspark.functions import columns, lookup
+from molspark.functions import columns, kernel, lookup
 from molspark.functions.kernel import text_kernel, text_prepare
 from molspark.functions.lookup import skew_safe_lookup
 from molspark.functions.ordering import dense_index, sorted_position
@@ -456,3 +457,26 @@ def test_fewer_predictions_than_rows(spark):
     found = spark.createDataFrame([(1, 0.5), (2, 1.5)], "i int, y double")
     got = predict.merge_predictions(rows, found, ["i"]).orderBy("i").collect()
     assert [(r["i"], r["chemprop_prediction"]) for r in got] == [(1, "0.5"), (2, "1.5")]
+
+
+def _brute_bits(text, q):
+    grams = [text] if len(text) < q else [text[i : i + q] for i in range(len(text) - q + 1)]
+    return sorted({int(hashlib.md5(g.encode()).hexdigest()[:8], 16) % 2048 for g in grams})
+
+
+@pytest.mark.parametrize("name, q", [("qgram", 4), ("bigram", 2)])
+def test_portable_fingerprints_by_batches(spark, name, q):
+    """Grams are those of the code points, also beyond the first plane, and never run over two texts."""
+    texts = ["a", "abc", "abcd", "x😀abcd", "😀😃", "é中文 \n x" * 9, "abcab" * 500, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    got = df.select("id", text_kernel(portable=True).fingerprints[name](F.col("text"))).collect()
+    assert {i: f for i, f in got} == {i: _brute_bits(t, q) if t else None for i, t in enumerate(texts)}
+
+
+def test_each_gram_is_hashed_once(monkeypatch):
+    hashed = []
+    monkeypatch.setattr(kernel.hashlib, "md5", lambda g, **_: hashed.append(g) or hashlib.sha256(g))
+    known = {}
+    for texts in (["abcdabcdab", "abcdab"], ["abcd"]):
+        kernel._on_bits(texts, 4, 2048, known)
+    assert sorted(hashed) == [b"abcd", b"bcda", b"cdab", b"dabc"]
