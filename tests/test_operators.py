@@ -480,3 +480,29 @@ def test_each_gram_is_hashed_once(monkeypatch):
     for texts in (["abcdabcdab", "abcdab"], ["abcd"]):
         kernel._on_bits(texts, 4, 2048, known)
     assert sorted(hashed) == [b"abcd", b"bcda", b"cdab", b"dabc"]
+
+
+def test_each_bit_is_hashed_once_in_blocks(monkeypatch):
+    rng = np.random.default_rng(5)
+    sets = [np.sort(rng.choice(700, n, replace=False)).astype(np.int32) for n in (0, 1, 300, 0, 12, 699, 0)]
+    parameters = np.array(similarity.hash_parameters(8), dtype=np.int64)
+    want = [[min(((a * int(x) + b) % similarity.PRIME for x in s), default=similarity.PRIME) for a, b in parameters.tolist()] for s in sets]
+    for at_once, known in ((1024, 4096), (2, 50), (1, 699)):
+        monkeypatch.setattr(similarity, "SETS_AT_ONCE", at_once)
+        monkeypatch.setattr(similarity, "BITS_AT_ONCE", known)
+        assert similarity._minima(sets, parameters).tolist() == want
+
+
+def test_nearest_neighbours_work_distances_out_once(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counting(x):
+        counted.add(1)
+        return x
+
+    rows = [("d", 1, 2, 0.5), ("d", 1, 3, 0.2), ("d", 2, 3, 0.2)]
+    pairs = spark.createDataFrame(rows, "dataset_id string, src long, dst long, dist double")
+    near = similarity.nearest_neighbours(pairs.withColumn("dist", counting("dist").alias("dist")), 1).collect()
+    assert {(r["id"], r["neighbour"], r["rank"]) for r in near} == {(1, 3, 1), (2, 3, 1), (3, 1, 1)}
+    assert counted.value == len(rows)
