@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from molspark.functions import columns
 from molspark.plans import discover
-from molspark.session import work_path
+from molspark.session import spread, work_path
 from molspark.sources import listing, pairs, people, tables
 from workload.inputs import table
 
@@ -105,7 +105,8 @@ def pair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             (discover.SCAFFOLDS_SUFFIX, own.select(*cells[:: -1 if number % 2 else 1])),
             (discover.R_GROUPS_SUFFIX, own.select(F.col("lang").alias("R1"), F.col("cell").alias("R2"), F.col("doc_id").alias("R3"))),
         ):
-            tables.write_csv(rows.coalesce(1), f"{base}/{name}{suffix}")
+            # Quoted line breaks keep a file whole, so a dataset is a folder of as many files as there are tasks.
+            tables.write_csv(spread(rows), f"{base}/{name}{suffix}")
     listed = spark.createDataFrame([(n,) for n in names], "dataset_id string")
     scaffolds, cells = pairs.read_pairs(spark, base, listed)
     return scaffolds.select("dataset_id", F.lit("scaffold").alias("label"), "smiles").unionByName(
