@@ -77,10 +77,11 @@ def open_index(spark: SparkSession, path: str) -> ForestIndex:
 
 def candidates(index: ForestIndex, queries: DataFrame, enough: int = ENOUGH, per_tree: int = PER_TREE) -> DataFrame:
     """``(dataset_id, src, dst)``: the nodes (dst) that each query (src) is to be compared with."""
+    # The planner sees files of few bytes, not the rows that are exploded from them, and would broadcast these.
     asked = tree_prefixes(queries, index.trees, index.depth).withColumn("last", F.element_at("prefix", -1))
     met = materialised(
         _by_length(asked, index.depth)
-        .join(index.runs, [KEY, "tree", "prefix"])
+        .join(index.runs.hint("merge"), [KEY, "tree", "prefix"])
         .select(KEY, "id", "tree", F.size("prefix").alias("length"), "last", "lo", "hi")
     )
     offers = met.groupBy(KEY, "id", "length").agg(F.sum(F.least(F.col("hi") - F.col("lo") + 1, F.lit(per_tree))).alias("n"))
@@ -91,7 +92,7 @@ def candidates(index: ForestIndex, queries: DataFrame, enough: int = ENOUGH, per
     # A query has one row per tree and length here, so these groups are small.
     deepest = Window.partitionBy(KEY, "id", "tree")
     chosen = (
-        met.join(stops, [KEY, "id"])
+        met.join(stops.hint("merge"), [KEY, "id"])
         .withColumn("_deep", F.max(F.struct("length", "lo", "hi")).over(deepest))
         .where(F.col("length") == F.col("stop"))
     )
@@ -102,7 +103,8 @@ def candidates(index: ForestIndex, queries: DataFrame, enough: int = ENOUGH, per
     positions = chosen.select(
         KEY, F.col("id").alias("src"), F.explode(F.sequence(start, F.least(start + per_tree - 1, "hi"))).alias("pos")
     )
-    return positions.join(index.leaves.select("pos", F.col("id").alias("dst")), "pos").select(KEY, "src", "dst").distinct()
+    leaves = index.leaves.select("pos", F.col("id").alias("dst"))
+    return positions.join(leaves.hint("merge"), "pos").select(KEY, "src", "dst").distinct()
 
 
 def nearest(
@@ -116,7 +118,7 @@ def nearest(
     """``(dataset_id, id, neighbour, dist, rank)``: the k nearest nodes found for each query
     ``(dataset_id, id, fingerprint)``; query ids are unique within a dataset."""
     asked = materialised(queries.select(KEY, "id", "fingerprint").where(F.size("fingerprint") > 0))
-    pairs = materialised(candidates(index, asked, enough, per_tree))
+    pairs = candidates(index, asked, enough, per_tree).hint("merge")
     found = jaccard_distance(pairs, asked, bits, targets=index.nodes)
     order = Window.partitionBy(KEY, "src").orderBy("dist", "dst")
     return (
