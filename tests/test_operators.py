@@ -506,3 +506,45 @@ def test_nearest_neighbours_work_distances_out_once(spark):
     near = similarity.nearest_neighbours(pairs.withColumn("dist", counting("dist").alias("dist")), 1).collect()
     assert {(r["id"], r["neighbour"], r["rank"]) for r in near} == {(1, 3, 1), (2, 3, 1), (3, 1, 1)}
     assert counted.value == len(rows)
+
+
+def test_block_sums_leave_a_task_once_per_point_and_cluster():
+    rng = np.random.default_rng(8)
+    x, labels = rng.normal(size=(40, 3)), rng.integers(0, 3, 40)
+    blocks = [dict(dataset_id="d", block=b, rep=list(range(b * 10, b * 10 + 10)), cluster=labels[b * 10 : b * 10 + 10].tolist(),
+                   weight=[1 + i % 2 for i in range(10)], x=x[b * 10 : b * 10 + 10].ravel()) for b in range(4)]
+    met = [a | {f"{c}_r": b[c] for c in ("cluster", "weight", "x")} for a in blocks for b in blocks]
+    found = pd.concat(silhouette._block_sums(3)(iter([pd.DataFrame(met[:7]), pd.DataFrame(met[7:])])))
+    assert len(found) == 40 * 3
+    weights = np.array([1 + i % 2 for i in range(40)])
+    for r in found.itertuples():
+        to = labels == r.to_cluster
+        want = (np.sqrt(((x[r._2] - x[to]) ** 2).sum(1)) * weights[to]).sum()
+        assert math.isclose(r.total, want, rel_tol=1e-12)
+
+
+def test_points_are_not_shuffled_to_their_statistics(spark):
+    points = spark.range(1000).selectExpr("string(id % 3) AS dataset_id", "id AS point_id", "double(id) AS x", "int(id % 2) AS cluster")
+    plan = clustering.standardise(points, ["x"])._jdf.queryExecution().optimizedPlan().toString()
+    executed = clustering.standardise(points, ["x"])._jdf.queryExecution().executedPlan().toString()
+    assert "Join" in plan and "BroadcastHashJoin" in executed and "SortMergeJoin" not in executed
+
+
+def test_distance_of_sets_made_after_the_join(spark):
+    nodes = spark.createDataFrame([("d", 1, "abcdef"), ("d", 2, "abcdxy"), ("d", 3, ""), ("d", 4, "ab"), ("d", 5, None)],
+                                  "dataset_id string, id long, fingerprint string")
+    pairs = spark.createDataFrame([("d", 1, 2), ("d", 2, 3), ("d", 3, 4), ("d", 3, 3), ("d", 4, 5)], "dataset_id string, src long, dst long")
+    made = similarity.jaccard_distance(pairs, nodes, bits=None, sets_of=kernel.qgrams)
+    held = nodes.withColumn("fingerprint", kernel.qgrams(F.col("fingerprint")))
+    want = similarity.jaccard_distance(pairs, held, bits=None)
+    assert sorted(map(tuple, made.collect())) == sorted(map(tuple, want.collect()))
+    assert "regexp_extract_all" not in made._jdf.queryExecution().optimizedPlan().toString().split("Join")[-1]
+
+
+def test_copies_meet_by_digest(spark):
+    rows = [("d", i, [1, 2, 3] if i % 3 else [i]) for i in range(30)] + [("d", 100, None), ("d", 101, None), ("d", 102, []), ("d", 103, [])]
+    nodes = spark.createDataFrame(rows, "dataset_id string, id long, fingerprint array<int>")
+    _, edges = similarity.collapse_copies(nodes)
+    assert {(r["src"], r["dst"]) for r in edges.collect()} == {(1, i) for i in range(2, 30) if i % 3} | {(102, 103)}
+    joined = [line for line in edges._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in line]
+    assert joined and all("fingerprint" not in line for line in joined)
