@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from molspark.functions.kernel import FINGERPRINT_BITS
 from molspark.functions.ordering import sorted_position
 from molspark.operators.similarity import DEPTH, KEY, NEIGHBOURS, TREES, collapse_copies, jaccard_distance, tree_prefixes
-from molspark.session import materialised
+from molspark.session import materialised, work_scope
 
 # Leaves of each tree that a query takes at most, and leaves of all trees that let it stop.
 PER_TREE = 128
@@ -50,21 +50,23 @@ def _by_length(df: DataFrame, depth: int) -> DataFrame:
 
 def build(nodes: DataFrame, path: str, trees: int = TREES, depth: int = DEPTH) -> ForestIndex:
     """Index ``(dataset_id, id, fingerprint)`` in the folder `path`, which must not hold an index yet."""
-    usable = nodes.select(KEY, "id", "fingerprint").where(F.size("fingerprint") > 0)
-    distinct, copies = collapse_copies(usable)
-    distinct = materialised(distinct)
-    leaves = sorted_position(tree_prefixes(distinct, trees, depth), [KEY, "tree", "prefix", "id"])
-    leaves.write.parquet(f"{path}/leaves")
-    placed = nodes.sparkSession.read.parquet(f"{path}/leaves")
-    # Least and greatest are combined in each task first, so the hot prefixes of length 1 do no harm.
-    runs = (
-        _by_length(placed.select(KEY, "tree", "prefix", "pos"), depth)
-        .groupBy(KEY, "tree", "prefix")
-        .agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
-    )
-    runs.write.parquet(f"{path}/runs")
-    copies.select(KEY, F.col("src").alias("id"), F.col("dst").alias("copy")).write.parquet(f"{path}/copies")
-    distinct.withColumns({"trees": F.lit(trees), "depth": F.lit(depth)}).write.parquet(f"{path}/nodes")
+    # What the index is made from is not needed once it is written.
+    with work_scope(nodes.sparkSession):
+        usable = nodes.select(KEY, "id", "fingerprint").where(F.size("fingerprint") > 0)
+        distinct, copies = collapse_copies(usable)
+        distinct = materialised(distinct)
+        leaves = sorted_position(tree_prefixes(distinct, trees, depth), [KEY, "tree", "prefix", "id"])
+        leaves.write.parquet(f"{path}/leaves")
+        placed = nodes.sparkSession.read.parquet(f"{path}/leaves")
+        # Least and greatest are combined in each task first, so the hot prefixes of length 1 do no harm.
+        runs = (
+            _by_length(placed.select(KEY, "tree", "prefix", "pos"), depth)
+            .groupBy(KEY, "tree", "prefix")
+            .agg(F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+        )
+        runs.write.parquet(f"{path}/runs")
+        copies.select(KEY, F.col("src").alias("id"), F.col("dst").alias("copy")).write.parquet(f"{path}/copies")
+        distinct.withColumns({"trees": F.lit(trees), "depth": F.lit(depth)}).write.parquet(f"{path}/nodes")
     return open_index(nodes.sparkSession, path)
 
 
@@ -118,7 +120,7 @@ def nearest(
     """``(dataset_id, id, neighbour, dist, rank)``: the k nearest nodes found for each query
     ``(dataset_id, id, fingerprint)``; query ids are unique within a dataset."""
     asked = materialised(queries.select(KEY, "id", "fingerprint").where(F.size("fingerprint") > 0))
-    pairs = candidates(index, asked, enough, per_tree).hint("merge")
+    pairs = candidates(index, asked, enough, per_tree)
     found = jaccard_distance(pairs, asked, bits, targets=index.nodes)
     order = Window.partitionBy(KEY, "src").orderBy("dist", "dst")
     return (

@@ -1,5 +1,6 @@
 """The forest index: recall against all pairs, hot prefixes, reopening, defined cases."""
 
+import os
 import random
 
 import pytest
@@ -126,3 +127,10 @@ def test_unfinished_build_is_not_opened(spark, rows, tmp_path):
     spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "f" / "leaves"))
     with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
         forest_index.open_index(spark, str(tmp_path / "f"))
+
+
+def test_only_the_index_outlives_its_build(spark, rows, tmp_path):
+    root = spark.conf.get("spark.checkpoint.dir")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    forest_index.build(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "f"), trees=4, depth=4)
+    assert {f for f in set(os.listdir(root)) - before if f.startswith("molspark-")} == set()
