@@ -6,7 +6,7 @@ Tables: ``scaffolds(dataset_id, scaffold_id, smiles)`` and the long fragment tab
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_
 
@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 
 from molspark.functions.columns import strip
 from molspark.functions.kernel import Kernel
-from molspark.functions.ordering import dense_index
+from molspark.functions.ordering import dense_index, sorted_position
 from molspark.session import shuffle_partitions
 
 ATTEMPTS_PER_CHUNK = 4096
 CHUNKS_PER_STEP = 4096
 FRAGMENTS_PER_BLOCK = 1024
+SCAFFOLDS_PER_CREW = 16
 # A scaffold's combinations are numbered by a long.
 MOST_ATTEMPTS = float(1 << 63)
 
@@ -183,6 +184,22 @@ def sized_scaffolds(
     )
 
 
+def _crews(sized: DataFrame, whole: Sequence[str]) -> DataFrame:
+    """Scaffolds of a dataset in crews of at most SCAFFOLDS_PER_CREW: a crew uses the same fragments.
+
+    ``_times`` is how often the ids of the crew occur; ids should occur once.
+    """
+    of_dataset = ["groups", "_strides", "_total"]
+    once = sized.groupBy("dataset_id", "scaffold_id").agg(
+        F.count(F.lit(1)).cast("int").alias("_times"), *(F.first(c).alias(c) for c in [*of_dataset, *whole])
+    )
+    placed = sorted_position(once, ["dataset_id", "_times", "scaffold_id"], "_at")
+    return placed.groupBy("dataset_id", "_times", _div(F.col("_at"), F.lit(SCAFFOLDS_PER_CREW)).alias("crew")).agg(
+        *(F.first(c).alias(c) for c in of_dataset),
+        F.collect_list(F.struct("scaffold_id", *whole)).alias("_crew"),
+    )
+
+
 def _chunks(sized: DataFrame, whole: Sequence[str]) -> DataFrame:
     """A row per chunk of attempts and label: which of the label's fragments the chunk uses.
 
@@ -199,7 +216,6 @@ def _chunks(sized: DataFrame, whole: Sequence[str]) -> DataFrame:
         .withColumn("_last", F.least(F.col("_first") + chunk, F.col("_total")) - 1)
         .select(
             "dataset_id",
-            "scaffold_id",
             *whole,
             "_first",
             "_last",
@@ -207,7 +223,7 @@ def _chunks(sized: DataFrame, whole: Sequence[str]) -> DataFrame:
                 F.zip_with("groups", "_strides", lambda g, s: F.struct(g["label"].alias("label"), g["n"].alias("n"), s.alias("stride")))
             ).alias("no", "g"),
         )
-        .select("dataset_id", "scaffold_id", *whole, "_first", "_last", "no", "g.*")
+        .select("dataset_id", *whole, "_first", "_last", "no", "g.*")
         .withColumn("base", low)
         .withColumn("a", F.col("base") % F.col("n"))
         .withColumn("take", F.least(_div(F.col("_last"), F.col("stride")) - F.col("base") + 1, F.col("n")))
@@ -222,15 +238,22 @@ def _chunks(sized: DataFrame, whole: Sequence[str]) -> DataFrame:
     )
 
 
-def combinations(sized: DataFrame, blocks: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+def combinations(
+    sized: DataFrame,
+    blocks: DataFrame,
+    carried: Sequence[str] = (),
+    made: Callable[[Column, Column], Sequence[Column]] = lambda labels, fragments: [labels.alias("labels"), fragments.alias("fragments")],
+) -> DataFrame:
     """Every combination: ``dataset_id, scaffold_id, _scaffold``, the `carried` columns of the scaffold,
-    ``labels``, ``ord`` and ``fragments``, the entries of the fragment blocks in label order.
+    ``ord`` and what is `made` of the labels and of the entries of the fragment blocks in label order, by
+    default the columns ``labels`` and ``fragments``.
 
     Combination number `ord` is decoded digit by digit into one fragment per label. Combinations are
     produced in chunks of bounded size. A chunk meets only the fragment blocks it uses, and of those only
-    the fragments it uses go on; so no row ever holds all fragments of a dataset.
+    the fragments it uses go on; so no row ever holds all fragments of a dataset. Chunk number j has the same
+    fragments for every scaffold of a dataset, so they travel and are decoded once for a crew of scaffolds.
     """
-    keys = ["dataset_id", "scaffold_id", "_first"]
+    keys = ["dataset_id", "_times", "crew", "_first"]
     at = lambda f: F.pmod(f["idx"] - F.col("a"), F.col("n"))
     entry = [f.name for f in blocks.schema["fragments"].dataType.elementType if f.name != "idx"]
     used = F.transform(
@@ -238,37 +261,36 @@ def combinations(sized: DataFrame, blocks: DataFrame, carried: Sequence[str] = (
         lambda f: F.struct(at(f).alias("at"), *(f[c].alias(c) for c in entry)),
     )
     whole = ["_scaffold", *carried]
+    crews = _crews(sized, whole)
     chunks = (
-        _chunks(sized, whole)
+        _chunks(crews, ["_times", "crew", "_crew"])
         .join(blocks, ["dataset_id", "label", "block"])
-        .select(*keys, *whole, "_last", F.struct("no", "label", "base", "stride", used.alias("used")).alias("part"))
+        .select(*keys, "_crew", "_last", F.struct("no", "label", "base", "stride", used.alias("used")).alias("part"))
         # A stated number of partitions: a chunk is small but its work is not, so the chunks must
         # not be packed together by their size.
         .repartition(shuffle_partitions(sized.sparkSession), *keys)
         .groupBy(*keys)
         .agg(
-            *(F.first(c).alias(c) for c in whole),
+            F.first("_crew").alias("_crew"),
             F.first("_last").alias("_last"),
             F.collect_list("part").alias("_parts"),
         )
-        .withColumn("_digits", _digits(F.col("_parts")))
+        .withColumn("_digits", _digits(F.flatten(F.array_repeat("_parts", F.col("_times")))))
     )
-    # Decoding happens before the rows are exploded, so no product row ever drags the chunk's
-    # fragment arrays along.
-    return chunks.select(
+    decoded = F.transform(
+        F.sequence("_first", "_last"),
+        lambda o: F.struct(o.alias("ord"), F.transform("_digits", lambda d: _digit_value(d, o)).alias("fragments")),
+    )
+    ready = chunks.select("dataset_id", "_crew", F.col("_digits.label").alias("labels"), decoded.alias("_decoded")).select(
         "dataset_id",
-        "scaffold_id",
-        *whole,
-        F.col("_digits.label").alias("labels"),
-        F.inline(
-            F.transform(
-                F.sequence("_first", "_last"),
-                lambda o: F.struct(
-                    o.alias("ord"),
-                    F.transform("_digits", lambda d: _digit_value(d, o)).alias("fragments"),
-                ),
-            )
-        ),
+        "_crew",
+        F.transform("_decoded", lambda d: F.struct(d["ord"].alias("ord"), *made(F.col("labels"), d["fragments"]))).alias("_made"),
+    )
+    # Decoding happens before the rows are exploded, so no product row ever drags the chunk's
+    # fragment arrays along. Neither array is ever empty or null; from a plain `inline` Spark would infer a
+    # filter on that, which decodes everything a second time.
+    return ready.select("dataset_id", F.inline_outer("_crew"), "_made").select(
+        "dataset_id", "scaffold_id", *whole, F.inline_outer("_made")
     )
 
 
@@ -286,18 +308,22 @@ def attempts(
     sized = sized_scaffolds(scaffolds, r_groups, kernel, max_products).withColumn(
         "_scaffold", kernel.prepare(F.col("smiles"))
     )
-    decoded = combinations(sized, fragment_blocks(r_groups, kernel))
-    prepared_ok = F.col("_scaffold").isNotNull() & ~F.exists(
-        "fragments", lambda f: f["prepared"].isNull()
-    )
+
+    def made(labels: Column, fragments: Column) -> list[Column]:
+        return [
+            fragments["prepared"].alias("_prepared"),
+            F.exists(fragments, lambda f: f["prepared"].isNull()).alias("_unprepared"),
+            F.map_from_arrays(labels, fragments["smiles"]).alias("r_groups"),
+        ]
+
+    decoded = combinations(sized, fragment_blocks(r_groups, kernel), made=made)
+    prepared_ok = F.col("_scaffold").isNotNull() & ~F.col("_unprepared")
     return decoded.select(
         "dataset_id",
         "scaffold_id",
         "ord",
-        F.when(
-            prepared_ok, kernel.combine(F.col("_scaffold"), F.col("fragments.prepared"))
-        ).alias("smiles"),
-        F.map_from_arrays("labels", "fragments.smiles").alias("r_groups"),
+        F.when(prepared_ok, kernel.combine(F.col("_scaffold"), F.col("_prepared"))).alias("smiles"),
+        "r_groups",
     )
 
 

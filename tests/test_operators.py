@@ -101,6 +101,22 @@ def test_long_lists_cross_chunks(spark):
         assert len(r["r_groups"]["B"]) - 5 == r["ord"] % 3000 + 1
 
 
+def test_scaffolds_share_the_fragments_of_a_chunk(spark):
+    scaffolds, groups = library_tables(spark, {"A": 3, "B": 5}, "C([*:1])C[*:2]")
+    many = scaffolds.select("dataset_id", F.explode(F.sequence(F.lit(1), F.lit(40)).cast("array<long>")).alias("scaffold_id"), "smiles")
+    sized = library.sized_scaffolds(many, groups, KERNEL, 12).withColumn("_scaffold", KERNEL.prepare(F.col("smiles")))
+    crews = library._crews(sized, ["_scaffold"])
+    # One row per crew and label, not per scaffold and label.
+    assert library._chunks(crews, ["crew"]).count() == 2 * -(-40 // library.SCAFFOLDS_PER_CREW)
+    rows = library.attempts(many, groups, KERNEL, 12).collect()
+    assert sorted((r["scaffold_id"], r["ord"]) for r in rows) == [(s, o) for s in range(1, 41) for o in range(12)]
+    for r in rows:
+        assert (len(r["r_groups"]["A"]) - 6, len(r["r_groups"]["B"]) - 6) == divmod(r["ord"], 5)
+    decoded = library.attempts(many, groups, KERNEL, 12)._jdf.queryExecution().optimizedPlan().toString()
+    # Nothing is decoded a second time to see whether there are rows.
+    assert not [x for x in decoded.splitlines() if "Filter" in x and "sequence(_first" in x]
+
+
 def test_first_seen_wins_over_scaffolds(spark):
     made = spark.createDataFrame(
         [("d", 2, 0, "X"), ("d", 1, 5, "X"), ("d", 1, 3, "Y"), ("e", 9, 9, "X")],
