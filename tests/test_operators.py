@@ -353,6 +353,44 @@ def test_choose_k(spark):
     assert {r["k"] for r in silhouette.choose_k(few, ["x", "y"]).collect()} == {2}
 
 
+def test_blocks_hold_each_distinct_point_once(spark, monkeypatch):
+    monkeypatch.setattr(clustering, "BLOCK_VALUES", 20)
+    points = spark.createDataFrame(
+        [("a", 0, 1.0, 2.0)] * 500 + [("a", i, float(i), 0.5) for i in range(100)] + [("b", 1, -0.0, 0.0), (None, 1, 0.0, 0.0)],
+        "dataset_id string, point_id long, x double, y double",
+    )
+    rows = clustering.point_blocks(points, ["x", "y"]).collect()
+    got = sorted((r["dataset_id"], x, y, w) for r in rows for x, y, w in zip(r["x"], r["y"], r["_weight"]))
+    assert got == sorted([("a", 1.0, 2.0, 500), *(("a", float(i), 0.5, 1) for i in range(100)), ("b", 0.0, 0.0, 1)])
+    assert max(len(r["x"]) for r in rows) < 40
+
+
+def test_choose_k_is_that_of_runs_of_their_own(spark, monkeypatch):
+    """The runs of all k share draws and blocks of points; each gives what K-means for that k alone gives."""
+    rng = np.random.default_rng(3)
+    rows = [("a", i, *rng.normal(size=2).tolist()) for i in range(150)] + [("a", 500 + i, 9.0, 9.0) for i in range(60)]
+    rows += [("b", i, float(i % 2), 0.0) for i in range(9)] + [("c", i, float(i), 1.0) for i in range(3)] + [("d", 1, 0.0, 0.0)]
+    points = spark.createDataFrame(rows, "dataset_id string, point_id long, x double, y double")
+    drawn, draw = [], clustering.spread_centers
+    monkeypatch.setattr(clustering, "spread_centers", lambda p, *rest: drawn.append(p.count()) or draw(p, *rest))
+    monkeypatch.setattr(clustering, "BLOCK_VALUES", 64)
+    got = {r["dataset_id"]: (r["k"], r["silhouette"]) for r in silhouette.choose_k(points, ["x", "y"], 2, 4).collect()}
+    assert drawn == [len(rows)]  # not one copy a value of k
+    scores = {}
+    for k in (2, 3, 4):
+        enough = points.where(F.col("dataset_id").isin([d for d, n in (("a", 210), ("b", 9), ("c", 3)) if n > k]))
+        centers = clustering.kmeans_centers(enough, ["x", "y"], k)
+        labelled = clustering.assign(enough, centers, ["x", "y"], k).toPandas()
+        for name, part in labelled.groupby("dataset_id"):
+            if part["cluster"].nunique() > 1:
+                scores[name, k] = brute_silhouette(part[["x", "y"]].to_numpy(), part["cluster"].to_numpy(), 2)
+    assert set(got) == {"a", "b", "c", "d"} and got["d"] == (1, None)
+    for name in "abc":
+        best = max((s, -k) for (d, k), s in scores.items() if d == name)
+        assert got[name][1] == pytest.approx(best[0])
+        assert scores[name, got[name][0]] == pytest.approx(best[0])
+
+
 # --- Similarity -----------------------------------------------------------------------------
 
 
