@@ -57,6 +57,7 @@ BOUND = 4.0  # of every weight, so that exponentials of float32 logits stay fini
 PARTIAL = 8  # tasks whose weights are averaged at once
 END = b""  # the end of a document; no word is empty
 NO_LETTERS = bytes(b for b in range(128) if not 97 <= b <= 122)
+LETTER = ~np.isin(np.arange(256), list(NO_LETTERS))
 
 
 def held_out(doc_id: Column) -> Column:
@@ -69,16 +70,42 @@ def spelt_class(word: bytes) -> int:
     return zlib.crc32(letters[-2:] + b" " + word[len(letters) :][:1]) % SPELT
 
 
-def tokenised(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+def spelt_classes(words: pa.BinaryArray) -> np.ndarray:
+    """`spelt_class` of each word. It is worked out once for all words that are alike in the bytes it looks at."""
+    if not len(words):
+        return np.zeros(0, np.int32)
+    cut = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    start, end = cut[:-1], cut[1:]
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[: cut[-1]]
+    # One past the last letter up to each byte; the word's own start if it has none.
+    ends = np.where(LETTER[data], np.arange(1, len(data) + 1), 0)
+    stop = np.maximum(np.maximum.accumulate(np.r_[0, ends])[end], start)
+    # The two bytes before that place and the one after it, as digits: 0 where the word has none.
+    data = np.r_[data.astype(np.int32) + 1, 0, 0]
+    key = np.where(stop - 2 >= start, data[stop - 2], 0)
+    key = key * 257 + np.where(stop - 1 >= start, data[stop - 1], 0)
+    key = key * 257 + np.where(stop < end, data[stop], 0)
+    alike = pa.array(key).dictionary_encode()
+    digits = [(x // 257**2, x // 257 % 257, x % 257) for x in alike.dictionary.to_pylist()]
+    classes = [spelt_class(bytes(d - 1 for d in three if d)) for three in digits]
+    return np.array(classes, np.int32)[alike.indices.to_numpy()]
+
+
+def radix(codes: np.ndarray, bound: int) -> np.ndarray:
+    """Codes below `bound` as the narrow integers that numpy sorts by radix, where they fit."""
+    return codes.astype(np.uint16) if bound <= 1 << 16 else codes
+
+
+def tokenised(texts: pa.Array) -> tuple[np.ndarray, pa.BinaryArray, np.ndarray]:
     """Codes of all words in order, the distinct words, and the number of words of each text."""
     lowered = pc.ascii_lower(pc.fill_null(texts, ""))
     parts = pc.ascii_split_whitespace(lowered)
     owner = pc.list_parent_indices(parts).to_numpy()
     coded = pc.list_flatten(parts).dictionary_encode()
-    distinct = coded.dictionary.cast(pa.binary()).to_pylist()
+    distinct = coded.dictionary.cast(pa.binary())
     codes = coded.indices.to_numpy()
-    empty = [i for i, w in enumerate(distinct) if not w]
-    if empty:
+    empty = np.flatnonzero(pc.binary_length(distinct).to_numpy() == 0)
+    if len(empty):
         real = codes != empty[0]
         codes, owner = codes[real], owner[real]
     return codes, distinct, np.bincount(owner, minlength=len(texts))
@@ -93,14 +120,10 @@ def count_words(docs: DataFrame) -> DataFrame:
             for part in text_pieces(batch, PIECE):
                 codes, distinct, _ = tokenised(part.column(1))
                 counts = np.bincount(codes, minlength=len(distinct))
-                rows = [(w, n) for w, n in zip(distinct, counts.tolist()) if n] + [(END, part.num_rows)]
+                words = pa.concat_arrays([distinct.filter(pa.array(counts > 0)), pa.array([END], pa.binary())])
+                counts = np.r_[counts[counts > 0], part.num_rows]
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([w for w, _ in rows], pa.binary()),
-                        pa.array([n for _, n in rows], pa.int64()),
-                        pa.array([spelt_class(w) for w, _ in rows], pa.int32()),
-                    ],
-                    schema=schema,
+                    [words, pa.array(counts, pa.int64()), pa.array(spelt_classes(words))], schema=schema
                 )
 
     training = docs.where(~held_out(F.col("doc_id"))).select("doc_id", "text")
@@ -124,14 +147,14 @@ class Vocabulary:
         sums = spelt_sums.astype(float)
         np.subtract.at(sums, spelt[: self.neural], self.counts[: self.neural] + SMOOTH)
         self.spelt_sums = np.maximum(sums, 0) + SMOOTH
-        self.place: dict[bytes, int] | None = None
+        self.end = self.words.index(END) if END in self.words else len(self.words)
+        self.head: pa.BinaryArray | None = None
 
-    def places(self, distinct: list[bytes]) -> np.ndarray:
+    def places(self, distinct: pa.BinaryArray) -> np.ndarray:
         """Place of each word in the head; the head's length for words outside it."""
-        if self.place is None:
-            self.place = {w: i for i, w in enumerate(self.words)}
-        get, out = self.place.get, len(self.words)
-        return np.fromiter((get(w, out) for w in distinct), np.int64, len(distinct))
+        if self.head is None:
+            self.head = pa.array(self.words, pa.binary())
+        return pc.index_in(distinct, value_set=self.head).fill_null(len(self.words)).to_numpy().astype(np.int64)
 
     def biases(self) -> tuple[np.ndarray, np.ndarray]:
         """Log masses of the classes, and log counts of the neural words by class and place."""
@@ -190,19 +213,28 @@ class Network:
             }
         self.w = {k: np.array(weights[k], np.float32) for k in self.NAMES}
 
-    def step(self, x: np.ndarray, h: np.ndarray):
+    def inputs(self, x: np.ndarray) -> np.ndarray:
+        """What the words of a window, (steps, lanes), add to the gates and the candidate."""
+        own = np.take(self.w["embed"], x, axis=0)
+        own += self.w["bias"]
+        return own
+
+    def step(self, own: np.ndarray, h: np.ndarray):
         """One word of every lane: reset and update gates, candidate, new state."""
-        w = self.w
-        own, rec = w["embed"][x], h @ w["recur"]
-        own += w["bias"]
+        rec = h @ self.w["recur"]
         gates = own[:, : 2 * STATE] + rec[:, : 2 * STATE]
         np.negative(gates, out=gates)
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
         r, z = gates[:, :STATE], gates[:, STATE:]
-        c = np.tanh(own[:, 2 * STATE :] + r * rec[:, 2 * STATE :])
-        return h + z * (c - h), r, z, c, rec[:, 2 * STATE :]
+        c = r * rec[:, 2 * STATE :]
+        c += own[:, 2 * STATE :]
+        np.tanh(c, out=c)
+        new = c - h
+        new *= z
+        new += h
+        return new, r, z, c, rec[:, 2 * STATE :]
 
     def learn(self, name: str, gradient: np.ndarray, memory: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
         """An adaptive step down the gradient of some rows of a weight, kept within BOUND."""
@@ -223,27 +255,33 @@ class Network:
         got -= np.log(norm)
         grads = {}
         if backward:
-            d = e / norm[:, None]
-            d[row, kind] -= 1
-            grads["to_class"], grads["to_word"] = h.T @ d, np.zeros_like(w["to_word"])
-            dh = d @ w["to_class"].T
-        order = np.argsort(kind, kind="stable")
+            e /= norm[:, None]
+            e[row, kind] -= 1
+            grads["to_class"], grads["to_word"] = h.T @ e, np.zeros_like(w["to_word"])
+            dh = e @ w["to_class"].T
+        # The states whose word has weights of its own, class by class.
+        order = np.argsort(radix(kind, self.kinds), kind="stable")
         edge = np.searchsorted(kind[order], np.arange(self.classes + 1))
-        for k in np.flatnonzero(np.diff(edge)):
-            at = order[edge[k] : edge[k + 1]]
-            mine = h[at]
-            inner = mine @ w["to_word"][k]
-            inner += w["word_bias"][k]
-            i = np.arange(len(at))
-            chosen = inner[i, within[at]]
-            e = np.exp(inner, out=inner)
-            norm = e.sum(1)
-            got[at] += chosen - np.log(norm)
-            if backward:
-                d = e / norm[:, None]
-                d[i, within[at]] -= 1
-                grads["to_word"][k] = mine.T @ d
-                dh[at] += d @ w["to_word"][k].T
+        order = order[: edge[-1]]
+        mine, place, row = h[order], within[order], row[: len(order)]
+        parts = [(k, slice(edge[k], edge[k + 1])) for k in np.flatnonzero(np.diff(edge))]
+        e = np.empty((len(order), CLASS_SIZE), np.result_type(h, w["to_word"]))
+        for k, at in parts:
+            np.matmul(mine[at], w["to_word"][k], out=e[at])
+            e[at] += w["word_bias"][k]
+        chosen = e[row, place]
+        np.exp(e, out=e)
+        norm = e.sum(1)
+        chosen -= np.log(norm)
+        got[order] += chosen
+        if backward:
+            e /= norm[:, None]
+            e[row, place] -= 1
+            more = np.empty_like(mine)
+            for k, at in parts:
+                np.matmul(mine[at].T, e[at], out=grads["to_word"][k])
+                np.matmul(e[at], w["to_word"][k].T, out=more[at])
+            dh[order] += more
         return (got, grads, dh) if backward else got
 
 
@@ -275,7 +313,7 @@ class Reader:
         self.doc = np.full(shape, -1, np.int32)
         place, kind_of = np.zeros(shape, np.int32), np.zeros(shape, np.int32)
         self.first = np.zeros(shape, bool)
-        end = int(v.places([END])[0])
+        end = v.end
         for lane, members in enumerate(dealt):
             at = 0
             for d in members:
@@ -291,6 +329,7 @@ class Reader:
         seen = np.where(own, place, v.neural + kind_of)
         del place, kind_of, own
         end_seen = end if end < v.neural else v.neural + spelt_class(END)
+        self.begins = self.first.any(1)
         # A document is read from its end mark on: the input before its first word is the mark.
         self.input = np.full(shape, end_seen, np.int32)
         if self.steps:
@@ -301,7 +340,7 @@ def read_batch(v: Vocabulary, texts: pa.Array, width: int):
     """The reader of some texts, with the word codes it came from."""
     codes, distinct, counts = tokenised(texts)
     places = v.places(distinct)
-    spelt = np.fromiter((spelt_class(w) for w in distinct), np.int32, len(distinct))
+    spelt = spelt_classes(distinct)
     return Reader(v, places[codes], spelt[codes], counts, width), codes, distinct, places, spelt, counts
 
 
@@ -312,9 +351,11 @@ def neural_scores(network: Network, reader: Reader, documents: int) -> np.ndarra
     for at in range(0, reader.steps, STEPS):
         stop = min(at + STEPS, reader.steps)
         states = np.empty((stop - at, *h.shape), np.float32)
+        own = network.inputs(reader.input[at:stop])
         for t in range(at, stop):
-            h = np.where(reader.first[t][:, None], np.float32(0), h)
-            h = network.step(reader.input[t], h)[0]
+            if reader.begins[t]:
+                h = np.where(reader.first[t][:, None], np.float32(0), h)
+            h = network.step(own[t - at], h)[0]
             states[t - at] = h
         doc = reader.doc[at:stop].reshape(-1)
         real = np.flatnonzero(doc >= 0)
@@ -331,13 +372,15 @@ def train(network: Network, reader: Reader, memory: dict[str, np.ndarray]) -> in
     h = np.zeros((reader.doc.shape[1], STATE), np.float32)
     for at in range(0, reader.steps, TRAIN_STEPS):
         stop = min(at + TRAIN_STEPS, reader.steps)
-        kept, states = [], np.empty((stop - at, *h.shape), np.float32)
-        befores = np.empty_like(states)
-        for t in range(at, stop):
-            before = np.where(reader.first[t][:, None], np.float32(0), h)
-            h, *gates = network.step(reader.input[t], before)
-            kept.append(gates)
-            befores[t - at], states[t - at] = before, h
+        states = np.empty((stop - at, *h.shape), np.float32)
+        befores, reset, update, candidate, recurred = (np.empty_like(states) for _ in range(5))
+        own = network.inputs(reader.input[at:stop])
+        for i in range(stop - at):
+            if reader.begins[at + i]:
+                h = np.where(reader.first[at + i][:, None], np.float32(0), h)
+            befores[i] = h
+            h, reset[i], update[i], candidate[i], recurred[i] = network.step(own[i], h)
+            states[i] = h
         doc = reader.doc[at:stop].reshape(-1)
         real = np.flatnonzero(doc >= 0)
         flat = states.reshape(-1, STATE)
@@ -347,26 +390,33 @@ def train(network: Network, reader: Reader, memory: dict[str, np.ndarray]) -> in
         from_output = np.zeros_like(flat)
         from_output[real] = dh
         from_output = from_output.reshape(states.shape)
+        # Factors of the gradients that don't depend on later steps, for the whole window.
+        keep, of_reset, of_candidate, moved = 1 - update, 1 - reset, 1 - candidate * candidate, candidate - befores
         d_in = np.empty((stop - at, h.shape[0], 3 * STATE), np.float32)
+        d_rec = np.empty_like(d_in)
         back, over = np.zeros_like(h), network.w["recur"].T.copy()
-        for t in range(stop - 1 - at, -1, -1):
-            before, (r, z, c, rec_c) = befores[t], kept[t]
-            back += from_output[t]
-            d = d_in[t]
-            dc = back * z
-            dc *= 1 - c * c
-            d[:, :STATE] = dc * rec_c * r * (1 - r)
-            d[:, STATE : 2 * STATE] = back * (c - before) * z * (1 - z)
-            d[:, 2 * STATE :] = dc
-            d_rec = d.copy()
-            d_rec[:, 2 * STATE :] *= r
-            kept[t] = d_rec
-            back = back * (1 - z) + d_rec @ over
-            back[reader.first[at + t]] = 0
+        d_reset, d_update, d_candidate = (np.empty_like(h) for _ in range(3))
+        for i in range(stop - 1 - at, -1, -1):
+            back += from_output[i]
+            np.multiply(back, update[i], out=d_candidate)
+            d_candidate *= of_candidate[i]
+            np.multiply(d_candidate, recurred[i], out=d_reset)
+            d_reset *= reset[i]
+            d_reset *= of_reset[i]
+            np.multiply(back, moved[i], out=d_update)
+            d_update *= update[i]
+            d_update *= keep[i]
+            np.concatenate((d_reset, d_update, d_candidate), axis=1, out=d_in[i])
+            d_candidate *= reset[i]
+            np.concatenate((d_reset, d_update, d_candidate), axis=1, out=d_rec[i])
+            back *= keep[i]
+            back += d_rec[i] @ over
+            if reader.begins[at + i]:
+                back[reader.first[at + i]] = 0
         # Gradients of the window's steps are added up at once; of the inputs, only those that occurred.
-        d_in, d_rec = d_in.reshape(-1, 3 * STATE), np.concatenate(kept)
+        d_in, d_rec = d_in.reshape(-1, 3 * STATE), d_rec.reshape(-1, 3 * STATE)
         inputs = reader.input[at:stop].reshape(-1)
-        order = np.argsort(inputs, kind="stable")
+        order = np.argsort(radix(inputs, len(network.w["embed"])), kind="stable")
         start = np.flatnonzero(np.diff(inputs[order], prepend=-1))
         scale = np.float32(1 / max(1, len(real)))
         network.learn("embed", np.add.reduceat(d_in[order], start) * scale, memory["embed"], inputs[order][start])
@@ -506,7 +556,7 @@ def score(docs: DataFrame) -> DataFrame:
                 owner = np.repeat(np.arange(docs_n), counts)
                 at = places[codes]
                 is_rare = at == outside
-                end = int(known.places([END])[0])
+                end = known.end
                 logs = np.bincount(owner[~is_rare], head_log[at[~is_rare]], docs_n) + head_log[end]
                 neural = natural / np.log(10) + np.bincount(owner, inner[at], docs_n) + inner[end]
                 rare_class = np.log10(known.spelt_sums)
@@ -516,7 +566,7 @@ def score(docs: DataFrame) -> DataFrame:
                 pair = owner[is_rare].astype(np.int64) * len(distinct) + codes[is_rare]
                 pair, times = np.unique(pair, return_counts=True)
                 offsets = np.r_[0, np.cumsum(np.bincount(pair // max(1, len(distinct)), minlength=docs_n))].astype(np.int32)
-                names = pa.array(distinct, pa.binary()).take(pa.array(pair % max(1, len(distinct))))
+                names = distinct.take(pa.array(pair % max(1, len(distinct))))
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(row + np.arange(docs_n)),

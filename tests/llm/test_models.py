@@ -77,6 +77,17 @@ def vocabulary():
     return language_model.Vocabulary(head, sums, total, 350), head, tail
 
 
+def test_classes_of_many_words_are_those_of_each():
+    """Also for words without letters, of one byte, of bytes beyond ASCII, and in a slice of an array."""
+    rng = random.Random(4)
+    words = [bytes(rng.choice(b"az`{0.A\x00\x7f\x80\xff") for _ in range(rng.randint(0, 5))) for _ in range(3000)]
+    array = pa.array(words, pa.binary())
+    expected = [language_model.spelt_class(w) for w in words]
+    assert language_model.spelt_classes(array).tolist() == expected
+    assert language_model.spelt_classes(array.slice(70, 900)).tolist() == expected[70:970]
+    assert language_model.spelt_classes(array[:0]).tolist() == []
+
+
 def test_probabilities_add_up(monkeypatch):
     """Over all known words and one unknown word for each spelt class, after any history."""
     monkeypatch.setattr(language_model, "NEURAL", 128)
