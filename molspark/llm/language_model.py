@@ -50,6 +50,8 @@ ROUNDS = 2  # together they read every training document
 LANES, STEPS = 256, 32  # documents read side by side at most, and words in a window
 TRAIN_LANES, TRAIN_STEPS = 256, 32
 SHARD_WORDS = 4_000_000
+ROWS = 512  # states whose classes are worked out at once
+SHORT = 8  # rows of a group that are added up side by side
 PIECE = 10_000_000  # bytes of text that are made into arrays at once
 RATE, DAMPING = 0.2, 1e-6
 PRIOR_WORDS = 10_000  # words that the weights before a round count for when its mean is taken
@@ -78,8 +80,8 @@ def spelt_classes(words: pa.BinaryArray) -> np.ndarray:
     start, end = cut[:-1], cut[1:]
     data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[: cut[-1]]
     # One past the last letter up to each byte; the word's own start if it has none.
-    ends = np.where(LETTER[data], np.arange(1, len(data) + 1), 0)
-    stop = np.maximum(np.maximum.accumulate(np.r_[0, ends])[end], start)
+    ends = np.where(LETTER[data], np.arange(1, len(data) + 1, dtype=np.int32), np.int32(0))
+    stop = np.maximum(np.maximum.accumulate(np.r_[np.int32(0), ends])[end], start)
     # The two bytes before that place and the one after it, as digits: 0 where the word has none.
     data = np.r_[data.astype(np.int32) + 1, 0, 0]
     key = np.where(stop - 2 >= start, data[stop - 2], 0)
@@ -96,14 +98,18 @@ def radix(codes: np.ndarray, bound: int) -> np.ndarray:
     return codes.astype(np.uint16) if bound <= 1 << 16 else codes
 
 
-def tokenised(texts: pa.Array) -> tuple[np.ndarray, pa.BinaryArray, np.ndarray]:
-    """Codes of all words in order, the distinct words, and the number of words of each text."""
+def tokenised(texts: pa.Array, known: pa.BinaryArray | None = None) -> tuple[np.ndarray, pa.BinaryArray, np.ndarray]:
+    """Codes of all words in order, the distinct words, and the number of words of each text.
+
+    The words of `known`, which are distinct, have the first codes, in their order.
+    """
     lowered = pc.ascii_lower(pc.fill_null(texts, ""))
     parts = pc.ascii_split_whitespace(lowered)
     owner = pc.list_parent_indices(parts).to_numpy()
-    coded = pc.list_flatten(parts).dictionary_encode()
-    distinct = coded.dictionary.cast(pa.binary())
-    codes = coded.indices.to_numpy()
+    flat = pc.list_flatten(parts).cast(pa.binary())
+    coded = (flat if known is None else pa.concat_arrays([known, flat])).dictionary_encode()
+    distinct = coded.dictionary
+    codes = coded.indices.to_numpy()[len(coded) - len(flat) :]
     empty = np.flatnonzero(pc.binary_length(distinct).to_numpy() == 0)
     if len(empty):
         real = codes != empty[0]
@@ -150,11 +156,17 @@ class Vocabulary:
         self.end = self.words.index(END) if END in self.words else len(self.words)
         self.head: pa.BinaryArray | None = None
 
-    def places(self, distinct: pa.BinaryArray) -> np.ndarray:
-        """Place of each word in the head; the head's length for words outside it."""
+    def known(self) -> pa.BinaryArray:
+        """The words of the head, whose codes are so their places."""
         if self.head is None:
             self.head = pa.array(self.words, pa.binary())
-        return pc.index_in(distinct, value_set=self.head).fill_null(len(self.words)).to_numpy().astype(np.int64)
+        return self.head
+
+    def entries(self, distinct: pa.BinaryArray) -> np.ndarray:
+        """The input of each word of an array that begins with the head: its place if it has output weights, or its spelt class."""
+        own, rest = np.arange(self.neural), self.kind[self.neural : len(self.words)] - self.classes
+        spelt = np.r_[rest, spelt_classes(distinct.slice(len(self.words)))]
+        return np.r_[own, self.neural + spelt].astype(np.int32)
 
     def biases(self) -> tuple[np.ndarray, np.ndarray]:
         """Log masses of the classes, and log counts of the neural words by class and place."""
@@ -213,78 +225,123 @@ class Network:
             }
         self.w = {k: np.array(weights[k], np.float32) for k in self.NAMES}
 
-    def inputs(self, x: np.ndarray) -> np.ndarray:
-        """What the words of a window, (steps, lanes), add to the gates and the candidate."""
-        own = np.take(self.w["embed"], x, axis=0)
-        own += self.w["bias"]
-        return own
-
-    def step(self, own: np.ndarray, h: np.ndarray):
-        """One word of every lane: reset and update gates, candidate, new state."""
-        rec = h @ self.w["recur"]
-        gates = own[:, : 2 * STATE] + rec[:, : 2 * STATE]
-        np.negative(gates, out=gates)
+    def inputs(self) -> np.ndarray:
+        """What each word adds to the gates and the candidate, three rows a word; the gates' are negated, as in `recurrence`."""
+        own = self.w["embed"] + self.w["bias"]
+        np.negative(own[:, : 2 * STATE], out=own[:, : 2 * STATE])
+        return own.reshape(-1, STATE)
+
+    def recurrence(self) -> np.ndarray:
+        """What the state adds to the negated gates and to the candidate, as (3, STATE, STATE)."""
+        recur = self.w["recur"].reshape(STATE, 3, STATE).swapaxes(0, 1).copy()
+        np.negative(recur[:2], out=recur[:2])
+        return recur
+
+    @staticmethod
+    def step(own: np.ndarray, h: np.ndarray, recur: np.ndarray, rec: np.ndarray, gates: np.ndarray, c: np.ndarray, new: np.ndarray):
+        """One word of every lane, into the last four: the state's share, reset and update gates, candidate, new state."""
+        np.matmul(h, recur, out=rec)
+        np.add(own[:2], rec[:2], out=gates)
         np.exp(gates, out=gates)
         gates += 1
         np.reciprocal(gates, out=gates)
-        r, z = gates[:, :STATE], gates[:, STATE:]
-        c = r * rec[:, 2 * STATE :]
-        c += own[:, 2 * STATE :]
+        np.multiply(gates[0], rec[2], out=c)
+        c += own[2]
         np.tanh(c, out=c)
-        new = c - h
-        new *= z
+        np.subtract(c, h, out=new)
+        new *= gates[1]
         new += h
-        return new, r, z, c, rec[:, 2 * STATE :]
 
     def learn(self, name: str, gradient: np.ndarray, memory: np.ndarray, rows: np.ndarray | slice = slice(None)) -> None:
         """An adaptive step down the gradient of some rows of a weight, kept within BOUND."""
         g = np.clip(gradient, -1, 1)
-        held = memory[rows] + g * g
+        held = g * g
+        held += memory[rows]
         memory[rows] = held
-        self.w[name][rows] = np.clip(self.w[name][rows] - np.float32(RATE) * g / np.sqrt(held + DAMPING), -BOUND, BOUND)
+        held += np.float32(DAMPING)
+        np.sqrt(held, out=held)
+        g *= np.float32(RATE)
+        g /= held
+        np.subtract(self.w[name][rows], g, out=g)
+        self.w[name][rows] = np.clip(g, -BOUND, BOUND, out=g)
 
     def output(self, h: np.ndarray, kind: np.ndarray, within: np.ndarray, backward: bool = False):
         """Log probabilities of class and word for each state; with `backward`, gradients too."""
         w = self.w
-        logits = h @ w["to_class"]
-        logits += w["class_bias"]
-        row = np.arange(len(h))
-        got = logits[row, kind]
-        e = np.exp(logits, out=logits)
-        norm = e.sum(1)
-        got -= np.log(norm)
+        e = np.empty((len(h) if backward else min(len(h), ROWS), self.kinds), np.result_type(h, w["to_class"]))
+        got, row = np.empty(len(h), e.dtype), np.arange(len(h))
+        # Some states at a time, so that their classes stay in the processor's cache from call to call.
+        for at in range(0, len(h), ROWS):
+            some = slice(at, min(at + ROWS, len(h)))
+            part = e[some] if backward else e[: some.stop - at]
+            own = row[: len(part)] * self.kinds + kind[some]
+            np.matmul(h[some], w["to_class"], out=part)
+            part += w["class_bias"]
+            got[some] = part.reshape(-1)[own]
+            np.exp(part, out=part)
+            norm = part.sum(1)
+            got[some] -= np.log(norm)
+            if backward:
+                part /= norm[:, None]
+                part.reshape(-1)[own] -= 1
         grads = {}
         if backward:
-            e /= norm[:, None]
-            e[row, kind] -= 1
             grads["to_class"], grads["to_word"] = h.T @ e, np.zeros_like(w["to_word"])
             dh = e @ w["to_class"].T
         # The states whose word has weights of its own, class by class.
         order = np.argsort(radix(kind, self.kinds), kind="stable")
         edge = np.searchsorted(kind[order], np.arange(self.classes + 1))
         order = order[: edge[-1]]
-        mine, place, row = h[order], within[order], row[: len(order)]
+        mine, own = np.take(h, order, axis=0), row[: len(order)] * CLASS_SIZE + within[order]
         parts = [(k, slice(edge[k], edge[k + 1])) for k in np.flatnonzero(np.diff(edge))]
         e = np.empty((len(order), CLASS_SIZE), np.result_type(h, w["to_word"]))
         for k, at in parts:
             np.matmul(mine[at], w["to_word"][k], out=e[at])
             e[at] += w["word_bias"][k]
-        chosen = e[row, place]
+        chosen = e.reshape(-1)[own]
         np.exp(e, out=e)
         norm = e.sum(1)
         chosen -= np.log(norm)
         got[order] += chosen
         if backward:
             e /= norm[:, None]
-            e[row, place] -= 1
+            e.reshape(-1)[own] -= 1
             more = np.empty_like(mine)
             for k, at in parts:
                 np.matmul(mine[at].T, e[at], out=grads["to_word"][k])
                 np.matmul(e[at], w["to_word"][k].T, out=more[at])
-            dh[order] += more
+            more += np.take(dh, order, axis=0)
+            dh[order] = more
         return (got, grads, dh) if backward else got
 
 
+def row_sums(values: np.ndarray, order: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """`np.add.reduceat(values[order], start)` to the bit, for groups that are mostly of a few rows.
+
+    Groups of up to SHORT rows are summed side by side, a row of each at a time; `reduceat` goes column by column.
+    """
+    size = np.diff(start, append=len(order))
+    by_size = np.argsort(radix(size, len(order) + 1), kind="stable")
+    begin, size = start[by_size], size[by_size]
+    least = np.searchsorted(size, np.arange(SHORT + 2))  # the first group of at least so many rows
+    sums = np.empty((len(start), values.shape[1]), values.dtype)
+    short, long = by_size[: least[-1]], by_size[least[-1] :]
+    # The first row is added last, to the sum of the others.
+    total = np.take(values, order[begin[: len(short)]], axis=0)
+    if least[2] < len(short):
+        rest = np.take(values, order[begin[least[2] : len(short)] + 1], axis=0)
+        for k in range(3, SHORT + 1):
+            rest[least[k] - least[2] :] += np.take(values, order[begin[least[k] : len(short)] + k - 1], axis=0)
+        total[least[2] :] += rest
+    sums[short] = total
+    if len(long):
+        size = size[len(short) :]
+        ends = np.cumsum(size)
+        rows = np.arange(ends[-1]) + np.repeat(begin[len(short) :] - ends + size, size)
+        sums[long] = np.add.reduceat(np.take(values, order[rows], axis=0), ends - size)
+    return sums
+
+
 def lanes(lengths: np.ndarray, width: int) -> list[list[int]]:
     """Documents dealt to lanes, longest first, each to the shortest lane."""
     import heapq
@@ -301,8 +358,8 @@ def lanes(lengths: np.ndarray, width: int) -> list[list[int]]:
 class Reader:
     """Documents side by side: inputs, targets and starts, as (steps, lanes) arrays."""
 
-    def __init__(self, v: Vocabulary, places: np.ndarray, spelt: np.ndarray, counts: np.ndarray, width: int):
-        # `places` and `spelt` are of each word of the texts in order; every document ends with END.
+    def __init__(self, v: Vocabulary, words: np.ndarray, counts: np.ndarray, width: int):
+        # `words` are the inputs of the words of the texts in order; every document ends with END.
         lengths = counts + 1
         if len(lengths):  # no more lanes than the longest document lets be full
             width = max(1, min(width, -(-int(lengths.sum()) // int(lengths.max()))))
@@ -311,58 +368,64 @@ class Reader:
         self.steps = max((sum(int(lengths[d]) for d in lane) for lane in dealt), default=0)
         shape = (self.steps, len(dealt))
         self.doc = np.full(shape, -1, np.int32)
-        place, kind_of = np.zeros(shape, np.int32), np.zeros(shape, np.int32)
+        seen = np.zeros(shape, np.int32)
         self.first = np.zeros(shape, bool)
-        end = v.end
+        end = v.end if v.end < v.neural else v.neural + spelt_class(END)
         for lane, members in enumerate(dealt):
             at = 0
             for d in members:
                 n, s = int(counts[d]), int(starts[d])
-                place[at : at + n, lane], kind_of[at : at + n, lane] = places[s : s + n], spelt[s : s + n]
-                place[at + n, lane], kind_of[at + n, lane] = end, spelt_class(END)
+                seen[at : at + n, lane] = words[s : s + n]
+                seen[at + n, lane] = end
                 self.doc[at : at + n + 1, lane] = d
                 self.first[at, lane] = True
                 at += n + 1
-        own = place < v.neural
-        self.kind = np.where(own, place // CLASS_SIZE, v.classes + kind_of)
-        self.within = np.where(own, place % CLASS_SIZE, np.int32(0))
-        seen = np.where(own, place, v.neural + kind_of)
-        del place, kind_of, own
-        end_seen = end if end < v.neural else v.neural + spelt_class(END)
+        own, spelt = np.arange(v.neural, dtype=np.int32), np.arange(SPELT, dtype=np.int32)
+        self.kind = np.take(np.r_[own // CLASS_SIZE, np.int32(v.classes) + spelt], seen)
+        self.within = np.take(np.r_[own % CLASS_SIZE, np.zeros_like(spelt)], seen)
         self.begins = self.first.any(1)
         # A document is read from its end mark on: the input before its first word is the mark.
-        self.input = np.full(shape, end_seen, np.int32)
+        self.input = np.full(shape, end, np.int32)
         if self.steps:
-            self.input[1:] = np.where(self.first[1:], end_seen, seen[:-1])
+            self.input[1:] = np.where(self.first[1:], end, seen[:-1])
+
+    def rows(self, at: int, stop: int) -> np.ndarray:
+        """The rows of `Network.inputs` of a window's words, (steps, 3, lanes)."""
+        return self.input[at:stop, None] * 3 + np.arange(3)[:, None]
+
+    def real(self, at: int, stop: int, states: np.ndarray):
+        """State, kind, place in it and document of each word of a window, and where these are, if not everywhere."""
+        doc = self.doc[at:stop].reshape(-1)
+        all_of = states.reshape(-1, STATE), self.kind[at:stop].reshape(-1), self.within[at:stop].reshape(-1), doc
+        if doc.size == 0 or doc.min() >= 0:
+            return *all_of, None
+        real = np.flatnonzero(doc >= 0)
+        return *(x[real] for x in all_of), real
 
 
 def read_batch(v: Vocabulary, texts: pa.Array, width: int):
     """The reader of some texts, with the word codes it came from."""
-    codes, distinct, counts = tokenised(texts)
-    places = v.places(distinct)
-    spelt = spelt_classes(distinct)
-    return Reader(v, places[codes], spelt[codes], counts, width), codes, distinct, places, spelt, counts
+    codes, distinct, counts = tokenised(texts, v.known())
+    entries = v.entries(distinct)
+    return Reader(v, entries[codes], counts, width), codes, distinct, entries, counts
 
 
 def neural_scores(network: Network, reader: Reader, documents: int) -> np.ndarray:
     """Natural log probability of each document's classes and neural words, state carried throughout."""
-    total = np.zeros(documents)
+    total, words, recur = np.zeros(documents), network.inputs(), network.recurrence()
     h = np.zeros((reader.doc.shape[1], STATE), np.float32)
+    rec, gates, c = (np.empty((n, *h.shape), np.float32) for n in (3, 2, 1))
     for at in range(0, reader.steps, STEPS):
         stop = min(at + STEPS, reader.steps)
         states = np.empty((stop - at, *h.shape), np.float32)
-        own = network.inputs(reader.input[at:stop])
+        own = np.take(words, reader.rows(at, stop), axis=0)
         for t in range(at, stop):
             if reader.begins[t]:
                 h = np.where(reader.first[t][:, None], np.float32(0), h)
-            h = network.step(own[t - at], h)[0]
-            states[t - at] = h
-        doc = reader.doc[at:stop].reshape(-1)
-        real = np.flatnonzero(doc >= 0)
-        got = network.output(
-            states.reshape(-1, STATE)[real], reader.kind[at:stop].reshape(-1)[real], reader.within[at:stop].reshape(-1)[real]
-        )
-        total += np.bincount(doc[real], got, documents)
+            network.step(own[t - at], h, recur, rec, gates, c[0], states[t - at])
+            h = states[t - at]
+        flat, kind, within, doc, _ = reader.real(at, stop, states)
+        total += np.bincount(doc, network.output(flat, kind, within), documents)
     return total
 
 
@@ -373,57 +436,55 @@ def train(network: Network, reader: Reader, memory: dict[str, np.ndarray]) -> in
     for at in range(0, reader.steps, TRAIN_STEPS):
         stop = min(at + TRAIN_STEPS, reader.steps)
         states = np.empty((stop - at, *h.shape), np.float32)
-        befores, reset, update, candidate, recurred = (np.empty_like(states) for _ in range(5))
-        own = network.inputs(reader.input[at:stop])
+        befores, candidate = np.empty_like(states), np.empty_like(states)
+        gates, rec = (np.empty((stop - at, n, *h.shape), np.float32) for n in (2, 3))
+        own, recur = np.take(network.inputs(), reader.rows(at, stop), axis=0), network.recurrence()
         for i in range(stop - at):
             if reader.begins[at + i]:
                 h = np.where(reader.first[at + i][:, None], np.float32(0), h)
             befores[i] = h
-            h, reset[i], update[i], candidate[i], recurred[i] = network.step(own[i], h)
-            states[i] = h
-        doc = reader.doc[at:stop].reshape(-1)
-        real = np.flatnonzero(doc >= 0)
-        flat = states.reshape(-1, STATE)
-        _, grads, dh = network.output(
-            flat[real], reader.kind[at:stop].reshape(-1)[real], reader.within[at:stop].reshape(-1)[real], True
-        )
-        from_output = np.zeros_like(flat)
-        from_output[real] = dh
+            network.step(own[i], h, recur, rec[i], gates[i], candidate[i], states[i])
+            h = states[i]
+        flat, kind, within, doc, real = reader.real(at, stop, states)
+        _, grads, from_output = network.output(flat, kind, within, True)
+        if real is not None:
+            dh, from_output = from_output, np.zeros((states.size // STATE, STATE), np.float32)
+            from_output[real] = dh
         from_output = from_output.reshape(states.shape)
         # Factors of the gradients that don't depend on later steps, for the whole window.
-        keep, of_reset, of_candidate, moved = 1 - update, 1 - reset, 1 - candidate * candidate, candidate - befores
-        d_in = np.empty((stop - at, h.shape[0], 3 * STATE), np.float32)
-        d_rec = np.empty_like(d_in)
+        keep, of_candidate, moved = 1 - gates, 1 - candidate * candidate, candidate - befores
+        d_candidate = np.empty_like(states)
+        d_rec = np.empty((stop - at, h.shape[0], 3 * STATE), np.float32)
         back, over = np.zeros_like(h), network.w["recur"].T.copy()
-        d_reset, d_update, d_candidate = (np.empty_like(h) for _ in range(3))
+        d_gates, d_last = np.empty((2, *h.shape), np.float32), np.empty_like(h)
         for i in range(stop - 1 - at, -1, -1):
             back += from_output[i]
-            np.multiply(back, update[i], out=d_candidate)
-            d_candidate *= of_candidate[i]
-            np.multiply(d_candidate, recurred[i], out=d_reset)
-            d_reset *= reset[i]
-            d_reset *= of_reset[i]
-            np.multiply(back, moved[i], out=d_update)
-            d_update *= update[i]
-            d_update *= keep[i]
-            np.concatenate((d_reset, d_update, d_candidate), axis=1, out=d_in[i])
-            d_candidate *= reset[i]
-            np.concatenate((d_reset, d_update, d_candidate), axis=1, out=d_rec[i])
-            back *= keep[i]
+            d = d_candidate[i]
+            np.multiply(back, gates[i, 1], out=d)
+            d *= of_candidate[i]
+            np.multiply(d, rec[i, 2], out=d_gates[0])
+            np.multiply(back, moved[i], out=d_gates[1])
+            d_gates *= gates[i]
+            d_gates *= keep[i]
+            np.multiply(d, gates[i, 0], out=d_last)
+            np.concatenate((d_gates[0], d_gates[1], d_last), axis=1, out=d_rec[i])
+            back *= keep[i, 1]
             back += d_rec[i] @ over
             if reader.begins[at + i]:
                 back[reader.first[at + i]] = 0
         # Gradients of the window's steps are added up at once; of the inputs, only those that occurred.
+        d_in = d_rec.copy()
+        d_in[:, :, 2 * STATE :] = d_candidate
         d_in, d_rec = d_in.reshape(-1, 3 * STATE), d_rec.reshape(-1, 3 * STATE)
         inputs = reader.input[at:stop].reshape(-1)
         order = np.argsort(radix(inputs, len(network.w["embed"])), kind="stable")
         start = np.flatnonzero(np.diff(inputs[order], prepend=-1))
-        scale = np.float32(1 / max(1, len(real)))
-        network.learn("embed", np.add.reduceat(d_in[order], start) * scale, memory["embed"], inputs[order][start])
+        scale = np.float32(1 / max(1, len(doc)))
+        network.learn("embed", row_sums(d_in, order, start) * scale, memory["embed"], inputs[order][start])
         grads |= {"bias": d_in.sum(0), "recur": befores.reshape(-1, STATE).T @ d_rec}
         for k, g in grads.items():
             network.learn(k, g * scale, memory[k])
-        seen += len(real)
+        seen += len(doc)
     return seen
 
 
@@ -548,22 +609,22 @@ def score(docs: DataFrame) -> DataFrame:
         # What a word of the head adds to its class's probability: nothing if it has weights of its own.
         inner = head_log - np.log10(known.spelt_sums[np.maximum(known.kind - known.classes, 0)])
         inner[: known.neural], inner[outside] = 0, 0
+        end, rare_class = known.end, np.log10(known.spelt_sums)
+        end_log, head_log[outside] = head_log[end], 0
         for batch in batches:
             for part in text_pieces(batch, PIECE):
-                reader, codes, distinct, places, spelt, counts = read_batch(known, part.column(1), LANES)
+                reader, codes, distinct, entries, counts = read_batch(known, part.column(1), LANES)
                 docs_n = part.num_rows
                 natural = neural_scores(network, reader, docs_n)
-                owner = np.repeat(np.arange(docs_n), counts)
-                at = places[codes]
-                is_rare = at == outside
-                end = known.end
-                logs = np.bincount(owner[~is_rare], head_log[at[~is_rare]], docs_n) + head_log[end]
+                owner, at = np.repeat(np.arange(docs_n), counts), np.minimum(codes, outside)
+                rare = np.flatnonzero(at == outside)
+                rare_owner, rare_codes = owner[rare], codes[rare]
+                logs = np.bincount(owner, head_log[at], docs_n) + end_log
                 neural = natural / np.log(10) + np.bincount(owner, inner[at], docs_n) + inner[end]
-                rare_class = np.log10(known.spelt_sums)
-                neural -= np.bincount(owner[is_rare], rare_class[spelt[codes[is_rare]]], docs_n)
-                in_head = np.bincount(owner[~is_rare], minlength=docs_n) + (known.counts[end] > 0)
+                neural -= np.bincount(rare_owner, rare_class[entries[rare_codes] - known.neural], docs_n)
+                in_head = counts - np.bincount(rare_owner, minlength=docs_n) + (known.counts[end] > 0)
                 # Rare words once for each document, with how often.
-                pair = owner[is_rare].astype(np.int64) * len(distinct) + codes[is_rare]
+                pair = rare_owner.astype(np.int64) * len(distinct) + rare_codes
                 pair, times = np.unique(pair, return_counts=True)
                 offsets = np.r_[0, np.cumsum(np.bincount(pair // max(1, len(distinct)), minlength=docs_n))].astype(np.int32)
                 names = distinct.take(pa.array(pair % max(1, len(distinct))))

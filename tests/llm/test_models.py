@@ -88,6 +88,49 @@ def test_classes_of_many_words_are_those_of_each():
     assert language_model.spelt_classes(array[:0]).tolist() == []
 
 
+def test_words_of_the_head_have_their_places_as_codes():
+    """One look at the words of some texts codes them: those of the head by place, others after it."""
+    v, head, _ = vocabulary()
+    texts = pa.array(["w3 NEW  w299 rare1\n", None, "", "new w3 \u00e9"])
+    codes, distinct, counts = language_model.tokenised(texts, v.known())
+    assert counts.tolist() == [4, 0, 0, 3]
+    assert [distinct[int(c)].as_py() for c in codes] == [w for t in texts.to_pylist() for w in words(t)]
+    assert [int(c) if c < len(v.words) else None for c in codes] == [
+        v.words.index(w) if w in v.words else None for t in texts.to_pylist() for w in words(t)
+    ]
+    assert distinct.to_pylist()[: len(v.words)] == v.words
+    expected = [i if i < v.neural else v.neural + language_model.spelt_class(w) for i, w in enumerate(distinct.to_pylist())]
+    assert v.entries(distinct).tolist() == expected
+
+
+def test_sums_of_rows_are_those_of_reduceat():
+    """To the bit, so that weights don't change: groups of one row, of few and of many."""
+    rng = np.random.default_rng(3)
+    for n, groups in ((1, 1), (60, 4), (3000, 900), (5000, 6), (9, 9), (300, 1)):
+        key = np.sort(rng.integers(0, groups, n))
+        order, start = rng.permutation(n), np.flatnonzero(np.diff(key, prepend=-1))
+        values = rng.normal(0, 1, (n, 48)).astype(np.float32)
+        assert np.array_equal(language_model.row_sums(values, order, start), np.add.reduceat(values[order], start))
+
+
+def test_classes_are_worked_out_some_states_at_a_time(monkeypatch):
+    """However many at a time, also where the last ones are fewer; no states at all give nothing."""
+    monkeypatch.setattr(language_model, "NEURAL", 128)
+    v, *_ = vocabulary()
+    rng = np.random.default_rng(5)
+    network = language_model.Network(v, {k: x + rng.normal(0, 0.2, x.shape) for k, x in language_model.Network(v).w.items()})
+    h, kind = rng.normal(0, 1, (50, language_model.STATE)).astype(np.float32), rng.integers(0, network.kinds, 50)
+    within = np.where(kind < v.classes, rng.integers(0, 64, 50), 0)
+    whole, grads, dh = network.output(h, kind, within, True)
+    for some in (1, 7, 50):
+        monkeypatch.setattr(language_model, "ROWS", some)
+        assert np.allclose(network.output(h, kind, within), whole, rtol=1e-5)
+        got, g, d = network.output(h, kind, within, True)
+        assert np.allclose(got, whole, rtol=1e-5) and np.allclose(d, dh, atol=1e-5)
+        assert all(np.allclose(g[k], grads[k], atol=1e-4) for k in grads)
+    assert network.output(h[:0], kind[:0], within[:0]).tolist() == []
+
+
 def test_probabilities_add_up(monkeypatch):
     """Over all known words and one unknown word for each spelt class, after any history."""
     monkeypatch.setattr(language_model, "NEURAL", 128)
