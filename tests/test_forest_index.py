@@ -134,3 +134,23 @@ def test_only_the_index_outlives_its_build(spark, rows, tmp_path):
     before = set(os.listdir(root)) if os.path.isdir(root) else set()
     forest_index.build(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "f"), trees=4, depth=4)
     assert {f for f in set(os.listdir(root)) - before if f.startswith("molspark-")} == set()
+
+
+def test_slices_of_trees_and_queries_answer_alike(spark, rows, tmp_path, monkeypatch):
+    """Trees built one by one, blocks of a few positions and queries in parts: the answers are the same."""
+    asked = spark.createDataFrame(rows[:40] + near_sets(10, 2, "b"), SCHEMA)
+    nodes = spark.createDataFrame(rows, SCHEMA)
+
+    def answers(name):
+        index = forest_index.build(nodes, str(tmp_path / name), trees=8, depth=3)
+        near = forest_index.nearest(index, asked, 4, enough=64, per_tree=8).collect()
+        return index, sorted(near), sorted(forest_index.candidates(index, asked, 64, 8).collect())
+
+    _, near, candidates = answers("whole")
+    monkeypatch.setattr(forest_index, "LEAVES_AT_ONCE", 1)
+    monkeypatch.setattr(forest_index, "TREE_SLICES", 5)
+    monkeypatch.setattr(forest_index, "BLOCK", 6)
+    monkeypatch.setattr(forest_index, "QUERIES_AT_ONCE", 20)
+    index, *cut = answers("cut")
+    assert cut == [near, candidates]
+    assert index.leaves.selectExpr("max(size(ids))").head()[0] == 6
